@@ -34,10 +34,16 @@ def read_stream(
     path: str | None = None,
     schema: StructType | None = None,
     max_files: int | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
-    """Incremental read: every new file once, remembered by the checkpoint of the query."""
+    """Incremental read: every new file once, remembered by the checkpoint of the query.
+
+    ``path`` is a folder; ``pattern`` limits it to files of that name.
+    """
     path = path or source.landing_path
     reader = spark.readStream.format(source.format).options(**READ_OPTIONS[source.format])
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.schema(schema or raw_schema(spark, source, path)).load(path)

@@ -46,9 +46,10 @@ def ingest_source(
     as_of=None,
     schema=None,
     max_files: int | None = None,
+    pattern: str | None = None,
 ) -> StreamingQuery:
     """Append every landing file not seen before to the raw table of the source."""
-    raw = files.read_stream(spark, source, landing, schema=schema, max_files=max_files)
+    raw = files.read_stream(spark, source, landing, schema=schema, max_files=max_files, pattern=pattern)
     return _drain(tag_stream(raw, source, as_of), table, checkpoint)
 
 
