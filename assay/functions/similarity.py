@@ -6,12 +6,18 @@ plain columns and lets the join drop most pairs before they reach Python.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+# The UDF travels to the executors whole, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the Jaro-Winkler definition.
 PREFIX_SCALE = 0.1
 PREFIX_MAX = 4
@@ -88,52 +94,34 @@ def jaro_winkler(a, b) -> Column:
     return F.pandas_udf(_similarity, DoubleType())(a, b)
 
 
-def char_profile(text: Column) -> Column:
+def char_profile(column: str) -> Column:
     """struct(len, sig, extra, head): what the bound needs to know about one text.
 
     ``sig`` holds, for each of 32 character classes, one bit for the first and one for the second
     occurrence; ``extra`` counts further occurrences.
     """
-    start = F.struct(F.lit(0).cast("long").alias("sig"), F.lit(0).alias("extra"))
-
-    def add(acc: Column, ch: Column) -> Column:
-        slot = F.ascii(ch).bitwiseAND(F.lit(31))
-        one = F.lit(1).cast("long")
-        first = F.call_function("shiftleft", one, slot)
-        second = F.call_function("shiftleft", one, slot + F.lit(32))
-        fresh = acc["sig"].bitwiseAND(first) == 0
-        again = acc["sig"].bitwiseAND(second) == 0
-        return F.struct(
-            F.when(fresh, acc["sig"].bitwiseOR(first))
-            .when(again, acc["sig"].bitwiseOR(second))
-            .otherwise(acc["sig"])
-            .alias("sig"),
-            F.when(fresh | again, acc["extra"]).otherwise(acc["extra"] + F.lit(1)).alias("extra"),
-        )
-
-    value = F.coalesce(text, F.lit(""))
-
-    def finish(acc: Column) -> Column:
-        return F.struct(
-            F.length(value).alias("len"),
-            acc["sig"].alias("sig"),
-            acc["extra"].alias("extra"),
-            F.substring(value, 1, PREFIX_MAX).alias("head"),
-        )
-
-    return F.aggregate(F.split(value, ""), start, add, finish)
-
-
-def jaro_winkler_at_most(a: Column, b: Column) -> Column:
-    """Upper bound of the similarity from two ``char_profile`` columns.
+    text = f"coalesce(`{column}`, '')"
+    first = "shiftleft(1L, ascii(ch) & 31)"
+    second = "shiftleft(1L, (ascii(ch) & 31) + 32)"
+    add = f"""named_struct(
+        'sig', acc.sig | CASE WHEN acc.sig & {first} = 0 THEN {first} WHEN acc.sig & {second} = 0 THEN {second} ELSE 0L END,
+        'extra', acc.extra + CASE WHEN acc.sig & {first} <> 0 AND acc.sig & {second} <> 0 THEN 1 ELSE 0 END)"""
+    return F.expr(
+        f"""aggregate(split({text}, ''), named_struct('sig', 0L, 'extra', 0), (acc, ch) -> {add},
+            acc -> named_struct('len', length({text}), 'sig', acc.sig, 'extra', acc.extra,
+                                'head', left({text}, {PREFIX_MAX})))"""
+    )
+
+
+def jaro_winkler_at_most(a: str, b: str) -> str:
+    """SQL text of an upper bound of the similarity of two ``char_profile`` columns.
 
     Matched characters can never exceed the shared multiset of characters, and the bound grows
     with their number; transpositions and the window only lower the true value.
     """
-    shared = F.bit_count(a["sig"].bitwiseAND(b["sig"])) + F.least(a["extra"], b["extra"])
-    m = F.least(a["len"], b["len"], shared)
-    jaro = F.when(m > 0, (m / a["len"] + m / b["len"] + F.lit(1.0)) / F.lit(3.0)).otherwise(F.lit(0.0))
-    prefix = F.lit(0)
-    for n in range(1, PREFIX_MAX + 1):
-        prefix = F.when(F.substring(a["head"], 1, n) == F.substring(b["head"], 1, n), F.lit(n)).otherwise(prefix)
-    return jaro + F.lit(PREFIX_SCALE) * prefix * (F.lit(1.0) - jaro)
+    m = f"least({a}.len, {b}.len, bit_count({a}.sig & {b}.sig) + least({a}.extra, {b}.extra))"
+    jaro = f"CASE WHEN {m} > 0 THEN ({m} / {a}.len + {m} / {b}.len + 1D) / 3D ELSE 0D END"
+    same_head = " ".join(
+        f"WHEN left({a}.head, {n}) = left({b}.head, {n}) THEN {PREFIX_SCALE * n}D" for n in range(PREFIX_MAX, 0, -1)
+    )
+    return f"({jaro} + (CASE {same_head} ELSE 0D END) * (1D - {jaro}))"

@@ -78,7 +78,7 @@ def profiles(keyed: DataFrame, spec: MatchSpec) -> DataFrame:
     grouped = keyed.groupBy("profile", *columns, *blocks).agg(F.min("record_key").alias("id"), F.count("*").alias("n"))
     in_block = reduce(lambda x, y: x | y, [F.col(b).isNotNull() for b in blocks])
     chars = {
-        f"_char_{a.column}": similarity.char_profile(F.col(a.column)) for a in spec.attributes if a.method != "exact"
+        f"_char_{a.column}": similarity.char_profile(a.column) for a in spec.attributes if a.method != "exact"
     }
     return grouped.select(
         "*",
@@ -174,34 +174,29 @@ def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS
     A superset of the matches: nothing that could qualify is left out, whatever the block size.
     """
     left, right = _tiled(_tokens(prof, spec), tile_rows)
-    a, b = left.alias("a"), right.alias("b")
-
-    def both(name: str) -> tuple[Column, Column]:
-        return F.col(f"a.{name}"), F.col(f"b.{name}")
-
-    same_key = [x == y for x, y in map(both, ("key", "i", "j"))]
-    once = (F.col("a.i") < F.col("a.j")) | (F.col("a.id") < F.col("b.id"))
 
     # the first route on which the pair truly agrees owns it: no second copy, no hash collision
-    owner = F.lit(None).cast("int")
-    for n, (block, columns) in reversed(list(enumerate(_routes(spec)))):
-        agree = reduce(lambda p, q: p & q, [x == y for x, y in map(both, (block, *columns))])
-        owner = F.when(agree, F.lit(n)).otherwise(owner)
-    owned = (F.col("a.route") == F.col("b.route")) & (owner == F.col("a.route"))
-
-    terms = []
+    owner = " ".join(
+        "WHEN " + " AND ".join(f"a.`{c}` = b.`{c}`" for c in (block, *columns)) + f" THEN {n}"
+        for n, (block, columns) in enumerate(_routes(spec))
+    )
+    reach = []
     for attr in spec.attributes:
         if attr.method == "exact":
-            x, y = both(attr.column)
-            terms.append(F.coalesce((x == y).cast("double"), F.lit(0.0)))
+            most = f"CASE WHEN a.`{attr.column}` = b.`{attr.column}` THEN 1D ELSE 0D END"
         else:
-            terms.append(similarity.jaro_winkler_at_most(*both(f"_char_{attr.column}")))
-    reachable = confidence(spec, terms) >= F.lit(spec.threshold - SLACK)
-
-    swap = F.col("a.id") > F.col("b.id")
-    first = lambda c: F.when(swap, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}"))
-    second = lambda c: F.when(swap, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}"))
+            most = similarity.jaro_winkler_at_most(f"a.`_char_{attr.column}`", f"b.`_char_{attr.column}`")
+        reach.append(f"{most} * {attr.weight!r}D")
+    condition = f"""
+        a.key = b.key AND a.route = b.route AND a.i = b.i AND a.j = b.j
+        AND (a.i < a.j OR a.id < b.id)
+        AND CASE {owner} END = a.route
+        AND ({' + '.join(reach)}) / {spec.total_weight!r}D >= {spec.threshold - SLACK!r}D"""
     carried = ["id", "n", *[x.column for x in spec.attributes]]
-    return a.join(b, on=reduce(lambda p, q: p & q, [*same_key, once, owned, reachable])).select(
-        *[first(c).alias(f"{c}_a") for c in carried], *[second(c).alias(f"{c}_b") for c in carried]
-    )
+    # the smaller id comes first, whichever side of a tile it was on
+    sides = [
+        f"CASE WHEN a.id > b.id THEN {far}.`{c}` ELSE {near}.`{c}` END AS `{c}_{near}`"
+        for near, far in (("a", "b"), ("b", "a"))
+        for c in carried
+    ]
+    return left.alias("a").join(right.alias("b"), on=F.expr(condition)).selectExpr(*sides)
