@@ -18,12 +18,15 @@ def _pairs(n: Column) -> Column:
     return (wide * (wide - 1) / 2).cast("decimal(38,0)")
 
 
-def pairwise_quality(predicted: DataFrame, truth: DataFrame, member: str = MEMBER) -> DataFrame:
+def pairwise_quality(
+    predicted: DataFrame, truth: DataFrame, member: str = MEMBER, all_truth: bool = False
+) -> DataFrame:
     """tp, fp, fn, precision, recall and f1 over record pairs, in one row.
 
     ``predicted`` has (member, golden_id), ``truth`` (member, true_id). Pairs are counted from a
     contingency table, so a group of any size costs one counter. A member without truth belongs
-    to no true pair.
+    to no true pair. True pairs are counted among the predicted members only, so records lost before
+    matching do not lower the recall; ``all_truth`` counts them over the whole truth table.
     """
     cells = (
         predicted.select(F.col(member).alias("_m"), "golden_id")
@@ -34,9 +37,11 @@ def pairwise_quality(predicted: DataFrame, truth: DataFrame, member: str = MEMBE
     known = F.col("true_id").isNotNull()
     tp = cells.agg(F.sum(F.when(known, _pairs(F.col("n")))).alias("tp"))
     guessed = cells.groupBy("golden_id").agg(F.sum("n").alias("n")).agg(F.sum(_pairs(F.col("n"))).alias("guessed"))
-    actual = (
-        cells.filter(known).groupBy("true_id").agg(F.sum("n").alias("n")).agg(F.sum(_pairs(F.col("n"))).alias("actual"))
-    )
+    if all_truth:
+        per_truth = truth.groupBy("true_id").agg(F.count("*").alias("n"))
+    else:
+        per_truth = cells.filter(known).groupBy("true_id").agg(F.sum("n").alias("n"))
+    actual = per_truth.agg(F.sum(_pairs(F.col("n"))).alias("actual"))
     zero = F.lit(0).cast("decimal(38,0)")
     # three single-row sides
     row = (
