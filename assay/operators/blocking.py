@@ -21,8 +21,11 @@ from assay.specs import MatchSpec
 
 # Slack that keeps rounding from ever dropping a pair that sits on the threshold.
 SLACK = 1e-9
-# Profiles of one join key that a single task compares with each other.
+# Profiles of one join key that a single task compares with each other: at least TILE_ROWS, more
+# for a key so hot that it would be cut into over TILE_CHUNKS chunks, never over TILE_ROWS_MAX.
 TILE_ROWS = 4096
+TILE_CHUNKS = 256
+TILE_ROWS_MAX = 65536
 # Hot keys up to this many are broadcast (a 64-bit key and a small count each); more are joined.
 BROADCAST_KEYS = 200_000
 
@@ -150,9 +153,11 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
 
     A key with k chunks makes a triangle of k*(k+1)/2 tiles; chunk i meets chunk j in tile (i, j)
     only, so each pair of profiles meets exactly once and no tile exceeds about two chunks.
+    Every row of a hot key is copied about k times, hence larger tiles for the hottest keys.
     """
     hot = tokens.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > tile_rows)
-    hot = hot.select("key", F.ceil(F.col("size") / F.lit(tile_rows)).cast("int").alias("chunks")).persist()
+    rows = F.least(F.greatest(F.lit(tile_rows), F.col("size") / F.lit(TILE_CHUNKS)), F.lit(max(tile_rows, TILE_ROWS_MAX)))
+    hot = hot.select("key", F.ceil(F.col("size") / rows).cast("int").alias("chunks")).persist()
     n_hot = hot.count()
     if n_hot == 0:
         plain = tokens.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))

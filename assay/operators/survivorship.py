@@ -58,21 +58,24 @@ def surviving_values(joined: DataFrame, spec: SurvivorshipSpec, group: str, key:
 
 
 def roll_up(groups: DataFrame, inline_members: int = INLINE_MEMBERS) -> DataFrame:
-    """Member count, sorted member ids and mean confidence of every group."""
+    """Member count, sorted member ids and mean confidence of every group.
+
+    One aggregate, as long as every group is small enough for its ids to fit in a row. Otherwise
+    the members of the larger groups stay out of the id lists; at most rows / inline_members such
+    groups exist, which bounds what is broadcast, and their members are never moved.
+    """
     sized = groups.groupBy("golden_id").agg(
         F.count("*").alias("source_record_count"), F.avg("match_confidence").alias("match_confidence")
     )
-    return sized.join(_member_lists(groups, sized, inline_members), on="golden_id", how="left")
-
-
-def _member_lists(groups: DataFrame, sized: DataFrame, inline_members: int) -> DataFrame:
-    """Sorted member ids of the groups small enough to fit in a row."""
-    too_big = sized.filter(F.col("source_record_count") > inline_members).select("golden_id")
-    return (
-        groups.join(too_big, on="golden_id", how="left_anti")
-        .groupBy("golden_id")
-        .agg(F.array_sort(F.collect_set(MEMBER)).alias("source_customer_ids"))
-    )
+    ids = F.array_sort(F.collect_set(MEMBER)).alias("source_customer_ids")
+    widest = sized.agg(F.max("source_record_count")).first()[0] or 0
+    if widest <= inline_members:
+        return groups.groupBy("golden_id").agg(
+            F.count("*").alias("source_record_count"), F.avg("match_confidence").alias("match_confidence"), ids
+        )
+    too_big = F.broadcast(sized.filter(F.col("source_record_count") > inline_members).select("golden_id"))
+    listed = groups.join(too_big, on="golden_id", how="left_anti").groupBy("golden_id").agg(ids)
+    return sized.join(listed, on="golden_id", how="left")
 
 
 def golden_records(

@@ -120,18 +120,29 @@ def volume_anomaly(counts: DataFrame, z_limit: float = Z_LIMIT) -> DataFrame:
     )
 
 
-def quarantine_rate(scored: DataFrame, min_score: float, day: date, ts: str, limit: float = QUARANTINE_LIMIT) -> DataFrame:
-    """Share of the records since ``day`` that were quarantined, per entity."""
-    recent = scored.withColumn("_today", F.col(ts) >= F.lit(day).cast("timestamp"))
-    low = F.col("_today") & (F.col("dq_score") < F.lit(min_score))
-    counts = recent.groupBy("entity").agg(
-        F.count(F.when(low, 1)).alias("quarantined"), F.count(F.when(F.col("_today"), 1)).alias("scored")
+def quarantine_rate(
+    scored: DataFrame, entities: list[str], min_score: float, day: date, ts: str, limit: float = QUARANTINE_LIMIT
+) -> DataFrame:
+    """Share of the records since ``day`` that were quarantined, one row per listed entity.
+
+    The day is a filter on the scan, so older records are not read.
+    """
+    counts = (
+        scored.filter(F.col(ts) >= F.lit(day).cast("timestamp"))
+        .groupBy("entity")
+        .agg(F.count(F.when(F.col("dq_score") < F.lit(min_score), 1)).alias("quarantined"), F.count("*").alias("scored"))
     )
+    listed = scored.sparkSession.createDataFrame([(e,) for e in entities], "entity string")
     rate = F.col("quarantined") * 1.0 / F.greatest(F.col("scored"), F.lit(1))
-    return counts.withColumn("rate", rate.cast("double")).select(
-        "*",
-        F.when(F.col("rate") > limit, "failed").otherwise("ok").alias("status"),
-        F.format_string("%.1f%% quarantined", F.col("rate") * 100).alias("detail"),
+    return (
+        listed.join(counts, on="entity", how="left")
+        .fillna(0, ["quarantined", "scored"])
+        .withColumn("rate", rate.cast("double"))
+        .select(
+            "*",
+            F.when(F.col("rate") > limit, "failed").otherwise("ok").alias("status"),
+            F.format_string("%.1f%% quarantined", F.col("rate") * 100).alias("detail"),
+        )
     )
 
 

@@ -70,7 +70,7 @@ def test_quarantine_rate(spark):
          ("b", 0.5, datetime(2026, 1, 9))],
         "entity string, dq_score double, _ingested_at timestamp",
     )
-    rows = {r.entity: r for r in checks.quarantine_rate(df, 0.85, date(2026, 1, 10), "_ingested_at").collect()}
+    rows = {r.entity: r for r in checks.quarantine_rate(df, ["a", "b"], 0.85, date(2026, 1, 10), "_ingested_at").collect()}
     assert rows["a"].rate == 0.5 and rows["a"].status == "failed"
     assert rows["b"].rate == 0.0 and rows["b"].scored == 0 and rows["b"].status == "ok"
 

@@ -178,7 +178,7 @@ def volume_anomaly(spark, sf_dir):
         FROM scored GROUP BY entity""",
 )
 def quarantine_rate(spark, sf_dir):
-    out = checks.quarantine_rate(_scored(spark, sf_dir), 0.85, date(2024, 1, 30), "_ingested_at")
+    out = checks.quarantine_rate(_scored(spark, sf_dir), ["customer", "account"], 0.85, date(2024, 1, 30), "_ingested_at")
     return out.drop("detail").withColumn("rate", r("rate"))
 
 
