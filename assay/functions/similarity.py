@@ -9,7 +9,8 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,81 +25,122 @@ PREFIX_MAX = 4
 BOOST_ABOVE = 0.7
 
 
-def _codes(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Texts as a zero-padded matrix of code points, and their lengths."""
     lengths = np.fromiter((len(v) for v in values), dtype=np.int64, count=len(values))
     width = max(int(lengths.max(initial=0)), 1)
-    matrix = np.array(values, dtype=f"<U{width}").view(np.uint32).reshape(len(values), width)
-    return matrix, lengths
+    return np.array(values, dtype=f"<U{width}").view(np.uint32).reshape(len(values), width), lengths
 
 
-def _in_order(matrix: np.ndarray, flags: np.ndarray, width: int) -> np.ndarray:
-    """The flagged code points of each row, moved to the front."""
-    out = np.zeros((matrix.shape[0], width), dtype=np.uint32)
-    rows, cols = np.nonzero(flags)
-    out[rows, (np.cumsum(flags, axis=1) - 1)[rows, cols]] = matrix[rows, cols]
+def _lowest_bit(words: np.ndarray) -> np.ndarray:
+    """The lowest set bit of each row of 64-bit words, alone; all zero where none is set."""
+    out = np.zeros_like(words)
+    todo = np.ones(words.shape[0], dtype=bool)
+    for k in range(words.shape[1]):
+        w = np.where(todo, words[:, k], np.uint64(0))
+        out[:, k] = w & (~w + np.uint64(1))
+        todo &= w == 0
     return out
 
 
-def jaro_winkler_batch(left: list[str], right: list[str]) -> np.ndarray:
-    """Similarity of ``left[i]`` and ``right[i]``; an empty side scores 0.
+def _positions(words: np.ndarray, width: int) -> np.ndarray:
+    """Bit sets as a boolean matrix, one column per position."""
+    as_bytes = words.astype("<u8").view(np.uint8).reshape(words.shape[0], -1)
+    return np.unpackbits(as_bytes, axis=1, count=width, bitorder="little").view(bool)
+
+
+def jaro_winkler_pairs(left: list[str], right: list[str], li: np.ndarray, ri: np.ndarray) -> np.ndarray:
+    """Similarity of ``left[li[k]]`` and ``right[ri[k]]`` for all k; an empty side scores 0.
 
-    Works on all pairs at once: one step per character position, not per pair.
+    For every text of ``right`` the positions of each character are kept as a bit set. All pairs
+    then take one step per character of the left text: look up, mask the window, take the first
+    free position.
     """
-    if not left:
+    if not len(li):
         return np.zeros(0)
-    a, la = _codes(left)
-    b, lb = _codes(right)
-    window = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
-    at = np.arange(b.shape[1])
-    inside_b = at < lb[:, None]
-    used_a = np.zeros(a.shape, dtype=bool)
-    used_b = np.zeros(b.shape, dtype=bool)
-    every = np.arange(len(left))
+    a, la_all = _matrix(left)
+    b, lb_all = _matrix(right)
+    alphabet, codes = np.unique(np.concatenate([a.ravel(), b.ravel()]), return_inverse=True)
+    a_code, b_code = codes[: a.size].reshape(a.shape), codes[a.size :].reshape(b.shape)
+    words = (b.shape[1] + 63) // 64
+    where = np.zeros((len(right), len(alphabet), words), dtype=np.uint64)
+    for j in range(b.shape[1]):
+        rows = np.nonzero(j < lb_all)[0]
+        where[rows, b_code[rows, j], j // 64] |= np.uint64(1) << np.uint64(j % 64)
+
+    la, lb = la_all[li], lb_all[ri]
+    reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
+    # position sets [0, n) for every n, to cut windows out of
+    below = np.zeros((b.shape[1] + 1, words), dtype=np.uint64)
+    for n in range(1, b.shape[1] + 1):
+        below[n] = below[n - 1]
+        below[n, (n - 1) // 64] |= np.uint64(1) << np.uint64((n - 1) % 64)
+    free = np.full((len(li), words), ~np.uint64(0), dtype=np.uint64)
+    used_a = np.zeros((len(li), a.shape[1]), dtype=bool)
     for i in range(a.shape[1]):
-        near = np.abs(at - i) <= window[:, None]
-        hit = (b == a[:, i : i + 1]) & near & inside_b & ~used_b & (i < la)[:, None]
-        first = hit.argmax(axis=1)
-        found = hit[every, first]
-        used_a[found, i] = True
-        used_b[every[found], first[found]] = True
+        window = below[np.minimum(i + reach + 1, b.shape[1])] & ~below[np.clip(i - reach, 0, b.shape[1])]
+        spots = where[ri, a_code[li, i]] & window & free
+        spots[i >= la] = 0
+        first = _lowest_bit(spots)
+        free &= ~first
+        used_a[:, i] = first.any(axis=1)
     m = used_a.sum(axis=1)
-    width = max(int(m.max(initial=0)), 1)
-    swaps = (_in_order(a, used_a, width) != _in_order(b, used_b, width)).sum(axis=1) // 2
+    # matched characters of both sides in order: equal counts per row, so they line up flat
+    used_b = _positions(~free, b.shape[1])
+    rows, cols = np.nonzero(used_a)
+    rows_b, cols_b = np.nonzero(used_b)
+    differs = a[li[rows], cols] != b[ri[rows_b], cols_b]
+    swaps = np.bincount(rows, weights=differs, minlength=len(li)).astype(np.int64) // 2
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = np.where(m > 0, (m / la + m / lb + (m - swaps) / m) / 3.0, 0.0)
-    reach = min(PREFIX_MAX, a.shape[1], b.shape[1])
-    same = (a[:, :reach] == b[:, :reach]) & (a[:, :reach] != 0)
+    heads = min(PREFIX_MAX, a.shape[1], b.shape[1])
+    same = (a[li, :heads] == b[ri, :heads]) & (a[li, :heads] != 0)
     prefix = np.cumprod(same, axis=1).sum(axis=1)
     return np.where(jaro > BOOST_ABOVE, jaro + PREFIX_SCALE * prefix * (1.0 - jaro), jaro)
 
 
-def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    code_a, values_a = pd.factorize(a.fillna(""))
-    code_b, values_b = pd.factorize(b.fillna(""))
-    pair, back = np.unique(code_a.astype(np.int64) * max(len(values_b), 1) + code_b, return_inverse=True)
-    left = [values_a[i] for i in pair // max(len(values_b), 1)]
-    right = [values_b[i] for i in pair % max(len(values_b), 1)]
-    # texts of like length share a step, so one long value does not widen every matrix
-    order = sorted(range(len(pair)), key=lambda i: max(len(left[i]), len(right[i])))
+def jaro_winkler_batch(left: list[str], right: list[str]) -> np.ndarray:
+    at = np.arange(len(left))
+    return jaro_winkler_pairs(left, right, at, at)
+
+
+def _similarity(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Each distinct pair of a batch is scored once; long texts are scored apart from short ones."""
+    x, y = a.fill_null("").dictionary_encode(), b.fill_null("").dictionary_encode()
+    left, right = (d.to_numpy(zero_copy_only=False) for d in (x.dictionary, y.dictionary))
+    li, ri = x.indices.to_numpy(), y.indices.to_numpy()
+    pair, back = np.unique(li.astype(np.int64) * max(len(right), 1) + ri, return_inverse=True)
+    li, ri = pair // max(len(right), 1), pair % max(len(right), 1)
+    left_len, right_len = (pc.utf8_length(d).to_numpy() for d in (x.dictionary, y.dictionary))
+    longest = np.maximum(left_len[li], right_len[ri])
     out = np.zeros(len(pair))
-    step = 2048
-    for start in range(0, len(order), step):
-        part = order[start : start + step]
-        out[part] = jaro_winkler_batch([left[i] for i in part], [right[i] for i in part])
-    return pd.Series(out[back])
+    for low, high in ((0, 32), (32, 64), (64, 256), (256, 1 << 62)):
+        part = np.nonzero((longest > low) & (longest <= high))[0]
+        # few pairs at a time where texts are long, so the work arrays stay small
+        step = 1 << 14 if high <= 256 else 256
+        for start in range(0, len(part), step):
+            some = part[start : start + step]
+            lu, lx = np.unique(li[some], return_inverse=True)
+            ru, rx = np.unique(ri[some], return_inverse=True)
+            out[some] = jaro_winkler_pairs(left[lu].tolist(), right[ru].tolist(), lx, rx)
+    return pa.array(out[back])
 
 
 def jaro_winkler(a, b) -> Column:
-    """Exact similarity column; null counts as empty. Scored once per distinct pair of a batch."""
-    return F.pandas_udf(_similarity, DoubleType())(a, b)
+    """Exact similarity column; null counts as empty.
+
+    Marked non-deterministic although it is not: otherwise a filter on the result is pushed below
+    the projection and every value is computed twice.
+    """
+    return F.arrow_udf(_similarity, DoubleType()).asNondeterministic()(a, b)
 
 
-def char_profile(column: str) -> Column:
-    """struct(len, sig, extra, head): what the bound needs to know about one text.
+def char_columns(column: str) -> dict[str, Column]:
+    """Plain columns holding what the bound needs to know about one text.
 
-    ``sig`` holds, for each of 32 character classes, one bit for the first and one for the second
-    occurrence; ``extra`` counts further occurrences.
+    ``sig`` has one bit for the first and one for the second occurrence of each of 32 character
+    classes, ``extra`` counts further occurrences, ``inv`` is 1/length and ``head`` packs the first
+    four characters, 15 bits each.
     """
     text = f"coalesce(`{column}`, '')"
     first = "shiftleft(1L, ascii(ch) & 31)"
@@ -106,22 +148,31 @@ def char_profile(column: str) -> Column:
     add = f"""named_struct(
         'sig', acc.sig | CASE WHEN acc.sig & {first} = 0 THEN {first} WHEN acc.sig & {second} = 0 THEN {second} ELSE 0L END,
         'extra', acc.extra + CASE WHEN acc.sig & {first} <> 0 AND acc.sig & {second} <> 0 THEN 1 ELSE 0 END)"""
-    return F.expr(
-        f"""aggregate(split({text}, ''), named_struct('sig', 0L, 'extra', 0), (acc, ch) -> {add},
-            acc -> named_struct('len', length({text}), 'sig', acc.sig, 'extra', acc.extra,
-                                'head', left({text}, {PREFIX_MAX})))"""
+    counted = f"aggregate(split({text}, ''), named_struct('sig', 0L, 'extra', 0), (acc, ch) -> {add})"
+    head = " + ".join(
+        f"shiftleft(CAST(ascii(substring({text}, {n + 1}, 1)) & 32767 AS BIGINT), {15 * (PREFIX_MAX - 1 - n)})"
+        for n in range(PREFIX_MAX)
     )
+    return {
+        f"_char_{column}": F.expr(counted),
+        f"_inv_{column}": F.expr(f"CASE WHEN {text} = '' THEN 0D ELSE 1D / length({text}) END"),
+        f"_head_{column}": F.expr(head),
+    }
 
 
-def jaro_winkler_at_most(a: str, b: str) -> str:
-    """SQL text of an upper bound of the similarity of two ``char_profile`` columns.
+def jaro_winkler_at_most(column: str, a: str = "a", b: str = "b") -> str:
+    """SQL text of an upper bound of the similarity, from the ``char_columns`` of two rows.
 
-    Matched characters can never exceed the shared multiset of characters, and the bound grows
-    with their number; transpositions and the window only lower the true value.
+    Matched characters never exceed the shared multiset of characters, and the bound grows with
+    their number; transpositions and the window only lower the true value. Written so that every
+    part occurs once: it runs for every pair a join considers.
     """
-    m = f"least({a}.len, {b}.len, bit_count({a}.sig & {b}.sig) + least({a}.extra, {b}.extra))"
-    jaro = f"CASE WHEN {m} > 0 THEN ({m} / {a}.len + {m} / {b}.len + 1D) / 3D ELSE 0D END"
-    same_head = " ".join(
-        f"WHEN left({a}.head, {n}) = left({b}.head, {n}) THEN {PREFIX_SCALE * n}D" for n in range(PREFIX_MAX, 0, -1)
+    x, y = f"{a}.`_char_{column}`", f"{b}.`_char_{column}`"
+    shared = f"(bit_count({x}.sig & {y}.sig) + least({x}.extra, {y}.extra))"
+    inverse = f"({a}.`_inv_{column}` + {b}.`_inv_{column}`)"
+    differ = f"({a}.`_head_{column}` ^ {b}.`_head_{column}`)"
+    # what a common prefix leaves of the distance to 1
+    steps = " ".join(
+        f"WHEN {differ} < {1 << (15 * (PREFIX_MAX - n))}L THEN {1 - PREFIX_SCALE * n!r}D" for n in range(PREFIX_MAX, 0, -1)
     )
-    return f"({jaro} + (CASE {same_head} ELSE 0D END) * (1D - {jaro}))"
+    return f"(1D - (CASE {steps} ELSE 1D END) * (2D - {shared} * {inverse}) / 3D)"

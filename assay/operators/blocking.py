@@ -23,9 +23,13 @@ from assay.specs import MatchSpec
 SLACK = 1e-9
 # Profiles of one join key that a single task compares with each other: at least TILE_ROWS, more
 # for a key so hot that it would be cut into over TILE_CHUNKS chunks, never over TILE_ROWS_MAX.
-TILE_ROWS = 4096
+TILE_ROWS = 1024
 TILE_CHUNKS = 256
 TILE_ROWS_MAX = 65536
+# Pairs one task should compare. Comparing costs far more than the bytes suggest, so the number of
+# tasks follows the pairs to compare and not the size of the data.
+PAIRS_PER_TASK = 20_000_000
+MAX_TASKS = 20_000
 # Hot keys up to this many are broadcast (a 64-bit key and a small count each); more are joined.
 BROADCAST_KEYS = 200_000
 
@@ -80,9 +84,10 @@ def profiles(keyed: DataFrame, spec: MatchSpec) -> DataFrame:
     blocks = [f"_block{i}" for i in range(len(spec.blocking))]
     grouped = keyed.groupBy("profile", *columns, *blocks).agg(F.min("record_key").alias("id"), F.count("*").alias("n"))
     in_block = reduce(lambda x, y: x | y, [F.col(b).isNotNull() for b in blocks])
-    chars = {
-        f"_char_{a.column}": similarity.char_profile(a.column) for a in spec.attributes if a.method != "exact"
-    }
+    chars: dict[str, Column] = {}
+    for a in spec.attributes:
+        if a.method != "exact":
+            chars.update(similarity.char_columns(a.column))
     return grouped.select(
         "*",
         F.when(in_block, confidence(spec, _self_terms(spec))).alias("self_confidence"),
@@ -155,14 +160,22 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
     only, so each pair of profiles meets exactly once and no tile exceeds about two chunks.
     Every row of a hot key is copied about k times, hence larger tiles for the hottest keys.
     """
-    hot = tokens.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > tile_rows)
-    rows = F.least(F.greatest(F.lit(tile_rows), F.col("size") / F.lit(TILE_CHUNKS)), F.lit(max(tile_rows, TILE_ROWS_MAX)))
-    hot = hot.select("key", F.ceil(F.col("size") / rows).cast("int").alias("chunks")).persist()
-    n_hot = hot.count()
-    if n_hot == 0:
+    sizes = tokens.groupBy("key").agg(F.count("*").alias("size"))
+    n = F.col("size").cast("double")
+    load = sizes.agg(
+        F.sum(n * (n - 1) / 2).alias("pairs"), F.count(F.when(F.col("size") > tile_rows, 1)).alias("hot")
+    ).first()
+    tasks = min(int((load["pairs"] or 0) // PAIRS_PER_TASK), MAX_TASKS)
+
+    def spread(side: DataFrame) -> DataFrame:
+        return side.repartition(tasks, "key", "route", "i", "j") if tasks > 1 else side
+
+    if not load["hot"]:
         plain = tokens.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))
-        return plain, plain
-    marked = tokens.join(F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot, on="key", how="left")
+        return spread(plain), plain
+    rows = F.least(F.greatest(F.lit(tile_rows), F.col("size") / F.lit(TILE_CHUNKS)), F.lit(max(tile_rows, TILE_ROWS_MAX)))
+    hot = sizes.filter(F.col("size") > tile_rows).select("key", F.ceil(F.col("size") / rows).cast("int").alias("chunks"))
+    marked = tokens.join(F.broadcast(hot) if load["hot"] <= BROADCAST_KEYS else hot, on="key", how="left")
     chunks = F.coalesce("chunks", F.lit(1))
     marked = marked.withColumn("chunks", chunks).withColumn(
         "chunk", F.pmod(F.xxhash64("id", F.lit("tile")), chunks).cast("int")
@@ -170,11 +183,12 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
     last = F.col("chunks") - 1
     left = marked.withColumn("i", F.col("chunk")).withColumn("j", F.explode(F.sequence(F.col("chunk"), last)))
     right = marked.withColumn("j", F.col("chunk")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("chunk"))))
-    return left.drop("chunks", "chunk"), right.drop("chunks", "chunk")
+    return spread(left.drop("chunks", "chunk")), right.drop("chunks", "chunk")
 
 
 def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Profile pairs that may reach the threshold, each once, with both sides' attributes.
+    """Profile pairs that may reach the threshold, each once, with both sides' attributes and an
+    upper bound ``most_<column>`` of every similarity.
 
     A superset of the matches: nothing that could qualify is left out, whatever the block size.
     """
@@ -185,23 +199,27 @@ def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS
         "WHEN " + " AND ".join(f"a.`{c}` = b.`{c}`" for c in (block, *columns)) + f" THEN {n}"
         for n, (block, columns) in enumerate(_routes(spec))
     )
-    reach = []
+    most = {}
     for attr in spec.attributes:
         if attr.method == "exact":
-            most = f"CASE WHEN a.`{attr.column}` = b.`{attr.column}` THEN 1D ELSE 0D END"
+            most[attr] = f"CASE WHEN a.`{attr.column}` = b.`{attr.column}` THEN 1D ELSE 0D END"
         else:
-            most = similarity.jaro_winkler_at_most(f"a.`_char_{attr.column}`", f"b.`_char_{attr.column}`")
-        reach.append(f"{most} * {attr.weight!r}D")
+            most[attr] = similarity.jaro_winkler_at_most(attr.column)
+    reach = [f"{sql} * {attr.weight!r}D" for attr, sql in most.items()]
     condition = f"""
         a.key = b.key AND a.route = b.route AND a.i = b.i AND a.j = b.j
         AND (a.i < a.j OR a.id < b.id)
         AND CASE {owner} END = a.route
         AND ({' + '.join(reach)}) / {spec.total_weight!r}D >= {spec.threshold - SLACK!r}D"""
     carried = ["id", "n", *[x.column for x in spec.attributes]]
+    joined = left.alias("a").join(right.alias("b"), on=F.expr(condition)).selectExpr(
+        *[f"{side}.`{c}` AS `{c}_{side}`" for side in "ab" for c in carried],
+        *[f"{sql} AS `most_{attr.column}`" for attr, sql in most.items() if attr.method != "exact"],
+        "a.id > b.id AS swapped",
+    )
     # the smaller id comes first, whichever side of a tile it was on
-    sides = [
-        f"CASE WHEN a.id > b.id THEN {far}.`{c}` ELSE {near}.`{c}` END AS `{c}_{near}`"
-        for near, far in (("a", "b"), ("b", "a"))
-        for c in carried
-    ]
-    return left.alias("a").join(right.alias("b"), on=F.expr(condition)).selectExpr(*sides)
+    return joined.selectExpr(
+        *[f"CASE WHEN swapped THEN `{c}_b` ELSE `{c}_a` END AS `{c}_a`" for c in carried],
+        *[f"CASE WHEN swapped THEN `{c}_a` ELSE `{c}_b` END AS `{c}_b`" for c in carried],
+        *[f"most_{attr.column}" for attr in spec.attributes if attr.method != "exact"],
+    )

@@ -26,17 +26,29 @@ class Matcher(Protocol):
 
 
 def score_pairs(candidates: DataFrame, spec: MatchSpec) -> DataFrame:
-    """(id_a, id_b, n_a, n_b, match_confidence) of the candidates at or above the threshold."""
-    terms = []
+    """(id_a, id_b, n_a, n_b, match_confidence) of the candidates at or above the threshold.
+
+    Similarities are computed one attribute after the other, heaviest first; a pair that can no
+    longer reach the threshold, given the bounds of the attributes still open, is dropped between.
+    """
+    terms: dict = {}
     for attr in spec.attributes:
         x, y = F.col(f"{attr.column}_a"), F.col(f"{attr.column}_b")
         if attr.method == "exact":
             same = (x == y).cast("double")
-            terms.append(F.coalesce(same, F.lit(0.0)) if spec.null_policy == "zero" else same)
+            terms[attr] = F.coalesce(same, F.lit(0.0)) if spec.null_policy == "zero" else same
         else:
-            terms.append(jaro_winkler(x, y))
+            terms[attr] = F.col(f"most_{attr.column}")
+    pairs = candidates
+    open_ = sorted((a for a in spec.attributes if a.method != "exact"), key=lambda a: -a.weight)
+    for attr in open_:
+        pairs = pairs.withColumn(f"sim_{attr.column}", jaro_winkler(f"{attr.column}_a", f"{attr.column}_b"))
+        terms[attr] = F.col(f"sim_{attr.column}")
+        if attr is not open_[-1]:
+            best = blocking.confidence(spec, [terms[a] for a in spec.attributes])
+            pairs = pairs.filter(best >= F.lit(spec.threshold - blocking.SLACK))
     return (
-        candidates.withColumn("match_confidence", blocking.confidence(spec, terms))
+        pairs.withColumn("match_confidence", blocking.confidence(spec, [terms[a] for a in spec.attributes]))
         .filter(F.col("match_confidence") >= F.lit(spec.threshold))
         .select("id_a", "id_b", "n_a", "n_b", "match_confidence")
     )
