@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assay.functions.contraction import contract
 from assay.operators.skew import hot_limit, join_unique
 from assay.session import cut
 
@@ -15,13 +16,11 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     Alternates two star contractions (each node links its larger neighbours to its smallest one,
     then its smaller neighbours and itself likewise), which ends in about log(diameter) rounds.
     Every round is joins and aggregates over the edge list, cut in the shared checkpoint folder;
-    no node or edge list ever reaches the driver.
+    no node or edge list ever reaches the driver. Before every shuffle each task replaces the
+    edges it holds by stars, which alone settles every component that lies within one task.
     """
-    e = cut(
-        edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
-        .filter(F.col("hi") != F.col("lo"))
-        .distinct()
-    )
+    oriented = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).filter(F.col("hi") != F.col("lo"))
+    e = cut(oriented.mapInArrow(contract, oriented.schema))
     for _ in range(max_rounds):
         both_ways = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
@@ -51,7 +50,8 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
             .filter(F.col("lo") != F.col("m"))
             .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         )
-        e = cut(relinked.unionAll(lowest.select("hi", F.col("m").alias("lo"))).distinct())
+        linked = relinked.unionAll(lowest.select("hi", F.col("m").alias("lo"))).distinct()
+        e = cut(linked.mapInArrow(contract, linked.schema))
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 

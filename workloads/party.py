@@ -23,6 +23,7 @@ from assay.operators.standardize import (
 )
 from assay.plans import reports
 from assay.plans.mastering import Mastered, master
+from assay.session import cut
 from assay.specs import load_entity
 from workloads.registry import AS_OF, components_sql, query, r, table
 
@@ -166,6 +167,11 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.expr(e).alias(c) for c, e in _DECISIONS.items()])
 
 
+def eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passed records, materialised because matching reads them twice."""
+    return cut(quality.passed(latest(spark, sf_dir), MIN, approved(spark, sf_dir)))
+
+
 _DECISIONS_SQL = f"decisions AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _DECISIONS.items())} FROM customer)"
 _APPROVED_SQL = (
     "approved AS (SELECT DISTINCT business_key FROM decisions "
@@ -404,13 +410,13 @@ def _profile_pairs_sql(policy: str) -> str:
 
 @query("customer_pairs", _profile_pairs_sql("zero"))
 def customer_pairs(spark, sf_dir):
-    passed = quality.passed(latest(spark, sf_dir), MIN, approved(spark, sf_dir))
+    passed = eligible(spark, sf_dir)
     return match_records(passed, ENTITY.match).pairs().withColumn("match_confidence", r("match_confidence"))
 
 
 @query("customer_pairs_null_reject", _profile_pairs_sql("reject"))
 def customer_pairs_null_reject(spark, sf_dir):
-    passed = quality.passed(latest(spark, sf_dir), MIN, approved(spark, sf_dir))
+    passed = eligible(spark, sf_dir)
     spec = ENTITY.match.with_options(null_policy="reject")
     return match_records(passed, spec).pairs().withColumn("match_confidence", r("match_confidence"))
 
@@ -421,7 +427,7 @@ def customer_pairs_null_reject(spark, sf_dir):
     "SELECT golden_id, member_customer_id, round(match_confidence, 6) AS match_confidence FROM groups",
 )
 def customer_groups(spark, sf_dir):
-    passed = quality.passed(latest(spark, sf_dir), MIN, approved(spark, sf_dir))
+    passed = eligible(spark, sf_dir)
     groups = match_records(passed, ENTITY.match).groups()
     return groups.withColumn("match_confidence", r("match_confidence"))
 
@@ -439,7 +445,7 @@ _CLEAN_SQL = rf"""clean AS (
     "SELECT golden_id, member_customer_id, round(match_confidence, 6) AS match_confidence FROM groups",
 )
 def customer_groups_invalid_blanked(spark, sf_dir):
-    passed = quality.passed(latest(spark, sf_dir), MIN, approved(spark, sf_dir))
+    passed = eligible(spark, sf_dir)
     blanked = quality.blank_invalid(passed, ENTITY.rules, [a.column for a in ENTITY.match.attributes])
     groups = match_records(blanked, ENTITY.match).groups()
     return groups.withColumn("match_confidence", r("match_confidence"))
@@ -528,7 +534,7 @@ def review_queue(spark, sf_dir):
     FROM n""",
 )
 def customer_match_quality(spark, sf_dir):
-    passed = quality.passed(latest(spark, sf_dir), MIN, approved(spark, sf_dir))
+    passed = eligible(spark, sf_dir)
     groups = match_records(passed, ENTITY.match).groups()
     kind = F.when(F.col(MEMBER).rlike("^(erp|crm):"), F.lit("c")).otherwise(F.lit("s"))
     truth = passed.withColumnRenamed("record_key", MEMBER).select(
