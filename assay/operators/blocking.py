@@ -168,7 +168,11 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
     tasks = min(int((load["pairs"] or 0) // PAIRS_PER_TASK), MAX_TASKS)
 
     def spread(side: DataFrame) -> DataFrame:
-        return side.repartition(tasks, "key", "route", "i", "j") if tasks > 1 else side
+        if tasks < 2:
+            return side
+        # fewer than the session's own number would only be shuffled once more
+        usual = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return side.repartition(max(tasks, usual), "key", "route", "i", "j")
 
     if not load["hot"]:
         plain = tokens.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))

@@ -62,7 +62,8 @@ def master(
         to_match = quality.blank_invalid(passed, rules, [a.column for a in entity.match.attributes])
     matched = match_records(to_match, entity.match)
     groups = cut(matched.groups())
-    golden = survivorship.golden_records(passed, groups, entity.survivorship, as_of)
+    # built once, then checked, then published from the same rows
+    golden = cut(survivorship.golden_records(passed, groups, entity.survivorship, as_of))
     if enforce_gold:
         quality.expect_or_fail(golden, quality.gold_expectations(minimum))
     return Mastered(

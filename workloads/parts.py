@@ -100,10 +100,10 @@ def match_groups(spark, sf_dir):
 @query(
     "match_groups_two_passes",
     f"WITH RECURSIVE {_PARTS}, {_scored(f'({_SAME_BRAND}) OR ({_SAME_SIZE})', 0.66)}, {_GROUPS} "
-    "SELECT golden_id, member_customer_id, round(match_confidence, 6) AS match_confidence FROM groups",
+    "SELECT golden_id, member_customer_id, round(match_confidence, 9) AS match_confidence FROM groups",
 )
 def match_groups_two_passes(spark, sf_dir):
-    return match_records(parts(spark, sf_dir), TWO_PASSES).groups().withColumn("match_confidence", r("match_confidence"))
+    return match_records(parts(spark, sf_dir), TWO_PASSES).groups().withColumn("match_confidence", r("match_confidence", 9))
 
 
 @query(
