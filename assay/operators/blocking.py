@@ -84,14 +84,16 @@ def profiles(keyed: DataFrame, spec: MatchSpec) -> DataFrame:
     blocks = [f"_block{i}" for i in range(len(spec.blocking))]
     grouped = keyed.groupBy("profile", *columns, *blocks).agg(F.min("record_key").alias("id"), F.count("*").alias("n"))
     in_block = reduce(lambda x, y: x | y, [F.col(b).isNotNull() for b in blocks])
-    chars: dict[str, Column] = {}
+    extra: dict[str, Column] = {}
     for a in spec.attributes:
-        if a.method != "exact":
-            chars.update(similarity.char_columns(a.column))
+        if a.method == "exact":
+            extra[f"_hash_{a.column}"] = F.when(F.col(a.column).isNotNull(), F.xxhash64(a.column))
+        else:
+            extra.update(similarity.char_columns(a.column))
     return grouped.select(
         "*",
         F.when(in_block, confidence(spec, _self_terms(spec))).alias("self_confidence"),
-        *[c.alias(name) for name, c in chars.items()],
+        *[c.alias(name) for name, c in extra.items()],
     )
 
 
@@ -206,15 +208,16 @@ def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS
     most = {}
     for attr in spec.attributes:
         if attr.method == "exact":
-            most[attr] = f"CASE WHEN a.`{attr.column}` = b.`{attr.column}` THEN 1D ELSE 0D END"
+            # equal hashes can only overstate agreement, and numbers compare faster than texts
+            most[attr] = f"CASE WHEN a.`_hash_{attr.column}` = b.`_hash_{attr.column}` THEN 1D ELSE 0D END"
         else:
             most[attr] = similarity.jaro_winkler_at_most(attr.column)
     reach = [f"{sql} * {attr.weight!r}D" for attr, sql in most.items()]
     condition = f"""
         a.key = b.key AND a.route = b.route AND a.i = b.i AND a.j = b.j
+        AND {' + '.join(reach)} >= {(spec.threshold - SLACK) * spec.total_weight!r}D
         AND (a.i < a.j OR a.id < b.id)
-        AND CASE {owner} END = a.route
-        AND ({' + '.join(reach)}) / {spec.total_weight!r}D >= {spec.threshold - SLACK!r}D"""
+        AND CASE {owner} END = a.route"""
     carried = ["id", "n", *[x.column for x in spec.attributes]]
     joined = left.alias("a").join(right.alias("b"), on=F.expr(condition)).selectExpr(
         *[f"{side}.`{c}` AS `{c}_{side}`" for side in "ab" for c in carried],
