@@ -193,8 +193,10 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
 
 
 def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Profile pairs that may reach the threshold, each once, with both sides' attributes and an
-    upper bound ``most_<column>`` of every similarity.
+    """Profile pairs that may reach the threshold, each once.
+
+    Exact attributes come as their similarity ``sim_<column>`` (null where a side is null), the
+    others as the texts of both sides and an upper bound ``most_<column>``.
 
     A superset of the matches: nothing that could qualify is left out, whatever the block size.
     """
@@ -218,15 +220,19 @@ def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS
         AND {' + '.join(reach)} >= {(spec.threshold - SLACK) * spec.total_weight!r}D
         AND (a.i < a.j OR a.id < b.id)
         AND CASE {owner} END = a.route"""
-    carried = ["id", "n", *[x.column for x in spec.attributes]]
+    fuzzy = [attr.column for attr in spec.attributes if attr.method != "exact"]
+    exact = [attr.column for attr in spec.attributes if attr.method == "exact"]
+    carried = ["id", "n", *fuzzy]
     joined = left.alias("a").join(right.alias("b"), on=F.expr(condition)).selectExpr(
         *[f"{side}.`{c}` AS `{c}_{side}`" for side in "ab" for c in carried],
-        *[f"{sql} AS `most_{attr.column}`" for attr, sql in most.items() if attr.method != "exact"],
+        *[f"CAST(a.`{c}` = b.`{c}` AS DOUBLE) AS `sim_{c}`" for c in exact],
+        *[f"{sql} AS `most_{attr.column}`" for attr, sql in most.items() if attr.column in fuzzy],
         "a.id > b.id AS swapped",
     )
     # the smaller id comes first, whichever side of a tile it was on
     return joined.selectExpr(
         *[f"CASE WHEN swapped THEN `{c}_b` ELSE `{c}_a` END AS `{c}_a`" for c in carried],
         *[f"CASE WHEN swapped THEN `{c}_a` ELSE `{c}_b` END AS `{c}_b`" for c in carried],
-        *[f"most_{attr.column}" for attr in spec.attributes if attr.method != "exact"],
+        *[f"sim_{c}" for c in exact],
+        *[f"most_{c}" for c in fuzzy],
     )

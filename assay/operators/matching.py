@@ -33,9 +33,8 @@ def score_pairs(candidates: DataFrame, spec: MatchSpec) -> DataFrame:
     """
     terms: dict = {}
     for attr in spec.attributes:
-        x, y = F.col(f"{attr.column}_a"), F.col(f"{attr.column}_b")
         if attr.method == "exact":
-            same = (x == y).cast("double")
+            same = F.col(f"sim_{attr.column}")
             terms[attr] = F.coalesce(same, F.lit(0.0)) if spec.null_policy == "zero" else same
         else:
             terms[attr] = F.col(f"most_{attr.column}")
