@@ -23,11 +23,15 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     """UTF-8 bytes of a string column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    if column.null_count:
+        column = column.fill_null("")
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
     held = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return held[at[0] : at[-1]], at - at[0]
+    return held[at[0] : at[-1]], at.astype(np.int64) - at[0]
 
 
 def row_chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

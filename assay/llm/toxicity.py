@@ -30,7 +30,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes per n-gram, with an odd multiplier each that spreads them over the buckets.
 GRAMS = {4: 0x9E3779B97F4A7C15, 5: 0xC2B2AE3D27D4EB4F, 6: 0xD6E8FEB86659FD93}
-BUCKET_BITS = 22
+BUCKET_BITS = 20
 # Letters are lower-cased; ASCII characters that are no letters count as blanks.
 FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
