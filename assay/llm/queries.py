@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import langid, quality, toxicity
+from assay.llm import decontaminate, langid, packing, quality, sharding, toxicity
 from assay.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,109 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, crc_remainder("doc_id", 3) != 1)
     held_out = (crc_remainder("doc_id", 3) == 1).alias("held_out")
     return langid.identify(docs, model).select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
+def packing_sql(documents: str, buckets: int, budget: int) -> str:
+    """The same boundaries by dynamic programming over all pairs of lengths, then batches by rank."""
+    layers = "".join(
+        f""",
+    f{k} AS (SELECT seg.i, min(f.cost + seg.cost) AS cost, arg_min(seg.j, (f.cost + seg.cost) * 1000000 + seg.j) AS j
+        FROM seg JOIN f{k - 1} AS f ON f.i = seg.j GROUP BY seg.i)"""
+        for k in range(2, buckets + 1)
+    )
+    walk = "".join(
+        f""",
+    e{k} AS (SELECT f{k}.j AS i FROM f{k} JOIN e{k + 1} AS e ON f{k}.i = e.i WHERE e.i > 0)"""
+        for k in range(buckets, 1, -1)
+    )
+    ends = " UNION ".join(f"SELECT i FROM e{k}" for k in range(buckets + 1, 1, -1))
+    return f"""
+WITH lengths AS MATERIALIZED (
+    SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+'))::BIGINT AS n_tokens FROM {documents}),
+rounded AS (
+    SELECT *, (1::BIGINT << greatest(length(bin(n_tokens)) - 10, 0)) AS step FROM lengths),
+hist AS (
+    SELECT ((n_tokens + step - 1) // step * step)::BIGINT AS length, count(*)::BIGINT AS n, sum(n_tokens)::BIGINT AS tokens
+    FROM rounded GROUP BY 1),
+cum AS MATERIALIZED (
+    SELECT length, row_number() OVER w AS i, (sum(n) OVER w)::BIGINT AS c, (sum(tokens) OVER w)::BIGINT AS t FROM hist WINDOW w AS (ORDER BY length)),
+ends0 AS MATERIALIZED (SELECT i, length, c, t FROM cum UNION ALL SELECT 0, -1, 0, 0),
+seg AS MATERIALIZED (
+    SELECT a.i AS j, b.i AS i, b.length * (b.c - a.c) - (b.t - a.t) AS cost FROM ends0 a JOIN ends0 b ON a.i < b.i
+    UNION ALL SELECT 0, 0, 0),
+f1 AS (SELECT i, cost FROM seg WHERE j = 0){layers},
+e{buckets + 1} AS (SELECT max(i) AS i FROM cum){walk},
+bounds AS (
+    SELECT length AS padded_length, (row_number() OVER (ORDER BY length) - 1)::INT AS bucket FROM cum WHERE i IN ({ends})),
+placed AS (
+    SELECT l.doc_id, l.n_tokens, b.bucket, b.padded_length,
+        greatest(1, {budget} // greatest(b.padded_length, 1)) AS fits,
+        row_number() OVER (PARTITION BY b.bucket ORDER BY md5(l.doc_id::VARCHAR), l.doc_id) - 1 AS place
+    FROM lengths l ASOF JOIN bounds b ON l.n_tokens <= b.padded_length)
+SELECT doc_id, n_tokens, bucket, padded_length, (place // fits)::BIGINT AS batch, (place % fits)::BIGINT AS slot,
+    padded_length > {budget} AS oversize
+FROM placed"""
+
+
+@query("op1_packing", packing_sql("documents", 8, 32_768))
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket and batch of every document."""
+    return packing.pack(packing.word_lengths(table(spark, sf_dir, "documents")))
+
+
+SHARDS = 40
+
+
+@query("op7_hilbert")
+def op7_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document along the curve, row counts at most one apart."""
+    docs = sharding.described(table(spark, sf_dir, "documents"))
+    return sharding.shard_by_curve(docs, SHARDS).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "hilbert",
+    )
+
+
+def decontaminate_sql(documents: str, span: int = 10) -> str:
+    """Every window of every item compared with every window of every document."""
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+        " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {words} AS w FROM {documents}),
+b AS MATERIALIZED (SELECT item_id, {words} AS w FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, span, array_to_string(w[i : i + span - 1], ' ') AS win
+    FROM (SELECT item_id, w, least(len(w), {span}) AS span, unnest(range(1, len(w) - least(len(w), {span}) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+spans AS (SELECT DISTINCT span FROM item_windows),
+doc_words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+runs AS (
+    SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {span - 1} FOLLOWING) AS run
+    FROM doc_words),
+doc_windows AS (
+    SELECT doc_id, span, i, array_to_string(run[1 : span], ' ') AS win FROM runs JOIN spans ON len(run) >= span),
+hits AS MATERIALIZED (
+    SELECT doc_id, i, span, item_id FROM doc_windows JOIN item_windows USING (span, win)),
+words_hit AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + span)) AS place FROM (SELECT DISTINCT doc_id, i, span FROM hits)) GROUP BY 1),
+items_hit AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS sha FROM hits GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)"""
+
+
+@query("op9_decontaminate", decontaminate_sql("documents"))
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
