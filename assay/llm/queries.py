@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, langid, packing, quality, sharding, toxicity
+from assay.llm import decontaminate, langid, near_dup, packing, quality, sharding, toxicity
 from assay.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,38 @@ FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)"""
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def near_duplicates_sql(documents: str, percent: int) -> str:
+    """Shingle sets as texts, every pair that shares a shingle, and reachability over the links."""
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+        " '[^ \\x09-\\x0D]+')"
+    )
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {words} AS w FROM {documents}),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+runs AS (
+    SELECT doc_id, n, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS run
+    FROM words),
+shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(run, ' ') AS s FROM runs WHERE i <= greatest(1, n - 4)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b USING (s)
+    WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= {percent} * (x.n + y.n - shared)),
+both_ways AS (SELECT a AS src, b AS dst FROM links UNION SELECT b, a FROM links),
+reach(id, lab) AS (
+    SELECT doc_id, doc_id FROM d UNION SELECT dst, lab FROM reach JOIN both_ways ON src = id),
+labels AS (SELECT id, min(lab) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN labels ON id = doc_id LEFT JOIN sizes USING (doc_id)"""
+
+
+@query("op3_near_duplicates", near_duplicates_sql("documents", 85))
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), 85)
