@@ -21,7 +21,16 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, no lineage, safe from lost executors."""
     path = new_shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def discard(kept: DataFrame) -> None:
+    """Delete what ``keep`` wrote, once nothing that is still to be computed reads it."""
+    spark = kept.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(kept.kept_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_remainder(doc_id: str | Column, parts: int) -> Column:

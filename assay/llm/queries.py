@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, langid, near_dup, packing, quality, sharding, toxicity
+from assay.llm import decontaminate, langid, near_dup, packing, quality, sharding, suffix_dedup, toxicity
 from assay.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,9 @@ FROM d JOIN labels ON id = doc_id LEFT JOIN sizes USING (doc_id)"""
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of every document."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document inside strings of 400 bytes that occur elsewhere too."""
+    return suffix_dedup.report(suffix_dedup.with_spans(table(spark, sf_dir, "documents")))
