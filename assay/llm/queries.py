@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, langid, near_dup, packing, quality, sharding, suffix_dedup, toxicity
+from assay.llm import decontaminate, fixity, langid, licenses, near_dup, packing, quality, sharding, suffix_dedup, toxicity
 from assay.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,62 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document inside strings of 400 bytes that occur elsewhere too."""
     return suffix_dedup.report(suffix_dedup.with_spans(table(spark, sf_dir, "documents")))
+
+
+FIXITY_SQL = """
+WITH archive AS (SELECT page_id, coalesce(url, '') || chr(10) || coalesce(html, '') AS body FROM pages),
+replica AS (
+    SELECT page_id, CASE WHEN page_id % 37 = 5 THEN coalesce(url, '') || chr(10) || coalesce(html, '') || '?' ELSE body END AS body
+    FROM archive JOIN pages USING (page_id)
+    WHERE (page_id // 64) % 16 = 3 AND page_id % 41 <> 7 OR (page_id // 64) % 16 <> 3),
+sized AS (SELECT page_id, body, octet_length(encode(body)) AS n FROM archive)
+SELECT s.page_id, (coalesce(sum(n) OVER (ORDER BY s.page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS offset,
+    1::BIGINT AS n_records, n::BIGINT AS n_bytes, sha256(s.body) AS digest,
+    CASE WHEN r.page_id IS NULL THEN 'missing' WHEN (s.page_id // 64) % 16 = 3 AND s.page_id % 37 = 5 THEN 'corrupt' ELSE 'ok' END AS status
+FROM sized s LEFT JOIN replica r ON r.page_id = s.page_id"""
+
+
+@query("op8_fixity", FIXITY_SQL)
+def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of all pages against a replica in which some ranges lost or damaged records."""
+    pages = table(spark, sf_dir, "pages")
+    struck = (F.expr("page_id div 64") % 16 == 3) & F.col("page_id").isNotNull()
+    damaged = F.when(struck & (F.col("page_id") % 37 == 5), F.concat(F.coalesce("html", F.lit("")), F.lit("?")))
+    replica = pages.filter(~struck | (F.col("page_id") % 41 != 7)).withColumn("html", damaged.otherwise(F.col("html")))
+    return fixity.audit(pages, replica, "page_id", ["url", "html"])
+
+
+def licenses_sql(documents: str) -> str:
+    """Containment of every template in every window of every document."""
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+        " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    )
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in licenses.NOTICES.items())
+    return f"""
+WITH notices(license_id, text) AS (VALUES {rows}),
+sources AS (
+    SELECT doc_id::VARCHAR AS src, {words} AS w FROM {documents} UNION ALL SELECT license_id, {words} FROM notices),
+words AS (SELECT src, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM sources),
+runs AS (
+    SELECT src, n, i, list(word) OVER (PARTITION BY src ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS run FROM words),
+shingles AS MATERIALIZED (SELECT src, i - 1 AS pos, array_to_string(run, ' ') AS s FROM runs WHERE i <= n - 4),
+wanted AS (SELECT DISTINCT license_id, s FROM notices JOIN shingles ON src = license_id),
+sizes AS (
+    SELECT license_id, count(*) AS n, pow(2, ceil(log2(count(*))))::BIGINT AS width FROM wanted GROUP BY 1),
+shapes AS (SELECT *, greatest(1, width // 4) AS stride, width + greatest(1, width // 4) - 1 AS span FROM sizes),
+spots AS (
+    SELECT doc_id, license_id, pos, s, n, stride, span FROM {documents} JOIN shingles ON src = doc_id::VARCHAR
+    JOIN wanted USING (s) JOIN shapes USING (license_id)),
+held AS (
+    SELECT doc_id, license_id, n, start, count(DISTINCT s) AS shared
+    FROM (SELECT *, unnest(range(greatest(0, (pos - span + stride) // stride) * stride, pos + 1, stride)) AS start FROM spots)
+    GROUP BY ALL)
+SELECT doc_id, license_id, max(shared / n) AS containment, count(*)::BIGINT AS n_windows, min(start)::BIGINT AS first_word
+FROM held WHERE shared / n >= {licenses.CONTAINMENT} GROUP BY 1, 2"""
+
+
+@query("op10_licenses", licenses_sql("documents"))
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))

@@ -403,9 +403,11 @@ def _report_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _cut_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their spans; a character that is only partly inside a span stays."""
+    """Texts without their spans; a character that is only partly inside a span stays, a row of
+    which only blanks are left goes."""
     for batch in batches:
         texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+        left = np.ones(batch.num_rows, bool)
         for k, held in enumerate(spans):
             if held:
                 raw = texts[k].encode()
@@ -417,11 +419,13 @@ def _cut_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         hi -= 1
                     inside[lo:hi] = True
                 texts[k] = np.frombuffer(raw, np.uint8)[~inside[:-1]].tobytes().decode()
+                left[k] = bool(texts[k].strip())
         at = batch.schema.get_field_index("text")
         columns = list(batch.columns)
         columns[at] = pa.array(texts, batch.schema.field("text").type)
         kept = [c for c, name in zip(columns, batch.schema.names, strict=True) if name != "spans"]
-        yield pa.RecordBatch.from_arrays(kept, [name for name in batch.schema.names if name != "spans"])
+        names = [name for name in batch.schema.names if name != "spans"]
+        yield pa.RecordBatch.from_arrays(kept, names).filter(pa.array(left))
 
 
 def with_spans(

@@ -232,3 +232,19 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(score_kernel(model), f"doc_id {kind}, score double")
+
+
+def _clean_kernel(model: ToxicityModel, below: float):
+    scored = score_kernel(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (out,) = scored(iter([batch.select(["text"])]))
+            yield batch.filter(pa.array(out.column("score").to_numpy() < below))
+
+    return run
+
+
+def clean(docs: DataFrame, model: ToxicityModel, below: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below the limit."""
+    return docs.mapInArrow(_clean_kernel(model, below), docs.schema)
