@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# For sessions on one machine only.
+LOCAL_FOLDER = "file:///tmp/checkpoints/assay"
+
 
 def local_session(app: str = "assay", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     spark = (
@@ -19,6 +21,7 @@ def local_session(app: str = "assay", cores: int | str = "*", shuffle_partitions
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.dir", LOCAL_FOLDER)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -26,21 +29,27 @@ def local_session(app: str = "assay", cores: int | str = "*", shuffle_partitions
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    A local master without the setting gets a temporary folder; a cluster without it is refused,
-    because a machine-local folder is lost with its machine.
+    Without either this is an error: a machine-local folder would be lost with its machine.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if context.getCheckpointDir() is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="assay-"))
-    return spark.sparkContext.getCheckpointDir().removeprefix("file:").rstrip("/")
+    return context.getCheckpointDir().rstrip("/")
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """Give a single-machine session without a checkpoint folder one of its own; leave others alone."""
+    context = spark.sparkContext
+    one_machine = context.master == "local" or context.master.startswith("local[")
+    if one_machine and not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
+        context.setCheckpointDir(LOCAL_FOLDER)
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
