@@ -122,9 +122,12 @@ def _entry_kernel(length: int, fan: int):
             data, offsets = text_bytes(batch.column("text"))
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             hashes = batch.column("th").to_numpy(zero_copy_only=False)
+            last = -1
             for start, own in parts(offsets, length):
                 at, gram, first = anchors(data[start : start + int(own[-1])], own, length, fan)
-                at = at + start
+                new = at + start > last  # parts of a long text may share their border's anchors
+                at, gram, first = at[new] + start, gram[new], first[new]
+                last = int(at[-1]) if len(at) else last
                 row = np.searchsorted(offsets, at, side="right") - 1
                 before = np.minimum(at - offsets[row], reach)
                 after = np.minimum(offsets[row + 1] - at, length)
@@ -344,15 +347,20 @@ def repeated_spans(docs: DataFrame, length: int, fan: int, batches: int, first_s
         discard(level)
 
     # whole contexts that occur more than once
-    copies = matched.filter("n > 1").select(*SuffixFamily.KEY, F.col("rep.id").alias("least"))
+    copies = matched.filter("n > 1").select(*SuffixFamily.KEY, F.col("rep").alias("first"))
     members = every.join(keep(copies, "suffix-copies"), list(SuffixFamily.KEY))
+    rows = matched.select("gram", "n", "rep.*")
     if first_stays:
-        members = members.filter("id > least")
+        # further places of a context in its first document are settled like the first place
+        again = members.filter("id = first.id AND struct(th, pos) <> struct(first.th, first.pos)")
+        rows = rows.unionByName(again.select("gram", F.lit(2).cast("long").alias("n"), "id", "th", "pos", "before", "after"))
+        members = members.filter("id > first.id")
     spans = members.select("id", "th", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") + F.col("after")).alias("hi"))
 
     # different contexts of one k-gram
-    crowd = keep(matched.groupBy("gram").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "suffix-grams")
-    contested = matched.join(crowd, "gram").select("gram", "contexts", "n", "rep.*")
+    rows = keep(rows, "suffix-rows") if first_stays else rows
+    crowd = keep(rows.groupBy("gram").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "suffix-grams")
+    contested = rows.join(crowd, "gram").select("gram", "contexts", "n", "id", "th", "pos", "before", "after")
     start, size = F.col("pos") - F.col("before") + 1, F.col("before") + F.col("after")
     data = F.substring(F.col("text").cast("binary"), start, size).alias("data")
     texts = docs.filter(F.octet_length("text") >= length)
