@@ -29,7 +29,6 @@ TILE_ROWS_MAX = 65536
 # Pairs one task should compare. Comparing costs far more than the bytes suggest, so the number of
 # tasks follows the pairs to compare and not the size of the data.
 PAIRS_PER_TASK = 20_000_000
-MAX_TASKS = 20_000
 # Hot keys up to this many are broadcast (a 64-bit key and a small count each); more are joined.
 BROADCAST_KEYS = 200_000
 
@@ -127,6 +126,26 @@ def block_sizes(df: DataFrame, spec: MatchSpec, block: int = 0) -> DataFrame:
     )
 
 
+def unblocked_records(df: DataFrame, spec: MatchSpec) -> DataFrame:
+    """Per blocking pass how many records have a key and how many take no part, and the same for all passes.
+
+    ``blocking_pass`` counts from 0; the row with a null pass counts records that are in no pass at all.
+    """
+    keys = block_keys(spec, df.columns)
+    held = df.select(*[k.isNotNull().alias(f"_k{i}") for i, k in enumerate(keys)])
+    anywhere = reduce(lambda x, y: x | y, [F.col(f"_k{i}") for i in range(len(keys))])
+    sides = [(F.lit(i), F.col(f"_k{i}")) for i in range(len(keys))] + [(F.lit(None).cast("int"), anywhere)]
+    counts = held.agg(
+        *[F.count(F.when(k, 1)).alias(f"_in{n}") for n, (_, k) in enumerate(sides)],
+        *[F.count(F.when(~k, 1)).alias(f"_out{n}") for n, (_, k) in enumerate(sides)],
+    )
+    rows = [
+        F.struct(p.alias("blocking_pass"), F.col(f"_in{n}").alias("blocked"), F.col(f"_out{n}").alias("unblocked"))
+        for n, (p, _) in enumerate(sides)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def _tokens(prof: DataFrame, spec: MatchSpec) -> DataFrame:
     """Every join key of every profile: one per blocking pass and evidence set."""
     method = {a.column: a.method for a in spec.attributes}
@@ -167,7 +186,7 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
     load = sizes.agg(
         F.sum(n * (n - 1) / 2).alias("pairs"), F.count(F.when(F.col("size") > tile_rows, 1)).alias("hot")
     ).first()
-    tasks = min(int((load["pairs"] or 0) // PAIRS_PER_TASK), MAX_TASKS)
+    tasks = int((load["pairs"] or 0) // PAIRS_PER_TASK)
 
     def spread(side: DataFrame) -> DataFrame:
         if tasks < 2:

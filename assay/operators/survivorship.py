@@ -9,10 +9,6 @@ from assay.functions import text
 from assay.operators.matching import MEMBER
 from assay.specs import SurvivorshipSpec
 
-# Groups up to this many members carry their member list inside the golden row. The match
-# groups table always lists every member, so larger groups lose nothing.
-INLINE_MEMBERS = 100_000
-
 _LAST = 2**62
 
 
@@ -57,25 +53,28 @@ def surviving_values(joined: DataFrame, spec: SurvivorshipSpec, group: str, key:
     return joined.groupBy(group).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns])
 
 
-def roll_up(groups: DataFrame, inline_members: int = INLINE_MEMBERS) -> DataFrame:
-    """Member count, sorted member ids and mean confidence of every group.
+def roll_up(groups: DataFrame) -> DataFrame:
+    """Member count and mean confidence of every group, combined before the shuffle."""
+    return groups.groupBy("golden_id").agg(
+        F.count("*").alias("source_record_count"), F.avg("match_confidence").alias("match_confidence")
+    )
+
+
+def golden_members(groups: DataFrame) -> DataFrame:
+    """(golden_id, member): which record went into which golden record, one row each."""
+    return groups.select("golden_id", F.col(MEMBER).alias("member")).distinct()
+
 
-    One aggregate, as long as every group is small enough for its ids to fit in a row. Otherwise
-    the members of the larger groups stay out of the id lists; at most rows / inline_members such
-    groups exist, which bounds what is broadcast, and their members are never moved.
+def with_member_lists(golden: DataFrame, groups: DataFrame) -> DataFrame:
+    """Golden rows with ``source_customer_ids``, the sorted ids of all members, whatever their number.
+
+    A row holds its whole list, so a group of many millions makes a row to match: where such groups
+    are expected, publish ``golden_members`` and leave the list out.
     """
-    sized = groups.groupBy("golden_id").agg(
-        F.count("*").alias("source_record_count"), F.avg("match_confidence").alias("match_confidence")
+    listed = golden_members(groups).groupBy("golden_id").agg(
+        F.array_sort(F.collect_list("member")).alias("source_customer_ids")
     )
-    ids = F.array_sort(F.collect_set(MEMBER)).alias("source_customer_ids")
-    widest = sized.agg(F.max("source_record_count")).first()[0] or 0
-    if widest <= inline_members:
-        return groups.groupBy("golden_id").agg(
-            F.count("*").alias("source_record_count"), F.avg("match_confidence").alias("match_confidence"), ids
-        )
-    too_big = F.broadcast(sized.filter(F.col("source_record_count") > inline_members).select("golden_id"))
-    listed = groups.join(too_big, on="golden_id", how="left_anti").groupBy("golden_id").agg(ids)
-    return sized.join(listed, on="golden_id", how="left")
+    return golden.join(listed, on="golden_id")
 
 
 def golden_records(
@@ -84,14 +83,13 @@ def golden_records(
     spec: SurvivorshipSpec,
     as_of,
     member_key: str = "record_key",
-    inline_members: int = INLINE_MEMBERS,
     **order,
 ) -> DataFrame:
-    """Surviving record of every group with its size, members, confidence and review status."""
+    """Surviving record of every group with its size, confidence and review status."""
     members = groups.select("golden_id", F.col(MEMBER).alias(member_key))
     joined = passed.join(members, on=member_key)
     winners = surviving_rows(joined, spec, "golden_id", member_key, **order)
-    rolled = roll_up(groups, inline_members)
+    rolled = roll_up(groups)
     return winners.join(rolled, on="golden_id").select(
         "*",
         F.lit(as_of).cast("timestamp").alias("merged_at"),

@@ -28,10 +28,18 @@ STOPPING = ("failed", "stale", "error")
 
 
 def enforce(status: DataFrame) -> DataFrame:
-    """Raise when any status row stops the run. Status rows are one per subject, so few."""
-    bad = status.filter(F.col("status").isin(*STOPPING)).select("subject", "status", "detail").collect()
+    """Raise when any status row stops the run, with how many there are per status and the first of each."""
+    first = F.min(F.struct(F.col("subject").cast("string").alias("subject"), F.col("detail").cast("string").alias("detail")))
+    bad = (
+        status.filter(F.col("status").isin(*STOPPING))
+        .groupBy("status")
+        .agg(F.count("*").alias("n"), first.alias("first"))
+        .orderBy("status")
+        .collect()  # a row for each of STOPPING at most
+    )
     if bad:
-        raise GateFailure("; ".join(f"{r['subject']}: {r['status']} ({r['detail']})" for r in bad))
+        told = [f"{r['status']}: {r['n']}, first {r['first']['subject']} ({r['first']['detail']})" for r in bad]
+        raise GateFailure("; ".join(told))
     return status
 
 
@@ -51,11 +59,11 @@ def freshness(latest: DataFrame, sla: DataFrame, as_of) -> DataFrame:
     )
     late = F.col("age_hours") > F.col("sla_hours")
     status = F.when(F.col("latest").isNull(), "error").when(late, "stale").otherwise("ok")
-    detail = F.when(F.col("latest").isNull(), F.coalesce("problem", F.lit("no files found"))).when(
+    detail = F.when(F.col("latest").isNull(), F.coalesce("problem", F.lit("nothing has arrived"))).when(
         late,
         F.concat(
-            F.lit("latest file is "), F.format_string("%.1f", "age_hours"), F.lit("h old, SLA is "),
-            F.format_string("%.0f", "sla_hours"), F.lit("h"),
+            F.lit("newest arrival "), F.format_string("%.1f", "age_hours"), F.lit(" hours ago, allowed "),
+            F.format_string("%.0f", "sla_hours"),
         ),
     )
     return joined.select(
@@ -125,12 +133,16 @@ def quarantine_rate(
 ) -> DataFrame:
     """Share of the records since ``day`` that were quarantined, one row per listed entity.
 
-    The day is a filter on the scan, so older records are not read.
+    A record with a low score that a steward let through (``steward_override``, if there is that column)
+    was not quarantined. The day is a filter on the scan, so older records are not read.
     """
+    low = F.col("dq_score") < F.lit(min_score)
+    if "steward_override" in scored.columns:
+        low = low & ~F.coalesce("steward_override", F.lit(False))
     counts = (
         scored.filter(F.col(ts) >= F.lit(day).cast("timestamp"))
         .groupBy("entity")
-        .agg(F.count(F.when(F.col("dq_score") < F.lit(min_score), 1)).alias("quarantined"), F.count("*").alias("scored"))
+        .agg(F.count(F.when(low, 1)).alias("quarantined"), F.count("*").alias("scored"))
     )
     listed = scored.sparkSession.createDataFrame([(e,) for e in entities], "entity string")
     rate = F.col("quarantined") * 1.0 / F.greatest(F.col("scored"), F.lit(1))
@@ -171,7 +183,9 @@ def missing_status(check: str, entities: DataFrame, missing: DataFrame, subject:
 
 
 def tagged_usage(usage: DataFrame, tag: str) -> DataFrame:
-    """Usage rows of a project, by tag or by job name."""
+    """Usage rows of a project, by tag or by job name; an empty tag would match every job."""
+    if not tag:
+        raise ValueError("usage needs a project tag")
     job = F.col("usage_metadata.job_name")
     return usage.filter((F.col("custom_tags")["project"] == F.lit(tag)) | job.contains(tag))
 

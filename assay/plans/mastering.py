@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assay.operators import quality, survivorship
 from assay.operators.matching import Matched, match_records
@@ -27,7 +28,12 @@ class Mastered:
     golden: DataFrame
 
     def published(self, entity: EntitySpec) -> DataFrame:
-        return publish(self.golden, entity)
+        """Golden rows in their published columns, with the ids of all members."""
+        return publish(survivorship.with_member_lists(self.golden, self.groups), entity)
+
+    @property
+    def members(self) -> DataFrame:
+        return survivorship.golden_members(self.groups)
 
 
 def standardized_batch(spark: SparkSession, entity: EntitySpec, as_of, paths: dict[str, str] | None = None) -> DataFrame:
@@ -54,9 +60,11 @@ def master(
     kept, rejected = quality.expect_all_or_drop(
         quality.score(standardized, rules), quality.identity_expectations(entity.id_column, entity.name_column)
     )
-    scored = latest_per_record(with_record_key(kept, entity.id_column))
-    # read by matching, grouping and merging alike
-    passed = cut(quality.passed(scored, minimum, approved))
+    latest = latest_per_record(with_record_key(kept, entity.id_column))
+    # read by both sides of the gate, by matching, grouping and merging
+    scored = cut(quality.flag_overrides(latest, approved, minimum, "record_key"))
+    passed = scored.filter((F.col("dq_score") >= F.lit(minimum)) | F.col("steward_override"))
+    low = scored.filter((F.col("dq_score") < F.lit(minimum)) & ~F.col("steward_override"))
     to_match = passed
     if entity.match.match_invalid == "null":
         to_match = quality.blank_invalid(passed, rules, [a.column for a in entity.match.attributes])
@@ -66,6 +74,4 @@ def master(
     golden = cut(survivorship.golden_records(passed, groups, entity.survivorship, as_of))
     if enforce_gold:
         quality.expect_or_fail(golden, quality.gold_expectations(minimum))
-    return Mastered(
-        scored, rejected, passed, quality.quarantined(scored, minimum, approved, "record_key"), matched, groups, golden
-    )
+    return Mastered(scored, rejected, passed, low.drop("steward_override"), matched, groups, golden)

@@ -6,26 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Rank error of a sketched quantile is at most rows / QUANTILE_ACCURACY; a slice with fewer rows
-# than this gets exact values. Memory of the sketch does not grow with the rows.
-QUANTILE_ACCURACY = 100_000
+# Rank error of a sketched quantile is at most rows / QUANTILE_ACCURACY.
+QUANTILE_ACCURACY = 10_000
 QUANTILES = (0.25, 0.5, 0.75)
 
 
 def profile(
-    df: DataFrame, slices: list[str], ts: str, numeric: list[str], categorical: list[str], distinct: str = "approx"
+    df: DataFrame, slices: list[str], ts: str, numeric: list[str], categorical: list[str], figures: str = "exact"
 ) -> DataFrame:
     """One row per slice, day and column: counts, nulls, distinct values, moments, range, quartiles.
 
-    A single aggregate with map-side combine over one scan. ``distinct='exact'`` costs an extra
-    shuffle of the distinct values.
+    ``figures`` says how distinct values and quartiles are found, at every size alike: 'exact' counts each
+    value (one more shuffle of the distinct values), 'approx' takes sketches within one aggregate.
     """
-    counter = F.count_distinct if distinct == "exact" else F.approx_count_distinct
+    if figures not in ("exact", "approx"):
+        raise ValueError(f"figures must be exact or approx, not {figures}")
+    exact = figures == "exact"
+    counter = F.count_distinct if exact else F.approx_count_distinct
+    names = [f"p{int(q * 100)}" for q in QUANTILES]
 
     def metrics(name: str, is_number: bool) -> Column:
         c = F.col(name)
         none = F.lit(None).cast("double")
-        quartiles = F.percentile_approx(c.cast("double"), list(QUANTILES), QUANTILE_ACCURACY) if is_number else None
+        sketch = F.percentile_approx(c.cast("double"), list(QUANTILES), QUANTILE_ACCURACY)
+        quartiles = [] if exact else [F.element_at(sketch, i + 1) if is_number else none for i in range(len(names))]
         return F.struct(
             F.lit(name).alias("column_name"),
             F.count("*").alias("rows"),
@@ -35,15 +39,30 @@ def profile(
             (F.stddev_samp(c.cast("double")) if is_number else none).alias("std"),
             (F.min(c.cast("double")) if is_number else none).alias("min"),
             (F.max(c.cast("double")) if is_number else none).alias("max"),
-            *[
-                (F.element_at(quartiles, i + 1) if is_number else none).alias(f"p{int(q * 100)}")
-                for i, q in enumerate(QUANTILES)
-            ],
+            *[q.alias(n) for q, n in zip(quartiles, names)],
         )
 
     wide = [metrics(c, True) for c in numeric] + [metrics(c, False) for c in categorical]
-    grouped = df.groupBy(*slices, F.to_date(ts).alias("day")).agg(F.array(*wide).alias("_m"))
-    return grouped.select(*slices, "day", F.inline("_m"))
+    keyed = df.withColumn("day", F.to_date(ts))
+    found = keyed.groupBy(*slices, "day").agg(F.array(*wide).alias("_m")).select(*slices, "day", F.inline("_m"))
+    if not exact:
+        return found
+    quartiles = _quartiles(keyed, [*slices, "day"], numeric, names) if numeric else None
+    if quartiles is None:
+        return found.select("*", *[F.lit(None).cast("double").alias(n) for n in names])
+    same = [found[c].eqNullSafe(quartiles[c]) for c in (*slices, "day", "column_name")]
+    return found.join(quartiles, same, "left").select(found["*"], *names)
+
+
+def _quartiles(df: DataFrame, group: list[str], numeric: list[str], names: list[str]) -> DataFrame:
+    """Smallest value of each numeric column with at least the asked share of the values at or below it."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_value")) for c in numeric]
+    values = df.select(*group, F.inline(F.array(*pairs))).filter(F.col("_value").isNotNull())
+    counts = values.groupBy(*group, "column_name", "_value").agg(F.count("*").alias("_n"))
+    whole = W.partitionBy(*group, "column_name")
+    placed = counts.withColumn("_upto", F.sum("_n").over(whole.orderBy("_value"))).withColumn("_all", F.sum("_n").over(whole))
+    at = [F.min(F.when(F.col("_upto") >= F.col("_all") * F.lit(q), F.col("_value"))) for q in QUANTILES]
+    return placed.groupBy(*group, "column_name").agg(*[a.alias(n) for a, n in zip(at, names)])
 
 
 def drift(profiled: DataFrame, slices: list[str]) -> DataFrame:

@@ -57,6 +57,10 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget how it was made."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as Parquet in the shared folder and forget how it was made.
+
+    Unlike a checkpoint it is read back by column, with statistics and pushed filters.
+    """
+    path = new_shared_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

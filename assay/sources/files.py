@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,17 +11,46 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from assay.specs import SourceSpec
 
-# JSON landing files hold one array of records each; CSV files have a header row.
-READ_OPTIONS = {"json": {"multiLine": "true"}, "csv": {"header": "true"}, "parquet": {}}
+# JSON landing files hold one array of records each; CSV files have a header row. CSV columns go by the
+# names in the header, which every file of a folder must agree on.
+READ_OPTIONS = {"json": {"multiLine": "true"}, "csv": {"header": "true", "enforceSchema": "false"}, "parquet": {}}
 DATA_FILES = {"json": "*.json", "csv": "*.csv", "parquet": "*.parquet"}
 
 
-def raw_schema(spark: SparkSession, source: SourceSpec, path: str) -> StructType:
-    """Explicit schema of a source: text for JSON and CSV, so '01234' stays as it is; the types
-    in the file footer for parquet."""
-    if source.format == "parquet":
-        return spark.read.parquet(path).schema
-    return StructType([StructField(c, StringType()) for c in dict.fromkeys(source.columns.values())])
+def raw_schema(spark: SparkSession, source: SourceSpec, path: str, pattern: str | None = None) -> StructType:
+    """Schema of a source with every raw column, in the order of the files.
+
+    Text for CSV and JSON, so '01234' stays as it is; the types in the file footer for parquet. Names
+    are found by Spark: from the header of a CSV file, from all records of JSON files. A mapped column
+    that no file has is an error.
+    """
+    reader = spark.read.format(source.format).options(**READ_OPTIONS[source.format])
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if source.format == "csv":
+        reader = reader.option("enforceSchema", "true")
+    if source.format == "json":
+        reader = reader.option("primitivesAsString", "true")
+    found = reader.load(path).schema
+    if source.format != "parquet":
+        found = StructType([StructField(f.name, StringType()) for f in found])
+    missing = sorted(set(source.columns.values()) - set(found.names))
+    if missing:
+        raise ValueError(f"source {source.name}: no column {', '.join(missing)} in {path}")
+    return found
+
+
+def remembered_schema(spark: SparkSession, source: SourceSpec, path: str, store: str, pattern: str | None = None) -> StructType:
+    """The schema kept at ``store``, or the present one, which is then kept: later files are read by it."""
+    try:
+        return StructType.fromJson(json.loads(spark.read.parquet(store).first()["schema"]))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    found = raw_schema(spark, source, path, pattern)
+    kept = spark.range(1).select(F.lit(json.dumps(found.jsonValue())).alias("schema"))
+    kept.coalesce(1).write.parquet(store)
+    return found
 
 
 def read_batch(spark: SparkSession, source: SourceSpec, path: str | None = None) -> DataFrame:
@@ -46,7 +77,7 @@ def read_stream(
         reader = reader.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.schema(schema or raw_schema(spark, source, path)).load(path)
+    return reader.schema(schema or raw_schema(spark, source, path, pattern)).load(path)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -67,7 +98,7 @@ def latest_file(spark: SparkSession, source: SourceSpec, path: str | None = None
         files = list_files(spark, path or source.landing_path, DATA_FILES[source.format])
     except AnalysisException:
         return spark.range(1).select(
-            *tag, F.lit(None).cast("timestamp").alias("latest"), F.lit("landing path not found").alias("problem")
+            *tag, F.lit(None).cast("timestamp").alias("latest"), F.lit("no such folder").alias("problem")
         )
     newest = files.agg(F.max("modificationTime").alias("latest"))
-    return newest.select(*tag, "latest", F.when(F.col("latest").isNull(), F.lit("no files found")).alias("problem"))
+    return newest.select(*tag, "latest", F.when(F.col("latest").isNull(), F.lit("nothing has arrived")).alias("problem"))

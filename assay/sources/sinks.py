@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +18,27 @@ def append_log(df: DataFrame, path: str, day_of: str | None = None) -> None:
 
 
 def overwrite_snapshot(df: DataFrame, root: str, version: int) -> None:
-    """Write a full new version, then point to it. Readers see the old or the new version whole."""
-    df.write.mode("errorifexists").parquet(f"{root}/data/version={version}")
-    pointer = df.sparkSession.range(1).select(F.lit(version).cast("long").alias("version"))
+    """Write a full new version, then point to it. Readers see the old or the new version whole.
+
+    The data go to a folder of a new name, so a run that broke off half-way is simply run again.
+    """
+    folder = f"version={version}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{root}/data/{folder}")
+    pointer = df.sparkSession.range(1).select(
+        F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"), F.current_timestamp().alias("written")
+    )
     pointer.coalesce(1).write.mode("append").parquet(f"{root}/current")
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The current version, or an earlier one by number."""
-    if version is None:
-        version = spark.read.schema("version long").parquet(f"{root}/current").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{root}/data/version={version}")
+    """The current version, or an earlier one by number; of a version written twice, the later one."""
+    known = spark.read.schema("version long, folder string, written timestamp").parquet(f"{root}/current")
+    if version is not None:
+        known = known.filter(F.col("version") == version)
+    held = known.agg(F.max_by("folder", F.struct("version", "written")).alias("folder")).first()
+    if held["folder"] is None:
+        raise ValueError(f"no version {version} under {root}")
+    return spark.read.parquet(f"{root}/data/{held['folder']}")
 
 
 def control_table(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -211,10 +211,14 @@ def load_entity(name_or_path: str) -> EntitySpec:
     )
 
 
-def load_cost(path=None) -> CostSpec:
+def load_cost(path=None, project_tag: str | None = None) -> CostSpec:
+    """Spend limits and prices; the project whose usage counts must be named by the file or the caller."""
     raw = _read_yaml(path or CONF_DIR / "cost.yml")
+    project = project_tag or raw.get("project_tag")
+    if not project:
+        raise ValueError("a cost check needs a project tag: without one it would count every job")
     return CostSpec(
-        raw.get("project_tag") or "",
+        project,
         int(raw["lookback_days"]),
         float(raw["daily_budget_usd"]),
         float(raw["hard_limit_usd"]),
@@ -233,12 +237,12 @@ def load_rules(path) -> tuple[tuple[RuleSpec, ...], float | None]:
 def load_match(path) -> tuple[MatchSpec, SurvivorshipSpec]:
     """Matching and survivorship of a match-rules-only YAML file.
 
-    Only the geographic pass is active, as in the shipped entities; the other declared
-    passes can be switched on with ``MatchSpec.with_options(blocking=...)``.
+    Every blocking pass the file declares is active, but for those written as a mapping with ``active: false``.
     """
     raw = _read_yaml(path)
+    passes = [p for p in raw["blocking_keys"] if not isinstance(p, dict) or p.get("active", True)]
     spec = MatchSpec(
-        (("country_code", "postal_code_prefix"),),
+        _passes([p["columns"] if isinstance(p, dict) else p for p in passes]),
         _attributes(raw["match_attributes"]),
         float(raw["match_threshold"]),
     )

@@ -6,6 +6,7 @@ file. Standardising is stateless, so nothing is shuffled and no watermark is nee
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +16,10 @@ from assay.sources import files
 from assay.specs import EntitySpec, SourceSpec
 
 
+class IngestError(RuntimeError):
+    """Some sources did not land; the message names them."""
+
+
 def tag_stream(df: DataFrame, source: SourceSpec, as_of=None) -> DataFrame:
     """Provenance for streamed rows; the load time is the batch time unless given."""
     loaded = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
@@ -48,27 +53,43 @@ def ingest_source(
     max_files: int | None = None,
     pattern: str | None = None,
 ) -> StreamingQuery:
-    """Append every landing file not seen before to the raw table of the source."""
+    """Append every landing file not seen before to the raw table of the source.
+
+    Unless given, the schema of the first run is kept beside the checkpoint and used from then on.
+    """
+    if schema is None:
+        schema = files.remembered_schema(spark, source, landing, f"{checkpoint.rstrip('/')}-schema", pattern)
     raw = files.read_stream(spark, source, landing, schema=schema, max_files=max_files, pattern=pattern)
     return _drain(tag_stream(raw, source, as_of), table, checkpoint)
 
 
 def ingest_entity(spark: SparkSession, entity: EntitySpec, root: str, as_of=None, landing: str | None = None) -> dict:
-    """Start one query per source of the entity and wait for all; returns raw table paths."""
+    """Start one query per source of the entity and wait for all; returns raw table paths.
+
+    A source that cannot start or fails does not keep the others from landing; which ones failed, and
+    why, is raised at the end.
+    """
     tables = {s.name: f"{root}/{s.raw_table}" for s in entity.sources}
-    running = [
-        ingest_source(
-            spark,
-            s,
-            f"{landing}/{s.landing_path}" if landing else s.landing_path,
-            tables[s.name],
-            f"{root}/_checkpoints/{s.raw_table}",
-            as_of,
-        )
-        for s in entity.sources
-    ]
-    for query in running:
-        query.awaitTermination()
+    running, failed = {}, {}
+    for s in entity.sources:
+        try:
+            running[s.name] = ingest_source(
+                spark,
+                s,
+                f"{landing}/{s.landing_path}" if landing else s.landing_path,
+                tables[s.name],
+                f"{root}/_checkpoints/{s.raw_table}",
+                as_of,
+            )
+        except (PySparkException, ValueError) as e:
+            failed[s.name] = e
+    for name, query in running.items():
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as e:
+            failed[name] = e
+    if failed:
+        raise IngestError("; ".join(f"{name}: {str(e).splitlines()[0]}" for name, e in failed.items()))
     return tables
 
 

@@ -13,7 +13,7 @@ NOW = datetime(2026, 1, 10, 12)
 def test_freshness_states_and_enforcement(spark):
     latest = spark.createDataFrame(
         [("customer", "erp", datetime(2026, 1, 10, 11), None), ("customer", "crm", datetime(2026, 1, 9), None),
-         ("customer", "api", None, "landing path not found")],
+         ("customer", "api", None, "no such folder")],
         "entity string, source string, latest timestamp, problem string",
     )
     sla = spark.createDataFrame(
@@ -22,10 +22,10 @@ def test_freshness_states_and_enforcement(spark):
     out = checks.freshness(latest, sla, NOW)
     rows = {r.source: r for r in out.collect()}
     assert {s: r.status for s, r in rows.items()} == {"erp": "ok", "crm": "stale", "api": "error", "flat": "error"}
-    assert rows["crm"].detail == "latest file is 36.0h old, SLA is 6h" and rows["erp"].age_hours == 1.0
-    assert rows["api"].detail == "landing path not found" and rows["flat"].detail == "no files found"
+    assert rows["crm"].detail == "newest arrival 36.0 hours ago, allowed 6" and rows["erp"].age_hours == 1.0
+    assert rows["api"].detail == "no such folder" and rows["flat"].detail == "nothing has arrived"
     status = checks.as_status("freshness", out, F.concat_ws("/", "entity", "source"))
-    with pytest.raises(GateFailure, match="customer/crm: stale"):
+    with pytest.raises(GateFailure, match="error: 2, first customer/api.*stale: 1, first customer/crm"):
         checks.enforce(status)
     fine = status.filter("status = 'ok'")
     assert checks.enforce(fine) is fine
@@ -39,8 +39,8 @@ def test_landing_folders(spark, tmp_path):
     specs = [SourceSpec(n, "csv", "customer", str(tmp_path / n), 1, 24.0) for n in ("good", "empty", "schema_only", "absent")]
     rows = {r.source: (r.status, r.detail) for r in checks.landing_freshness(spark, specs, datetime.now()).collect()}
     assert rows["good"] == ("ok", None)
-    assert rows["empty"] == rows["schema_only"] == ("error", "no files found")
-    assert rows["absent"] == ("error", "landing path not found")
+    assert rows["empty"] == rows["schema_only"] == ("error", "nothing has arrived")
+    assert rows["absent"] == ("error", "no such folder")
 
 
 def counts(spark, *numbers):
@@ -118,7 +118,7 @@ def test_profile_and_drift(spark):
         [("x", datetime(2026, 1, 1), 1.0), ("x", datetime(2026, 1, 1), None), ("x", datetime(2026, 1, 2), 5.0)],
         "s string, ts timestamp, v double",
     )
-    prof = monitoring.profile(df, ["s"], "ts", ["v"], ["s"], distinct="exact")
+    prof = monitoring.profile(df, ["s"], "ts", ["v"], ["s"], figures="exact")
     rows = {(r.day.day, r.column_name): r for r in prof.collect()}
     assert len(rows) == 4 and rows[(1, "v")].nulls == 1 and rows[(1, "v")]["mean"] == 1.0 and rows[(2, "v")]["p50"] == 5.0
     assert rows[(1, "s")].distinct_values == 1 and rows[(1, "s")]["mean"] is None

@@ -12,9 +12,10 @@ def quality(spark, predicted, truth):
 
 
 def test_one_false_merge(spark):
-    row = quality(spark, [("A", "G1"), ("B", "G1"), ("C", "G1")], [("A", "T1"), ("B", "T1"), ("C", "T2")])
-    assert (int(row.tp), int(row.fp), int(row.fn)) == (1, 2, 0)
-    assert row.precision == pytest.approx(1 / 3) and row.recall == 1.0 and row.f1 == pytest.approx(0.5)
+    merged = [(f"m{n}", "g") for n in range(6)]
+    row = quality(spark, merged, [(m, "x" if m < "m4" else "y") for m, _ in merged])
+    assert (int(row.tp), int(row.fp), int(row.fn)) == (7, 8, 0)
+    assert row.precision == pytest.approx(7 / 15) and row.recall == 1.0 and row.f1 == pytest.approx(14 / 22)
 
 
 def test_missed_pair_and_unknown_member(spark):

@@ -146,17 +146,21 @@ def test_block_sizes_count_without_pairs(spark):
 # ---- groups
 
 
-def test_near_duplicates_across_sources(spark):
-    got = groups_of(
-        spark,
-        [
-            ("erp:1", "Jane Doe", "TAX-1", "US", "10001"),
-            ("crm:1", "Jane Doe", "TAX-1", "US", "10099"),
-            ("erp:2", "Bob Smith", "TAX-2", "US", "99999"),
-        ],
-    )
-    assert got["erp:1"] == got["crm:1"] == ("crm:1", 1.0)
-    assert got["erp:2"] == ("erp:2", 1.0)
+def test_records_of_one_name_and_number_meet_only_inside_a_block(spark):
+    rows = [(f"{source}:{n}", "Ines Okafor", "NL-20-774", "NL", code) for n, (source, code) in enumerate(
+        [("shop", "3011AB"), ("ledger", "3012ZZ"), ("forms", "3019QQ"), ("shop", "9711XY")]
+    )]
+    got = groups_of(spark, [*rows, ("shop:9", "Tomas Varga", "HU-1", "NL", "3011AB")])
+    assert {got[r[0]] for r in rows[:3]} == {("forms:2", 1.0)}
+    assert got["shop:3"] == ("shop:3", 1.0) and got["shop:9"] == ("shop:9", 1.0)
+
+
+def test_records_without_a_block_are_counted(spark):
+    rows = [("a", "x", "t", "NL", "3011AB"), ("b", "x", "t", None, "3011AB"), ("c", "x", None, None, "3011AB")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    spec = SPEC.with_options(blocking=(("country_code", "postal_code_prefix"), ("tax_id",)))
+    got = {r.blocking_pass: (r.blocked, r.unblocked) for r in blocking.unblocked_records(df, spec).collect()}
+    assert got == {0: (1, 2), 1: (2, 1), None: (2, 1)}
 
 
 @pytest.mark.parametrize(

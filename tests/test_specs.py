@@ -49,7 +49,9 @@ def test_unknown_policies_and_formats_raise():
 
 
 def test_cost_settings():
-    cost = load_cost()
+    with pytest.raises(ValueError, match="project tag"):
+        load_cost()
+    cost = load_cost(project_tag="p")
     assert (cost.daily_budget_usd, cost.hard_limit_usd, cost.unit_price_usd["default"]) == (25.0, 100.0, 0.25)
 
 
@@ -62,6 +64,7 @@ def test_separate_yaml_files(tmp_path):
     assert rules[0].pattern == "^x" and minimum == 0.8
     (tmp_path / "match.yml").write_text(
         "id_column: id\nmatch_threshold: 0.6\nauto_merge_threshold: 0.9\n"
+        "blocking_keys: [[a, b], {columns: [c], active: false}, {columns: [d]}]\n"
         "match_attributes: [{column: n, method: exact, weight: 1}]\n"
         "survivorship: {source_priority: [x, y]}\n"
     )

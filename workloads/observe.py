@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators import quality, review
+from assay.operators.standardize import union_all
 from assay.plans import checks, monitoring, reports
 from assay.session import new_shared_path
+from assay.sources import sinks
+from assay.sources.files import read_batch
 from assay.specs import CostSpec, RuleSpec, SourceSpec, load_cost
 from assay.streaming import ingest
 from workloads.registry import AS_OF, AS_OF_DAY, query, r, table
@@ -260,7 +263,7 @@ def _usage(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("sku_name"),
         F.col("l_quantity").alias("usage_quantity"),
-        F.to_date("l_shipdate").alias("usage_date"),
+        F.col("l_shipdate").alias("usage_date"),
         F.create_map(F.lit("project"), F.col("l_linestatus")).alias("custom_tags"),
         F.struct(F.concat(F.lit("job-"), F.col("l_suppkey") % 10).alias("job_name")).alias("usage_metadata"),
     )
@@ -290,15 +293,15 @@ def cost_by_sku(spark, sf_dir):
     SELECT skus, round(usd, 4) AS total_usd, CASE WHEN usd > 100 THEN 'failed' WHEN usd > 25 THEN 'warn' ELSE 'ok' END AS status FROM t""",
 )
 def cost_status(spark, sf_dir):
-    limits = load_cost()
-    spec = CostSpec("O", limits.lookback_days, limits.daily_budget_usd, limits.hard_limit_usd, PRICES)
+    limits = load_cost(project_tag="O")
+    spec = CostSpec(limits.project_tag, limits.lookback_days, limits.daily_budget_usd, limits.hard_limit_usd, PRICES)
     by_sku = checks.cost_by_sku(checks.tagged_usage(_usage(spark, sf_dir), "O"), PRICES, *WINDOW)
     return checks.cost_status(by_sku, spec).drop("detail").withColumn("total_usd", r("total_usd", 4))
 
 
 def _profiled(spark, sf_dir) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 10 != 0, F.col("value")))
-    return monitoring.profile(events, ["event_type"], "ts", ["value"], ["user_id"], distinct="exact")
+    return monitoring.profile(events, ["event_type"], "ts", ["value"], ["user_id"], figures="exact")
 
 
 _PROFILE = """e AS (SELECT event_type, ts::DATE AS day, CASE WHEN event_id % 10 <> 0 THEN value END AS value, user_id FROM events),
@@ -358,7 +361,7 @@ DOCUMENT_RULES = (
     RuleSpec("text_not_null", "text", "not_null", "critical"),
     RuleSpec("lang_valid", "lang", "allowed_values", "warn", values=("en", "de", "fr")),
     RuleSpec("source_format", "source", "regex", "warn", pattern="^src[0-9]$"),
-    RuleSpec("no_long_blank", "text", "regex", "warn", pattern=r"[.!?]"),
+    RuleSpec("has_sentence_end", "text", "regex", "warn", pattern=r"[.!?]"),
 )
 
 
@@ -366,7 +369,7 @@ DOCUMENT_RULES = (
     "dq_documents",
     """SELECT doc_id, round((1.0 + 0.5 * lang_ok + 0.5 * source_ok + 0.5 * text_ok) / 2.5, 6) AS dq_score,
        concat_ws(',', CASE WHEN lang_ok = 0 THEN 'lang_valid' END, CASE WHEN source_ok = 0 THEN 'source_format' END,
-                 CASE WHEN text_ok = 0 THEN 'no_long_blank' END) AS dq_issues
+                 CASE WHEN text_ok = 0 THEN 'has_sentence_end' END) AS dq_issues
        FROM (SELECT doc_id, (lang IN ('en', 'de', 'fr'))::INT::DOUBLE AS lang_ok,
                     regexp_matches(source, '^src[0-9]$')::INT::DOUBLE AS source_ok,
                     regexp_matches(text, '[.!?]')::INT::DOUBLE AS text_ok FROM documents)""",
@@ -432,10 +435,113 @@ def stream_standardize(spark, sf_dir):
     return spark.read.parquet(f"{root}/silver").select(*entity.canonical, F.col("_source_system").alias("source_system"))
 
 
-@query("landing_freshness")
+def _landed(spark, sf_dir) -> tuple[str, list[str]]:
+    """Orders as landing files of three sources, and an empty folder beside them."""
+    root = new_shared_path(spark, "landing")
+    orders = table(spark, sf_dir, "orders").withColumn("priority", F.substring("o_orderpriority", 1, 1))
+    orders.filter("priority IN ('1', '2')").write.partitionBy("priority").parquet(root)
+    orders.limit(0).write.format("csv").save(f"{root}/priority=empty")
+    return root, ["1", "2", "empty", "absent"]
+
+
+@query(
+    "landing_freshness",
+    """SELECT 'orders' AS entity, source, CASE WHEN source IN ('empty', 'absent') THEN 'error' WHEN source = '1' THEN 'ok'
+        ELSE 'stale' END AS status FROM (VALUES ('1'), ('2'), ('empty'), ('absent')) t(source)
+        WHERE source IN ('empty', 'absent') OR source IN (SELECT DISTINCT substr(o_orderpriority, 1, 1) FROM orders)""",
+)
 def landing_freshness(spark, sf_dir):
-    """File listing of the given tables as landing folders; one name does not exist."""
-    names = ("orders", "lineitem", "events", "no_such_table")
-    specs = [SourceSpec(n, "parquet", "table", f"{sf_dir}/{n}.parquet", 1, 24.0) for n in names]
-    out = checks.landing_freshness(spark, specs, datetime(2100, 1, 1))
-    return out.select("entity", "source", "status")
+    """Files landed by this query: in time, late, none in the folder, no folder."""
+    root, names = _landed(spark, sf_dir)
+    hours = {"1": 1_000.0, "2": 24.0}
+    specs = [SourceSpec(n, "parquet", "orders", f"{root}/priority={n}", 1, hours.get(n, 24.0)) for n in names]
+    as_of = datetime.now() + timedelta(hours=100)  # the files are as old as this query; only the limits differ
+    return checks.landing_freshness(spark, specs, as_of).select("entity", "source", "status")
+
+
+# ---- files of other formats: by name, with columns in another order and columns nobody asked for
+
+_PARTS_SOURCE = {"part_id": "p_partkey", "part_name": "p_name", "brand": "p_brand", "price": "p_retailprice"}
+_PARTS_SQL = """SELECT p_partkey::VARCHAR AS part_id, p_name AS part_name, p_brand AS brand,
+    round(p_retailprice, 6) AS price, p_size::VARCHAR AS extra FROM part"""
+
+
+def _landed_parts(spark, sf_dir, kind: str) -> tuple[SourceSpec, str]:
+    path = new_shared_path(spark, f"parts-{kind}")
+    part = table(spark, sf_dir, "part").select("p_size", "p_retailprice", "p_brand", "p_name", "p_type", "p_partkey")
+    if kind == "csv":
+        part.write.option("header", "true").csv(path)
+    else:  # files of one array of at most 500 records each
+        arrays = part.groupBy(F.expr("p_partkey div 500").alias("chunk")).agg(
+            F.array_join(F.collect_list(F.to_json(F.struct("*"))), ",").alias("records")
+        )
+        arrays.select("chunk", F.concat(F.lit("["), "records", F.lit("]")).alias("value")).write.partitionBy("chunk").text(path)
+    return SourceSpec("parts", kind, "part", path, 1, 24.0, _PARTS_SOURCE), path
+
+
+def _named(raw: DataFrame) -> DataFrame:
+    mapped = [F.col(c).alias(n) for n, c in _PARTS_SOURCE.items() if n != "price"]
+    price = F.round(F.col("p_retailprice").cast("double"), 6).alias("price")
+    return raw.select(*mapped, price, F.col("p_size").alias("extra"))
+
+
+@query("csv_by_name", _PARTS_SQL)
+def csv_by_name(spark, sf_dir):
+    """All parts through CSV files whose columns are in another order than the settings."""
+    return _named(read_batch(spark, _landed_parts(spark, sf_dir, "csv")[0]))
+
+
+@query("json_by_name", _PARTS_SQL)
+def json_by_name(spark, sf_dir):
+    """All parts through JSON files of arrays of records."""
+    return _named(read_batch(spark, _landed_parts(spark, sf_dir, "json")[0]))
+
+
+@query("csv_stream_by_name", _PARTS_SQL)
+def csv_stream_by_name(spark, sf_dir):
+    """All parts through CSV files as a stream that remembers its schema."""
+    source, path = _landed_parts(spark, sf_dir, "csv")
+    root = new_shared_path(spark, "parts-stream")
+    ingest.ingest_source(spark, source, path, f"{root}/raw", f"{root}/checkpoint", as_of=AS_OF).awaitTermination()
+    return _named(spark.read.parquet(f"{root}/raw"))
+
+
+# ---- logs, snapshots and control tables, written and read back
+
+
+@query("log_append", "SELECT event_id, event_type, ts::DATE::VARCHAR AS log_day FROM events")
+def log_append(spark, sf_dir):
+    """Events appended in two runs to a log partitioned by day."""
+    path = new_shared_path(spark, "log")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    for part in (0, 1):
+        sinks.append_log(events.filter(F.col("event_id") % 2 == part), path, "ts")
+    return spark.read.parquet(path).select("event_id", "event_type", _day("log_day"))
+
+
+@query(
+    "snapshot_versions",
+    """SELECT 'first' AS which, count(*) AS orders, round(sum(o_totalprice), 4) AS total FROM orders
+    UNION ALL SELECT 'current', count(*), round(sum(o_totalprice), 4) FROM orders WHERE o_orderkey % 2 = 0""",
+)
+def snapshot_versions(spark, sf_dir):
+    """Two versions of a table; the older one stays readable, and writing one again replaces it."""
+    root = new_shared_path(spark, "snapshot")
+    orders = table(spark, sf_dir, "orders")
+    sinks.overwrite_snapshot(orders.limit(0), root, 1)
+    sinks.overwrite_snapshot(orders, root, 1)
+    sinks.overwrite_snapshot(orders.filter("o_orderkey % 2 = 0"), root, 2)
+    held = [("first", sinks.read_snapshot(spark, root, 1)), ("current", sinks.read_snapshot(spark, root))]
+    total = [F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 4).alias("total")]
+    return union_all([df.agg(*total).select(F.lit(n).alias("which"), "*") for n, df in held])
+
+
+@query("control_table", "SELECT c_custkey, c_name FROM customer")
+def control_table(spark, sf_dir):
+    """A control table created empty, created again without harm, then filled."""
+    path = new_shared_path(spark, "control")
+    schema = "c_custkey long, c_name string"
+    for _ in range(2):
+        sinks.create_if_absent(spark, path, schema)
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name").write.mode("append").parquet(path)
+    return sinks.control_table(spark, path, schema)

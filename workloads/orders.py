@@ -82,12 +82,18 @@ _GROUPS = """groups AS (SELECT o_custkey AS golden_id, lpad(o_orderkey::VARCHAR,
     array_to_string(list_sort(list(DISTINCT member)), ',') AS source_customer_ids FROM groups GROUP BY golden_id""",
 )
 def golden_rollup(spark, sf_dir):
-    out = survivorship.roll_up(groups(spark, sf_dir))
+    held = groups(spark, sf_dir)
+    out = survivorship.with_member_lists(survivorship.roll_up(held), held)
     return out.withColumns(
         {"source_customer_ids": F.array_join("source_customer_ids", ","), "match_confidence": r("match_confidence")}
     )
 
 
+@query("golden_members", f"WITH {_GROUPS} SELECT DISTINCT golden_id, member FROM groups")
+def golden_members(spark, sf_dir):
+    return survivorship.golden_members(groups(spark, sf_dir))
+
+
 @query(
     "review_status",
     f"""WITH {_GROUPS}, g AS (SELECT golden_id, count(*) AS n, round(avg(match_confidence), 6) AS c FROM groups GROUP BY 1)
@@ -132,12 +138,12 @@ def change_feed(spark, sf_dir):
     "upsert_latest",
     """WITH source AS (
         SELECT o_custkey, max(o_orderdate) AS last_order, arg_max(o_totalprice, struct_pack(a := o_orderdate, b := o_totalprice))
-               AS amount FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+               AS amount FROM orders GROUP BY 1)
     SELECT c_custkey AS o_custkey, coalesce(amount, c_acctbal) AS amount, last_order IS NOT NULL AS updated
     FROM customer LEFT JOIN source ON c_custkey = o_custkey""",
 )
 def upsert_latest(spark, sf_dir):
-    """Each customer's balance replaced by the last finished order, several candidates per key."""
+    """Each customer's balance replaced by the last order, several candidates per key."""
     target = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
         F.lit(None).cast("timestamp_ntz").alias("last_order"),
@@ -145,7 +151,6 @@ def upsert_latest(spark, sf_dir):
     )
     source = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "F")
         .select("o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("last_order"), F.col("o_totalprice").alias("amount"))
     )
     merged = upsert(target, source, ["o_custkey"], "last_order")

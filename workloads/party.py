@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.operators import evaluate, quality, review
+from assay.operators import blocking, evaluate, quality, review
 from assay.operators.matching import MEMBER, match_records
 from assay.operators.standardize import (
     latest_per_record,
@@ -499,6 +499,17 @@ def golden_end_to_end(spark, sf_dir):
     return _published(mastered(spark, sf_dir))
 
 
+@query(
+    "unblocked_records",
+    f"""WITH {_PASSED_SQL}, k AS (SELECT {_BLOCK} IS NOT NULL AS a FROM passed)
+    SELECT blocking_pass, count(*) FILTER (a) AS blocked, count(*) FILTER (NOT a) AS unblocked
+    FROM k, (VALUES (0), (NULL::INT)) p(blocking_pass) GROUP BY 1""",
+)
+def unblocked_records(spark, sf_dir):
+    """Passed records that a null block column keeps out of matching."""
+    return blocking.unblocked_records(quality.passed(latest(spark, sf_dir), MIN, approved(spark, sf_dir)), ENTITY.match)
+
+
 @query(
     "mask_columns",
     f"WITH RECURSIVE {_GOLDEN_SQL} SELECT * REPLACE ('***MASKED***' AS email, '***MASKED***' AS tax_id) "
@@ -554,50 +565,67 @@ def review_queue(spark, sf_dir):
                  (SELECT sum(c * (c - 1) / 2) FROM (SELECT count(*)::DOUBLE c FROM t GROUP BY true_id)) AS actual)
     SELECT tp, guessed - tp AS fp, actual - tp AS fn, round(tp / guessed, 6) AS precision, round(tp / actual, 6) AS recall,
            round(2 * (tp / guessed) * (tp / actual) / (tp / guessed + tp / actual), 6) AS f1,
-           round(tp / guessed, 6) < 0.90 AS raise_match_threshold, round(tp / actual, 6) < 0.80 AS lower_match_threshold
+           round(tp / guessed, 6) < 0.90 AS raise_match_threshold, round(tp / actual, 6) < 0.80 AS lower_match_threshold,
+           (SELECT count(*) FROM quarantine) / (SELECT count(*) FROM latest) > 0.15 AS lower_min_score
     FROM n""",
 )
 def customer_match_quality(spark, sf_dir):
-    passed = eligible(spark, sf_dir)
+    flagged = cut(quality.flag_overrides(latest(spark, sf_dir), approved(spark, sf_dir), MIN, "record_key"))
+    passes = (F.col("dq_score") >= MIN) | F.col("steward_override")
+    passed = flagged.filter(passes)
+    rate = flagged.agg(F.avg(F.when(passes, 0.0).otherwise(1.0)).alias("rate"))
     groups = match_records(passed, ENTITY.match).groups()
     kind = F.when(F.col(MEMBER).rlike("^(erp|crm):"), F.lit("c")).otherwise(F.lit("s"))
     truth = passed.withColumnRenamed("record_key", MEMBER).select(
         MEMBER, F.concat(F.regexp_extract(MEMBER, "[0-9]+$", 0), kind).alias("true_id")
     )
-    advised = evaluate.tuning_advice(evaluate.pairwise_quality(groups, truth), F.lit(0.0)).drop("lower_min_score")
+    measured = evaluate.pairwise_quality(groups, truth).join(rate, F.lit(True), "left")  # one row each
+    advised = evaluate.tuning_advice(measured, F.col("rate")).drop("rate")
     return advised.withColumns(
         {**{c: F.col(c).cast("double") for c in ("tp", "fp", "fn")}, **{c: r(c) for c in ("precision", "recall", "f1")}}
     )
 
 
+# the load times of kpi_report: a number of hours that the record key gives
+_LOADED_SQL = "(TIMESTAMP '2024-01-31' - to_hours((regexp_extract({}, '[0-9]+$')::BIGINT % 48)::INT))"
+
+
 @query(
     "kpi_report",
     f"""WITH RECURSIVE {_GOLDEN_SQL}, {_QUEUE_SQL},
-    q AS (SELECT count(*) AS scored_records, sum((dq_score >= {MIN})::INT)::BIGINT AS passed_records FROM latest),
+    q AS (SELECT count(*) AS scored_records, (SELECT count(*) FROM passed) AS passed_records,
+                 (SELECT count(*) FROM quarantine) AS quarantined FROM latest),
+    loads AS (SELECT avg(epoch(TIMESTAMP '2024-01-31' - {_LOADED_SQL.format('record_key')}) / 60) AS minutes FROM golden),
+    terms AS (SELECT count(*) FILTER (known) / count(*) AS covered
+              FROM (SELECT column_name IN ('golden_id', 'email', 'tax_id') AS known
+                    FROM (VALUES {', '.join(f"('{c}')" for c in ENTITY.glossary)}) t(column_name))),
     g AS (SELECT count(*) AS golden_records, sum(source_record_count) AS consumed, avg(match_confidence) AS conf,
                  sum((review_status = 'auto_merged')::INT)::BIGINT AS auto_merged,
                  sum((review_status = 'needs_review')::INT)::BIGINT AS needs_review,
                  sum((review_status = 'single_source')::INT)::BIGINT AS single_source FROM golden)
     SELECT 'customer' AS entity, scored_records, passed_records,
            round(passed_records / scored_records, 6) AS dq_pass_rate,
-           round(1 - passed_records / scored_records, 6) AS quarantine_rate, golden_records,
+           round(quarantined / scored_records, 6) AS quarantine_rate, golden_records,
            round(1 - golden_records / consumed, 6) AS dedup_rate, round(conf, 6) AS avg_match_confidence,
            auto_merged, needs_review, single_source, (SELECT count(*) FROM queue) AS review_backlog,
-           0.6::DOUBLE AS glossary_coverage, 0::BIGINT AS time_to_gold_minutes
-    FROM q, g""",
+           round(covered, 6) AS glossary_coverage, round(minutes, 6) AS time_to_gold_minutes
+    FROM q, g, loads, terms""",
 )
 def kpi_report(spark, sf_dir):
     m = mastered(spark, sf_dir)
     required = review.configured_terms(spark, [ENTITY], "steward", AS_OF)
     glossary = required.filter(F.col("column_name").isin("golden_id", "email", "tax_id"))
     tag = F.lit("customer")
+    # every record was loaded some hours before, by its key
+    hours = F.pmod(F.regexp_extract("record_key", "[0-9]+$", 0).cast("long"), F.lit(48))
+    loaded = (F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(F.lit(0), hours.cast("int"))).alias("_ingested_at")
     out = reports.kpis(
         m.scored.withColumn("entity", tag),
-        m.golden.withColumn("entity", tag),
+        m.golden.withColumn("_ingested_at", loaded).withColumn("entity", tag),
         queue(spark, sf_dir, m),
         required,
         glossary,
         MIN,
     )
-    rates = ("dq_pass_rate", "quarantine_rate", "dedup_rate", "avg_match_confidence", "glossary_coverage")
+    rates = ("dq_pass_rate", "quarantine_rate", "dedup_rate", "avg_match_confidence", "glossary_coverage", "time_to_gold_minutes")
     return out.withColumns({c: r(c) for c in rates})
