@@ -14,12 +14,17 @@ one entry with a count, so thousands of copies cost one.
 Matches are then settled exactly (to 64-bit hashes of bytes under an equal k-gram):
 
 * members of a context that occurs twice lie in repeated passages as far as the context reaches;
-* contexts that share their k-gram with different ones are compared passage by passage. The offsets
-  of the anchor in a passage form a tree of ``fan`` children per node. For a node, the bytes common to
-  all its passages (core) and the bytes any of them covers (whole) are hashed: a core nobody else has
-  rules the node out, a shared whole settles it, anything else is split further. K-grams with at most
-  ``GROUP`` contexts are settled where their contexts meet; for more crowded ones every step is a
-  grouping by hash over all tasks, whose counts are combined before the shuffle.
+* contexts that share their k-gram with different ones are sorted by the bytes from the anchor on and
+  by the bytes before it, read backwards, like two suffix arrays. The neighbours in each order share
+  the longest stretch with a context to its right and to its left, which bounds the passages repeated
+  around it; where the stretches shared with these neighbours reach that bound, it is exact.
+* What stays open is compared passage by passage. The offsets of the anchor in a passage form a tree of
+  ``fan`` children per node. For a node, the bytes common to all its passages (core) and the bytes any of
+  them covers (whole) are hashed: a core nobody else has rules the node out, a shared whole settles it,
+  anything else is split further.
+
+K-grams with at most ``GROUP`` contexts are settled where their contexts meet. For more crowded ones
+every step down the tree is a grouping by hash over all tasks, whose counts combine before the shuffle.
 
 Edge cases: null and short texts lose nothing; repeated rows count as different documents; rows that
 share an id are told apart by their text; a text of one repeated character is one repeated passage.
@@ -48,8 +53,8 @@ LENGTH = 400
 FAN = 7
 LEVELS = 3
 BATCHES = 4
-# Contexts of one k-gram that are compared within a task at most.
-GROUP = 200
+# Contexts of one k-gram that are compared within a task at most: some 30 MB.
+GROUP = 20_000
 # Bytes of one text looked at together; longer texts are read in overlapping parts.
 PART = 1 << 20
 POSITION_BITS = 21
@@ -216,12 +221,79 @@ def node_hashes(data: bytes, before: int, after: int, level: int, node: int, len
     return first, end, core, whole
 
 
+def common(x: np.ndarray, i: np.ndarray, j: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of rows ``i`` and ``j``, zero where ``j`` is -1."""
+    differ = x[i] != x[j]
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
+    return np.where(j < 0, 0, np.minimum(first, np.minimum(sizes[i], sizes[j])))
+
+
+def neighbours(order: list[int], ids: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
+    """For every number the one before and after it in ``order``; with ``ids`` the nearest of a smaller id."""
+    m = len(order)
+    before, after = np.full(m, -1), np.full(m, -1)
+    if ids is None:
+        before[order[1:]], after[order[:-1]] = order[:-1], order[1:]
+        return before, after
+    for sequence, out in ((order, before), (order[::-1], after)):
+        held: list[int] = []
+        for k in sequence:
+            while held and ids[held[-1]] >= ids[k]:
+                held.pop()
+            out[k] = held[-1] if held else -1
+            held.append(k)
+    return before, after
+
+
 def settle(group: list[tuple], length: int, fan: int, first_stays: bool) -> Iterator[tuple[int, int, int]]:
     """(number, first offset, end offset) of repeated passages among the contexts of one k-gram.
 
     ``group`` has (data, before, after, n, id) of every context.
     """
-    open_nodes = {(k, node) for k in range(len(group)) for node in range(fan)}
+    m = len(group)
+    reach = fan**LEVELS - 1
+    data, before, after, n, ids = zip(*group, strict=True)
+    right = [d[b:] for d, b in zip(data, before, strict=True)]
+    left = [d[:b][::-1] for d, b in zip(data, before, strict=True)]
+    sizes = np.array(before), np.array(after)
+    rows = [
+        np.frombuffer(b"".join(t.ljust(width, b"\0") for t in texts), np.uint8).reshape(m, width)
+        for texts, width in ((left, max(1, reach)), (right, length))
+    ]
+    smaller = list(ids) if first_stays else None
+    own = np.arange(m)
+    starts, ends, bound = [], [], []
+    for side, texts in enumerate((left, right)):
+        most = np.zeros(m, np.int64)
+        for j in neighbours(sorted(range(m), key=texts.__getitem__), smaller):
+            shared = common(rows[0], own, j, sizes[0]), common(rows[1], own, j, sizes[1])
+            starts.append(np.where(j < 0, length, length - shared[1]))
+            ends.append(np.where(j < 0, 0, shared[0] + 1))
+            most = np.maximum(most, shared[side])
+        bound.append(most)
+    first, end = length - bound[1], bound[0] + 1  # no passage repeats outside
+    starts, ends = np.array(starts), np.array(ends)
+    ends = np.where(starts < ends, ends, 0)  # too little is shared with that neighbour
+    at = np.argsort(starts, axis=0)
+    starts, ends = np.take_along_axis(starts, at, 0), np.take_along_axis(ends, at, 0)
+    reached = np.maximum.accumulate(np.vstack([first[None], ends]), axis=0)
+    closed = (starts <= reached[:-1]).all(axis=0, where=starts < end) & (reached[-1] >= end)
+    wanted = first < end
+    if not first_stays:
+        wanted &= np.array(n) == 1
+    for k in np.nonzero(wanted & closed)[0].tolist():
+        yield k, int(first[k]), int(end[k])
+    rest = np.nonzero(wanted & ~closed)[0].tolist()
+    if rest:
+        nodes = {d // fan ** (LEVELS - 1) for k in rest for d in range(int(first[k]), int(end[k]))}
+        yield from settle_nodes(group, set(rest), nodes, length, fan, first_stays)
+
+
+def settle_nodes(
+    group: list[tuple], wanted: set[int], nodes: set[int], length: int, fan: int, first_stays: bool
+) -> Iterator[tuple[int, int, int]]:
+    """The same for the contexts ``wanted``, down the offset tree from its top ``nodes``."""
+    open_nodes = {(k, node) for k in range(len(group)) for node in nodes}
     for level in range(1, LEVELS + 1):
         by_core = defaultdict(list)
         for k, node in sorted(open_nodes):
@@ -231,24 +303,22 @@ def settle(group: list[tuple], length: int, fan: int, first_stays: bool) -> Iter
                 by_core[node, held[2]].append((k, held))
         open_nodes = set()
         for (node, _), sharing in by_core.items():
-            if len(sharing) < 2:
+            if len(sharing) < 2 or not any(k in wanted for k, _ in sharing):
                 continue
             wholes = {held[3] for _, held in sharing}
             if len(wholes) == 1 and None not in wholes:
                 least = min(group[k][4] for k, _ in sharing)
                 for k, (first, end, _, _) in sharing:
-                    if group[k][4] > least if first_stays else group[k][3] == 1:
+                    if k in wanted and (not first_stays or group[k][4] > least):
                         yield k, first, end
-            elif level < LEVELS:
-                open_nodes.update((k, node * fan + child) for k, _ in sharing for child in range(fan))
             else:
-                raise AssertionError("a single passage is its own core")
+                open_nodes.update((k, node * fan + child) for k, _ in sharing for child in range(fan))
 
 
 def _settle_kernel(length: int, fan: int, first_stays: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by k-gram; those of one k-gram are few."""
-        gram, group, where = None, [], []
+        gram, group, where, seen = None, [], [], set()
 
         def done() -> pa.RecordBatch:
             ids, ths, los, his = [], [], [], []
@@ -265,8 +335,9 @@ def _settle_kernel(length: int, fan: int, first_stays: bool):
                 if g != gram:
                     if len(group) > 1 and (out := done()).num_rows:
                         yield out
-                    gram, group, where = g, [], []
-                if (i, th, pos) not in where:  # a repeated row brings its context again
+                    gram, group, where, seen = g, [], [], set()
+                if (i, th, pos) not in seen:  # a repeated row brings its context again
+                    seen.add((i, th, pos))
                     group.append((data, before, after, n, i))
                     where.append((i, th, pos))
         if len(group) > 1:

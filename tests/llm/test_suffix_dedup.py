@@ -34,6 +34,39 @@ def test_spans_against_brute_force(docs_of, seed, batches, group, first_stays):
     assert sum(r[2] for r in want)
 
 
+@pytest.mark.parametrize("first_stays", [False, True])
+@pytest.mark.parametrize("seed", range(12))
+def test_one_gram_by_orders_and_by_tree(seed, first_stays):
+    source = random.Random(seed)
+    length, fan = 40, 3
+    gram, reach = "#" * suffix_dedup.gram_size(length, fan), fan**suffix_dedup.LEVELS - 1
+    group = []
+    for k in range(source.randrange(2, 40)):
+        sides = [("".join(source.choice("ab") for _ in range(2)) * 30)[: source.choice([reach, 40, 9])] for _ in range(2)]
+        if source.random() < 0.7:
+            sides = [source.choice(["xyz", "z"]) + s if source.random() < 0.5 else s for s in sides]
+        before, after = sides[0][::-1][-reach:], (gram + sides[1])[:length]
+        if len(before) + len(after) >= length:
+            data = (before + after).encode()
+            if data not in [g[0] for g in group]:
+                group.append((data, len(before), len(after), 1, source.randrange(9)))
+    if len(group) < 2:
+        return
+    want = set()
+    for k, (d, b, a, _, i) in enumerate(group):
+        for off in range(max(0, length - a), b + 1):
+            w = d[b - off : b - off + length]
+            for j, (e, c, f, _, other) in enumerate(group):
+                if j != k and length - f <= off <= c and e[c - off : c - off + length] == w:
+                    if not first_stays or other < i:
+                        want.add((k, off))
+    got = {(k, d) for k, lo, hi in suffix_dedup.settle(group, length, fan, first_stays) for d in range(lo, hi)}
+    assert got == want
+    everything = set(range(len(group)))
+    nodes = suffix_dedup.settle_nodes(group, everything, set(range(fan)), length, fan, first_stays)
+    assert {(k, d) for k, lo, hi in nodes for d in range(lo, hi)} == want
+
+
 def test_cut_keeps_whole_characters_and_other_columns(docs_of):
     rows = corpus(9)
     marked = suffix_dedup.with_spans(docs_of(rows), 40, 3, first_stays=True)
