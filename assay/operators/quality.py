@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +108,23 @@ def quarantined(
     return low.join(approved.select(F.col("business_key").alias(key)), on=key, how="left_anti").select(*scored.columns)
 
 
+class Scorer(Protocol):
+    """Anything that adds ``dq_score`` (0 to 1) and ``dq_issues`` to records; a run may bring its own."""
+
+    def score(self, df: DataFrame) -> DataFrame: ...
+
+
+@dataclass(frozen=True)
+class RuleScorer:
+    """The scorer of a run that brings none: weighted rules."""
+
+    rules: tuple[RuleSpec, ...]
+    null_as_fail: bool = True
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return score(df, self.rules, self.null_as_fail)
+
+
 def score_distribution(scored: DataFrame, min_score: float, *by: str) -> DataFrame:
     """Count, mean, sample deviation, quartiles and quarantine rate of the scores.
 

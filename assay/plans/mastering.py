@@ -51,14 +51,16 @@ def master(
     as_of,
     approved: DataFrame | None = None,
     enforce_gold: bool = True,
+    scorer: quality.Scorer | None = None,
 ) -> Mastered:
     """Score, gate, match, cluster and merge the standardised records of one entity.
 
-    ``approved`` lists the record keys a steward let through despite a low score.
+    ``approved`` lists the record keys a steward let through despite a low score; ``scorer`` replaces the
+    entity's rules as the source of scores.
     """
     rules, minimum = entity.rules, entity.min_score
     kept, rejected = quality.expect_all_or_drop(
-        quality.score(standardized, rules), quality.identity_expectations(entity.id_column, entity.name_column)
+        (scorer or quality.RuleScorer(rules)).score(standardized), quality.identity_expectations(entity.id_column, entity.name_column)
     )
     latest = latest_per_record(with_record_key(kept, entity.id_column))
     # read by both sides of the gate, by matching, grouping and merging

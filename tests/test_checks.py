@@ -113,6 +113,25 @@ def test_cost(spark):
     assert checks.cost_status(by_sku.limit(0), CostSpec("p", 1, 1, 2, {})).first().status == "skipped"
 
 
+def test_usage_window_reaches_the_scan(spark):
+    from workloads import observe
+
+    usage = observe._usage(spark, "/root/testdata/sf0.001")
+    plan = checks.cost_by_sku(checks.tagged_usage(usage, "O"), observe.PRICES, *observe.WINDOW)._jdf.queryExecution().toString()
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line or "DataFilters" in line]
+    assert any("GreaterThanOrEqual(l_shipdate" in line and "LessThan(l_shipdate" in line for line in pushed)
+
+
+@pytest.mark.parametrize("figures", ["exact", "approx"])
+def test_quartiles_of_many_values(spark, figures):
+    df = spark.range(250_001).selectExpr("'s' AS s", "timestamp'2026-01-01' AS ts", "double(id) AS v")
+    (row,) = monitoring.profile(df, ["s"], "ts", ["v"], [], figures=figures).collect()
+    slack = 0 if figures == "exact" else 250_001 / monitoring.QUANTILE_ACCURACY
+    assert all(abs(got - want) <= slack for got, want in zip((row.p25, row.p50, row.p75), (62_500, 125_000, 187_500)))
+    with pytest.raises(ValueError, match="figures"):
+        monitoring.profile(df, ["s"], "ts", ["v"], [], figures="some")
+
+
 def test_profile_and_drift(spark):
     df = spark.createDataFrame(
         [("x", datetime(2026, 1, 1), 1.0), ("x", datetime(2026, 1, 1), None), ("x", datetime(2026, 1, 2), 5.0)],

@@ -128,3 +128,16 @@ def test_gold_gate_stops_the_run(spark):
     bad = spark.createDataFrame([("g", 0.1, False)], "golden_id string, dq_score double, steward_override boolean")
     with pytest.raises(GateFailure):
         quality.expect_or_fail(bad, quality.gold_expectations(0.85))
+
+
+def test_a_scorer_of_ones_own_decides_who_passes(spark, run):
+    class Strict:
+        def score(self, df):
+            complete = F.col("email").isNotNull() & F.col("address_line1").isNotNull()
+            return df.select("*", F.when(complete, 1.0).otherwise(0.2).alias("dq_score"), F.lit("own").alias("dq_issues"))
+
+    standard, _, _ = run
+    m = master(standard, ENTITY, AS_OF, scorer=Strict())
+    assert m.passed.filter("email IS NULL OR address_line1 IS NULL").isEmpty()
+    assert m.passed.count() + m.quarantine.count() == m.scored.count()
+    assert {r[0] for r in m.scored.select("dq_issues").distinct().collect()} == {"own"}
