@@ -25,6 +25,10 @@ PREFIX_MAX = 4
 BOOST_ABOVE = 0.7
 
 
+# Words in the table of character positions: 32 MB.
+POSITION_WORDS = 1 << 22
+
+
 def _matrix(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Texts as a zero-padded matrix of code points, and their lengths."""
     lengths = np.fromiter((len(v) for v in values), dtype=np.int64, count=len(values))
@@ -114,10 +118,12 @@ def _similarity(a: pa.Array, b: pa.Array) -> pa.Array:
     left_len, right_len = (pc.utf8_length(d).to_numpy() for d in (x.dictionary, y.dictionary))
     longest = np.maximum(left_len[li], right_len[ri])
     out = np.zeros(len(pair))
+    kinds = len(set().union(*left, *right)) or 1
     for low, high in ((0, 32), (32, 64), (64, 256), (256, 1 << 62)):
         part = np.nonzero((longest > low) & (longest <= high))[0]
-        # few pairs at a time where texts are long, so the work arrays stay small
-        step = 1 << 14 if high <= 256 else 256
+        # few pairs at a time where texts are long or use many characters, so the work arrays stay small
+        words = (int(longest[part].max(initial=1)) + 63) // 64
+        step = max(64, min(1 << 14 if high <= 256 else 256, POSITION_WORDS // (kinds * words)))
         for start in range(0, len(part), step):
             some = part[start : start + step]
             lu, lx = np.unique(li[some], return_inverse=True)

@@ -129,13 +129,16 @@ def _copies_match(spec: MatchSpec):
 def match_records(df: DataFrame, spec: MatchSpec, tile_rows: int = blocking.TILE_ROWS) -> Matched:
     """Score everything in ``df`` (one row per ``record_key``) that can match.
 
-    Profiles and matching pairs are each materialised once, because several later steps read them.
+    Profile keys, profiles and matching pairs are each materialised once, because several later steps
+    read them.
     """
-    keyed = blocking.with_profile_key(df, spec).select(
-        "record_key",
-        "profile",
-        *[a.column for a in spec.attributes],
-        *[f"_block{i}" for i in range(len(spec.blocking))],
+    keyed = cut(
+        blocking.with_profile_key(df, spec).select(
+            "record_key",
+            "profile",
+            *[a.column for a in spec.attributes],
+            *[f"_block{i}" for i in range(len(spec.blocking))],
+        )
     )
     prof = cut(blocking.profiles(keyed, spec))
     edges = cut(score_pairs(blocking.candidate_pairs(prof, spec, tile_rows), spec))
