@@ -104,7 +104,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 SHARDS = 40
 
 
-@query("op7_hilbert")
+def hilbert_sql(documents: str, shards: int) -> str:
+    """CRC-32 byte by byte, the curve step by step in nested selects, then ranks over all rows."""
+    label = "('0x' || substr(md5(coalesce({}, '')), 1, 4))::INT & {}"
+    most = (1 << sharding.BITS) - 1
+    curve = f"""SELECT doc_id, size, text_crc32,
+        least({most}, (length(bin(size)) - 1) * 2 + coalesce(try_cast(substr(bin(size), 2, 1) AS INT), 0))::INT AS x0,
+        {label.format('source', most)} AS x1, {label.format('lang', most)} AS x2, 0 AS flip FROM sized"""
+    for step in sharding.curve_steps(3, sharding.BITS, "xor({0}, {1})"):
+        curve = f"SELECT * REPLACE ({', '.join(f'{v} AS {k}' for k, v in step.items())}) FROM ({curve})"
+    return f"""
+WITH t AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+        CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS crcs),
+bytes AS (
+    SELECT doc_id, source, lang, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+        list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+    FROM {documents}),
+sized AS MATERIALIZED (
+    SELECT doc_id, source, lang, size::BIGINT AS size, xor(list_reduce(b, lambda c, x:
+        xor(c // 256, crcs[xor(c, x) % 256 + 1]), 4294967295), 4294967295)::BIGINT AS text_crc32 FROM bytes, t),
+curve AS (SELECT doc_id, size, text_crc32, ({sharding.curve_index(3, sharding.BITS)})::INT AS hilbert FROM ({curve})),
+ranked AS (
+    SELECT *, row_number() OVER (ORDER BY hilbert, md5(doc_id::VARCHAR), doc_id) - 1 AS place, count(*) OVER () AS n FROM curve),
+placed AS (SELECT *, place * {shards} // n AS shard FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard, (place - (shard * n + {shards - 1}) // {shards})::BIGINT AS slot,
+    NULL::INT AS grown_shard, hilbert FROM placed"""
+
+
+@query("op7_hilbert", hilbert_sql("documents", SHARDS))
 def op7_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document along the curve, row counts at most one apart."""
     docs = sharding.described(table(spark, sf_dir, "documents"))
@@ -194,7 +222,32 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), 85)
 
 
-@query("op4_suffix_dedup")
+def repeats_sql(documents: str, length: int) -> str:
+    """Every string of ``length`` bytes of every document, those that start twice, and what they cover."""
+    return f"""
+WITH d AS MATERIALIZED (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM {documents}),
+strings AS MATERIALIZED (
+    SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * length})) AS m
+    FROM (SELECT doc_id, h, unnest(range(0, n - {length} + 1)) AS i FROM d WHERE n >= {length})),
+twice AS (SELECT m FROM strings GROUP BY m HAVING count(*) > 1),
+starts AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {length} THEN 0 ELSE 1 END AS fresh
+    FROM strings SEMI JOIN twice USING (m)),
+runs AS (
+    SELECT doc_id, min(i) AS lo, max(i) + {length} AS hi
+    FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts) GROUP BY doc_id, run),
+cuts AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since FROM runs),
+kept AS (
+    SELECT doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, max(hi) AS upto,
+        string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS before
+    FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(upto, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op4_suffix_dedup", repeats_sql("documents", 400))
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document inside strings of 400 bytes that occur elsewhere too."""
     return suffix_dedup.report(suffix_dedup.with_spans(table(spark, sf_dir, "documents")))
