@@ -21,16 +21,45 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, no lineage, safe from lost executors."""
     path = new_shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    kept = df.sparkSession.read.schema(df.schema).parquet(path)
-    kept.kept_at = path
-    return kept
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(kept: DataFrame) -> None:
-    """Delete what ``keep`` wrote, once nothing that is still to be computed reads it."""
-    spark = kept.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(kept.kept_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+# Rows of a few numbers that are broadcast at most: some 30 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(kept: DataFrame) -> DataFrame:
+    """A materialised table marked for broadcast if its row count, which is looked up, is small enough."""
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Tables that an operator materialises on its way, in one folder that goes when its result is written.
+
+    Nothing that is still to be computed may read a table that is discarded.
+    """
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.root, self.made = spark, new_shared_path(spark, label), 0
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{self.root}/{self.made}-{label}"
+        self.made += 1
+        df.write.parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        kept.scratch_path = path
+        return kept
+
+    def discard(self, kept: DataFrame) -> None:
+        delete(self.spark, kept.scratch_path)
+
+    def clear(self) -> None:
+        delete(self.spark, self.root)
 
 
 def crc_remainder(doc_id: str | Column, parts: int) -> Column:

@@ -1,22 +1,26 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures, confirmed on full sets.
 
 Every text gives the set of its hashed word shingles. Texts with equal sets become one class. Each
-class has a MinHash signature cut into several orders (trees) of ``DEPTH`` values; classes that share
-a prefix of an order are neighbours there. Candidates come in two steps:
-
-1. In every region (tree, prefix of ``LEAST_DEPTH`` values) all members are compared with its first
-   one, a linear number of pairs. This joins up whole groups of copies.
-2. Where a region still holds several components, members outside its largest component are compared
-   with every member of another component. A region with more than ``OUTLIERS`` such members is first
-   split by one more signature value, and again down to ``DEPTH``: the depth adapts to how crowded a
-   region is. Nothing is capped: at full depth all remaining pairs across components are compared.
+class has a MinHash signature cut into several orders (trees) of ``DEPTH`` values. Classes that share
+a prefix of an order are a region of that tree. Candidates come in two steps:
+
+1. Linear: in every region of ``LEAST_DEPTH`` values all members are compared with its first one. A
+   region of more than ``CROWD`` members is split by one more value, and again down to ``DEPTH``, and
+   members are also compared with the first one of the region where that ends: the depth adapts to
+   how crowded a region is, and neighbours share the longest prefix there is room for. This joins up
+   whole groups of copies without comparing their members with each other.
+2. Complete: a region may still hold several components. Up to ``OUTLIERS`` members outside its largest
+   one are compared with every member of another component. The members of regions with more go
+   through an exact join instead: their shingles are ordered from rare to frequent, two sets that
+   are similar enough must share one of the first (100 - percent) % of either, and where they first
+   meet bounds how much they can share. Nothing is capped or left out.
 
 Each candidate is confirmed on whole texts: rows of one first member are cut into chunks of about
 ``CHUNK`` partners, the first member's text goes with every chunk, and tasks read them as a stream.
 Components are contracted as edge lists; no pair, component or signature reaches the driver.
 
-A pair with Jaccard similarity s misses all TREES regions with probability (1 - s**4)**24: 3e-6 at
-0.80, 2e-8 at 0.85.
+A pair with Jaccard similarity s shares no region with probability (1 - s**3)**20: 6e-7 at 0.80,
+5e-9 at 0.85.
 
 Edge cases: a text without words has no shingles and links with nothing; fewer words than a shingle
 count as one; a row without an id links with nothing and has a null component; repeated rows are in
@@ -35,17 +39,18 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import keep, union_all
+from assay.llm.common import Scratch, keep, small_side, union_all
 from assay.llm.kernels import WordHashes, row_chunks, shingle_hashes, text_bytes
 from assay.operators.components import connected_components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE = 5
-TREES = 24
+TREES = 20
 DEPTH = 8
-LEAST_DEPTH = 4
-OUTLIERS = 64
+LEAST_DEPTH = 3
+CROWD = 64
+OUTLIERS = 4
 CHUNK = 100
 # Shingles permuted at a time: bounds the memory for very long texts.
 BLOCK = 1024
@@ -124,17 +129,16 @@ def _confirm_kernel(percent: int):
     return run
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs (head, node) whose whole texts are similar enough."""
-    pairs = keep(pairs, "near-pairs")
-    crowded = keep(pairs.groupBy("head").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK), "near-crowded")
+def confirm(texts: DataFrame, pairs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b) of the pairs (head, node) whose whole ``texts`` (id, text) are similar enough."""
+    crowded = scratch.keep(pairs.groupBy("head").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK), "crowded")
     parts = F.ceil(F.coalesce("n", F.lit(1)) / CHUNK)
     cut = pairs.join(crowded, "head", "left").select(
         "head", F.pmod(F.xxhash64("node"), parts).cast("long").alias("chunk"), "node"
     )
-    wanted = cut.unionByName(cut.select("head", "chunk", F.col("head").alias("node")).distinct())
-    texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("node"), "text")
-    rows = wanted.join(texts, "node").select("head", "chunk", "node", "text")
+    wanted = scratch.keep(cut.unionByName(cut.select("head", "chunk", F.col("head").alias("node")).distinct()), "wanted")
+    own = texts.withColumnRenamed("id", "node")
+    rows = own.join(small_side(wanted), "node").select("head", "chunk", "node", "text")
     spread = rows.repartition("head", "chunk").sortWithinPartitions("head", "chunk", F.col("node") != F.col("head"))
     return spread.mapInArrow(_confirm_kernel(percent), "a long, b long")
 
@@ -145,67 +149,130 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id
     is the smallest id reachable over links, kept says whether it is the document's own.
     """
-    signed = keep(signatures(docs), "near-signed")
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    signed = scratch.keep(signatures(docs), "signed")
     nodes = signed.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = keep(nodes.groupBy("digest").agg(F.min("doc_id").alias("rep")), "near-classes")
-    first = nodes.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"])
-    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    placed = first.select(F.col("doc_id").alias("id"), trees, "signature")
-    flat = placed.select(region(LEAST_DEPTH).alias("region"), "tree", "id")
-    # a region of one class has nothing to compare
-    shared = flat.groupBy("region").agg(F.min("id").alias("head"), F.max("id").alias("last")).filter("head <> last")
-    members = keep(flat.join(keep(shared.drop("last"), "near-regions"), "region"), "near-members")
-    pairs = members.filter("id <> head").select("head", F.col("id").alias("node")).distinct()
-    tested = keep(pairs, "near-stars")
-    edges = keep(confirm(docs, tested, percent), "near-edges")
-    labels = keep(connected_components(edges, "a", "b"), "near-labels")
-
-    rest = across(members.select("region", "tree", "id"), labels, first)
-    further = rest.join(tested, ["head", "node"], "left_anti").join(
-        tested.select(F.col("node").alias("head"), F.col("head").alias("node")), ["head", "node"], "left_anti"
-    )
-    more = keep(confirm(docs, further, percent), "near-more-edges")
-    if not more.isEmpty():
+    # equal sets have equal signatures
+    grouped = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("signature").alias("signature"))
+    classes = scratch.keep(grouped, "classes")
+    members = shared_regions(classes.select(F.col("rep").alias("id"), "signature"), scratch)
+    pairs = scratch.keep(members.filter("id <> head").select("head", F.col("id").alias("node")).distinct(), "pairs")
+    ids = pairs.select(F.col("head").alias("id")).unionByName(pairs.select(F.col("node").alias("id"))).distinct()
+    ids = small_side(scratch.keep(ids, "ids"))
+    texts = scratch.keep(docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id"), "texts")
+    edges = scratch.keep(confirm(texts, pairs, percent, scratch), "edges")
+    labels = scratch.keep(connected_components(edges, "a", "b"), "labels")
+
+    rest = scratch.keep(across(members.filter(F.col("depth") == LEAST_DEPTH), labels, texts, percent, scratch), "across")
+    done = pairs.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
+    further = scratch.keep(rest.join(done, ["head", "node"], "left_anti"), "further")
+    if not further.isEmpty():
+        more = scratch.keep(confirm(texts, further, percent, scratch), "more-edges")
         stars = labels.select(F.col("component").alias("a"), F.col("id").alias("b")).filter("a <> b")
-        labels = keep(connected_components(more.unionByName(stars), "a", "b"), "near-labels")
-    named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+        labels = scratch.keep(connected_components(more.unionByName(stars), "a", "b"), "labels")
+    named = classes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
     )
-    own = signed.select("doc_id", "n_shingles", "digest").join(keep(named, "near-named"), "digest", "left")
+    own = signed.select("doc_id", "n_shingles", "digest").join(scratch.keep(named, "named"), "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return own.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    found = keep(
+        own.select(
+            "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        ),
+        "near-duplicates-found",
     )
+    scratch.clear()
+    return found
 
 
-def across(members: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
-    """(head, node): pairs that share a region but not yet a component."""
+def shared_regions(signed: DataFrame, scratch: Scratch) -> DataFrame:
+    """(region, depth, tree, id, head): members of regions of several classes, crowded ones deeper too."""
+    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    rows = signed.select("id", trees, "signature")
     found = []
-    signature_of = signed.select(F.col("doc_id").alias("id"), "signature")
     for depth in range(LEAST_DEPTH, DEPTH + 1):
-        labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        labelled = keep(labelled.select("region", "tree", "id", "component"), "near-labelled")
-        counts = labelled.groupBy("region", "component").agg(F.count_distinct("id").alias("n"))
-        mixed = (
-            counts.groupBy("region")
-            .agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-            .filter("parts > 1")
-            .select("region", F.col("top.component").alias("main"), (F.col("all") - F.col("top.n")).alias("outliers"))
-        )
-        mixed = keep(mixed, "near-mixed")
-        held = labelled.join(mixed, "region")
-        if depth < DEPTH:
-            crowd = held.filter(F.col("outliers") > OUTLIERS)
-            held = held.filter(F.col("outliers") <= OUTLIERS)
-        held = keep(held, "near-held")
-        x = held.filter("component <> main").select("region", F.col("id").alias("x"), F.col("component").alias("cx"))
-        y = held.select("region", F.col("id").alias("y"), F.col("component").alias("cy"), "main")
-        both = x.join(y, "region").filter("cx <> cy AND (cy = main OR x < y)")
-        found.append(both.select(F.least("x", "y").alias("head"), F.greatest("x", "y").alias("node")))
-        if depth == DEPTH:
-            break
-        deeper = crowd.select("tree", "id").join(signature_of, "id").select(region(depth + 1).alias("region"), "tree", "id")
-        members = keep(deeper, "near-deeper")
-        if members.isEmpty():
+        flat = rows.select(region(depth).alias("region"), "tree", "id")
+        sizes = flat.groupBy("region").agg(F.min("id").alias("head"), F.max("id").alias("last"), F.count("*").alias("n"))
+        shared = scratch.keep(sizes.filter("head <> last").drop("last"), "regions")
+        held = scratch.keep(flat.join(small_side(shared), "region").withColumn("depth", F.lit(depth)), "members")
+        crowd = held.filter(F.col("n") > CROWD).select("tree", "id")
+        if depth == LEAST_DEPTH:
+            found.append(held)
+        else:
+            found.append(held if depth == DEPTH else held.filter(F.col("n") <= CROWD))
+        if depth == DEPTH or crowd.isEmpty():
             break
+        rows = scratch.keep(crowd.join(signed, "id"), "crowd")
+    return union_all(found).drop("n")
+
+
+def across(members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(head, node), head < node: pairs to compare that share a region but not yet a component."""
+    labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = scratch.keep(labelled.select("region", "id", "component").distinct(), "labelled")
+    mixed = scratch.keep(mixed_groups(labelled, "region"), "mixed")
+    held = scratch.keep(labelled.join(mixed, "region"), "held")
+    few = outlier_pairs(held.filter(F.col("outliers") <= OUTLIERS), "region")
+    crowd = scratch.keep(held.filter(F.col("outliers") > OUTLIERS).select("id", "component").distinct(), "crowd")
+    found = [few] if crowd.isEmpty() else [few, rare_pairs(crowd, texts, percent, scratch)]
     return union_all(found).distinct()
+
+
+def mixed_groups(rows: DataFrame, key: str) -> DataFrame:
+    """Groups of (key, id, component) with several components: the largest one and how many are outside."""
+    counts = rows.groupBy(key, "component").agg(F.count("*").alias("n"))
+    return (
+        counts.groupBy(key)
+        .agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
+        .filter("parts > 1")
+        .select(key, F.col("top.component").alias("main"), (F.col("all") - F.col("top.n")).alias("outliers"))
+    )
+
+
+def outlier_pairs(held: DataFrame, key: str, extra: tuple[str, ...] = (), condition: str = "true") -> DataFrame:
+    """Members outside the main component of their group with all members of another component."""
+    x = held.filter("component <> main").select(key, *[F.col(c).alias(f"{c}_x") for c in ("id", "component", *extra)])
+    y = held.select(key, "main", *[F.col(c).alias(f"{c}_y") for c in ("id", "component", *extra)])
+    once = "component_x <> component_y AND (component_y = main OR id_x < id_y)"
+    both = x.join(y, [x[key] == y[key], F.expr(once), F.expr(condition)])
+    return both.select(F.least("id_x", "id_y").alias("head"), F.greatest("id_x", "id_y").alias("node"))
+
+
+def _shingle_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for batch in batches:
+        data, offsets = text_bytes(batch.column("text"))
+        for lo, hi in row_chunks(offsets):
+            sets = [shingle_set(data[offsets[k] : offsets[k + 1]].tobytes(), hashes) for k in range(lo, hi)]
+            sizes = [len(own) for own in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(batch.column(c)[lo:hi].to_numpy(), sizes), pa.int64())
+                    for c in ("id", "component")
+                ]
+                + [pa.array(np.repeat(sizes, sizes), pa.int64()), pa.array(np.concatenate(sets).view(np.int64))],
+                ["id", "component", "size", "shingle"],
+            )
+
+
+def rare_pairs(crowd: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs of (id, component) that share a rare enough shingle; misses no pair that is similar enough.
+
+    With shingles ordered from rare to frequent, sets of n and m shingles that share at least
+    a = ceil(percent * (n + m) / (100 + percent)) meet first at positions i and j (from 0) with
+    i <= n - a, j <= m - a.
+    """
+    rows = texts.join(crowd, "id").select("id", "component", "text")
+    rows = scratch.keep(rows.mapInArrow(_shingle_kernel, "id long, component long, size long, shingle long"), "shingles")
+    counts = scratch.keep(rows.groupBy("shingle").agg(F.count("*").alias("df")), "rarity")
+    ordered = rows.join(counts.filter("df > 1"), "shingle", "left").groupBy("id", "component", "size").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("s")
+    )
+    longest = F.expr(f"size - (size * {percent} + 99) div 100 + 1").cast("int")
+    head = ordered.select("id", "component", "size", F.posexplode(F.slice("s", F.lit(1), longest)).alias("at", "s"))
+    head = head.filter("s.df > 1").select("id", "component", "size", "at", F.col("s.shingle").alias("shingle"))
+    head = scratch.keep(head, "rare")
+    mixed = scratch.keep(mixed_groups(head, "shingle"), "rare-mixed")
+    needed = f"(({percent} * (size_x + size_y) + {99 + percent}) div {100 + percent})"
+    fits = f"least(size_x - at_x, size_y - at_y) >= {needed}"
+    return outlier_pairs(scratch.keep(head.join(mixed, "shingle"), "rare-held"), "shingle", ("size", "at"), fits)

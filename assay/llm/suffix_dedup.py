@@ -44,7 +44,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import discard, keep, text_key, union_all
+from assay.llm.common import Scratch, keep, text_key, union_all
 from assay.llm.kernels import mixed, row_chunks, text_bytes, words64
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -56,7 +56,7 @@ BATCHES = 4
 # Contexts of one k-gram that are compared within a task at most: some 30 MB.
 GROUP = 20_000
 # Bytes of one text looked at together; longer texts are read in overlapping parts.
-PART = 1 << 20
+PART = 1 << 19
 POSITION_BITS = 21
 ENTRY = "id long, th int, pos int, before int, after int, prefix long, gram long, context long"
 
@@ -166,7 +166,8 @@ class SuffixFamily:
 
     KEY = ("prefix", "gram", "context")
 
-    def __init__(self) -> None:
+    def __init__(self, scratch: Scratch) -> None:
+        self.scratch = scratch
         self.levels: list[tuple[int, DataFrame]] = []
         self.seeds: list[DataFrame] = []
 
@@ -176,16 +177,17 @@ class SuffixFamily:
         run = self._sorted(batch.groupBy(*self.KEY).agg(F.count("*").alias("n"), rep))
         own = run.groupBy("prefix", "gram").agg(F.sum("n").alias("n")).filter("n > 1")
         scans = [own.select("prefix", "gram")]
+        grams = run.select("prefix", "gram").distinct()
         for _, level in self.levels:
-            scans.append(run.select("prefix", "gram").join(level, ["prefix", "gram"], "left_semi"))
-        seeds = keep(union_all(scans).distinct(), "suffix-seeds")
+            scans.append(grams.join(level.select("prefix", "gram").distinct(), ["prefix", "gram"]))
+        seeds = self.scratch.keep(union_all(scans).distinct(), "suffix-seeds")
         self.seeds.append(seeds)
         rank = 0
         while self.levels and self.levels[-1][0] == rank:
             level = self.levels.pop()[1]
             merged = self._sorted(self._merged(level.unionByName(run)))
-            discard(level)
-            discard(run)
+            self.scratch.discard(level)
+            self.scratch.discard(run)
             run, rank = merged, rank + 1
         self.levels.append((rank, run))
         return seeds
@@ -193,14 +195,15 @@ class SuffixFamily:
     def matched(self) -> DataFrame:
         """Entries (with count and first member) of all k-grams that occur twice."""
         every = union_all([level for _, level in self.levels])
-        seeds = union_all(self.seeds).distinct()
-        return self._merged(every.join(seeds, ["prefix", "gram"], "left_semi"))
+        seeds = self.scratch.keep(union_all(self.seeds).distinct(), "suffix-seeds")
+        # a join of its own, so that a k-gram with very many contexts can be split over tasks
+        return self._merged(self.scratch.keep(every.join(seeds, ["prefix", "gram"], "left_semi"), "suffix-seeded"))
 
     def _merged(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.KEY).agg(F.sum("n").alias("n"), F.min("rep").alias("rep"))
 
     def _sorted(self, rows: DataFrame) -> DataFrame:
-        return keep(rows.sortWithinPartitions(*self.KEY), "suffix-run")
+        return self.scratch.keep(rows.sortWithinPartitions(*self.KEY), "suffix-run")
 
 
 def node_hashes(data: bytes, before: int, after: int, level: int, node: int, length: int, fan: int) -> tuple | None:
@@ -380,11 +383,11 @@ NODE = {
 NODE_DDL = "gram long, node int, core long, whole long, id long, th int, pos int, n long, lo int, hi int"
 
 
-def settle_crowded(contexts: DataFrame, length: int, fan: int, first_stays: bool) -> DataFrame:
+def settle_crowded(contexts: DataFrame, length: int, fan: int, first_stays: bool, scratch: Scratch) -> DataFrame:
     """(id, th, lo, hi) of repeated passages among contexts whose k-grams are too crowded for one task."""
     found, parents = [], contexts.withColumn("node", F.lit(0))
     for level in range(1, LEVELS + 1):
-        rows = keep(parents.mapInArrow(_node_kernel(length, fan, level), NODE_DDL), "suffix-nodes")
+        rows = scratch.keep(parents.mapInArrow(_node_kernel(length, fan, level), NODE_DDL), "suffix-nodes")
         sharing = (
             rows.groupBy("gram", "node", "core")
             .agg(
@@ -398,28 +401,30 @@ def settle_crowded(contexts: DataFrame, length: int, fan: int, first_stays: bool
             .withColumn("settled", F.expr("coalesce(wholes = sharers AND w0 = w1, false)"))
             .select("gram", "node", "core", "least", "settled")
         )
-        both = rows.join(keep(sharing, "suffix-sharing"), ["gram", "node", "core"])
+        both = rows.join(scratch.keep(sharing, "suffix-sharing"), ["gram", "node", "core"])
         repeated = F.expr("id > least") if first_stays else F.expr("n = 1")
         found.append(both.filter(F.col("settled") & repeated).select("id", "th", "lo", "hi"))
         if level < LEVELS:
-            following = keep(both.filter(~F.col("settled")).select("gram", "id", "th", "pos", "node"), "suffix-open")
+            following = scratch.keep(both.filter(~F.col("settled")).select("gram", "id", "th", "pos", "node"), "suffix-open")
             parents = contexts.join(following, ["gram", "id", "th", "pos"])
     return union_all(found)
 
 
-def repeated_spans(docs: DataFrame, length: int, fan: int, batches: int, first_stays: bool, group: int) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, length: int, fan: int, batches: int, first_stays: bool, group: int, scratch: Scratch
+) -> DataFrame:
     """(id, th, lo, hi): byte ranges of ``docs`` (id, th, text) inside repeated passages, overlapping."""
-    every = keep(entries(docs, length, fan), "suffix-entries")
-    family = SuffixFamily()
+    every = scratch.keep(entries(docs, length, fan), "suffix-entries")
+    family = SuffixFamily(scratch)
     for k in range(batches):
         family.add(every.filter(F.pmod(F.xxhash64("id", "th"), F.lit(batches)) == k))
-    matched = keep(family.matched(), "suffix-matched")
+    matched = scratch.keep(family.matched(), "suffix-matched")
     for _, level in family.levels:
-        discard(level)
+        scratch.discard(level)
 
     # whole contexts that occur more than once
     copies = matched.filter("n > 1").select(*SuffixFamily.KEY, F.col("rep").alias("first"))
-    members = every.join(keep(copies, "suffix-copies"), list(SuffixFamily.KEY))
+    members = every.join(scratch.keep(copies, "suffix-copies"), list(SuffixFamily.KEY))
     rows = matched.select("gram", "n", "rep.*")
     if first_stays:
         # further places of a context in its first document are settled like the first place
@@ -429,17 +434,17 @@ def repeated_spans(docs: DataFrame, length: int, fan: int, batches: int, first_s
     spans = members.select("id", "th", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") + F.col("after")).alias("hi"))
 
     # different contexts of one k-gram
-    rows = keep(rows, "suffix-rows") if first_stays else rows
-    crowd = keep(rows.groupBy("gram").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "suffix-grams")
+    rows = scratch.keep(rows, "suffix-rows") if first_stays else rows
+    crowd = scratch.keep(rows.groupBy("gram").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "suffix-grams")
     contested = rows.join(crowd, "gram").select("gram", "contexts", "n", "id", "th", "pos", "before", "after")
     start, size = F.col("pos") - F.col("before") + 1, F.col("before") + F.col("after")
     data = F.substring(F.col("text").cast("binary"), start, size).alias("data")
     texts = docs.filter(F.octet_length("text") >= length)
-    contexts = keep(contested.join(texts, ["id", "th"]).select(*contested.columns, data), "suffix-contexts")
+    contexts = scratch.keep(contested.join(texts, ["id", "th"]).select(*contested.columns, data), "suffix-contexts")
     few = contexts.filter(F.col("contexts") <= group).repartition("gram").sortWithinPartitions("gram")
     settled = few.mapInArrow(_settle_kernel(length, fan, first_stays), "id long, th int, lo int, hi int")
     many = contexts.filter(F.col("contexts") > group).dropDuplicates(["gram", "id", "th", "pos"])
-    crowded = [settle_crowded(many, length, fan, first_stays)] if not many.isEmpty() else []
+    crowded = [settle_crowded(many, length, fan, first_stays, scratch)] if not many.isEmpty() else []
     return union_all([spans, settled, *crowded])
 
 
@@ -517,9 +522,11 @@ def with_spans(
     own = [c for c in docs.columns if c not in ("_id", "_th", "spans")]
     keyed = docs.select(*own, F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("_id"), text_key().alias("_th"))
     plain = keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), "text")
-    spans = repeated_spans(plain, length, fan, batches, first_stays, group)
+    scratch = Scratch(docs.sparkSession, "suffix-dedup")
+    spans = repeated_spans(plain, length, fan, batches, first_stays, group, scratch)
     spans = spans.distinct().groupBy(F.col("id").alias("_id"), F.col("th").alias("_th"))
     spans = keep(spans.agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
+    scratch.clear()
     return keyed.join(spans, ["_id", "_th"], "left").select(*own, "spans")
 
 

@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies, the one with the smallest id; rows without an id stay."""
-    marked = keep(near_dup.near_duplicates(docs, SIMILARITY), "pipeline-near")
+    marked = near_dup.near_duplicates(docs, SIMILARITY)
     copies = marked.filter(~F.col("kept")).select("doc_id").distinct()
     left = docs.join(copies, "doc_id", "left_anti")
     repeated = marked.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))

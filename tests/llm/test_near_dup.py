@@ -38,8 +38,10 @@ def test_components_against_brute_force(docs_of, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in held)
 
 
-def test_crowded_regions_go_deeper_and_lose_nothing(docs_of, monkeypatch):
-    monkeypatch.setattr(near_dup, "OUTLIERS", 1)
+@pytest.mark.parametrize("outliers", [0, 3, 1000])
+def test_crowded_regions_go_deeper_and_lose_nothing(docs_of, monkeypatch, outliers):
+    monkeypatch.setattr(near_dup, "OUTLIERS", outliers)
+    monkeypatch.setattr(near_dup, "CROWD", 5)
     monkeypatch.setattr(near_dup, "CHUNK", 3)
     source = random.Random(1)
     base = [f"b{i}" for i in range(100)]

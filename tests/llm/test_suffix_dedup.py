@@ -4,6 +4,7 @@ import brute
 import pytest
 
 from assay.llm import suffix_dedup
+from assay.llm.common import Scratch
 
 
 def corpus(seed, rows=60, passages=6):
@@ -85,8 +86,8 @@ def test_long_texts_are_read_in_parts(docs_of, monkeypatch):
     assert sorted(tuple(r) for r in suffix_dedup.report(suffix_dedup.with_spans(docs_of(rows))).collect()) == want
 
 
-def test_levels_are_the_digits_of_a_counter(docs_of):
-    family = suffix_dedup.SuffixFamily()
+def test_levels_are_the_digits_of_a_counter(spark, docs_of):
+    family = suffix_dedup.SuffixFamily(Scratch(spark, "levels"))
     docs = docs_of(corpus(2)).selectExpr("doc_id AS id", "0 AS th", "text")
     for k in range(6):
         family.add(suffix_dedup.entries(docs.filter(f"id % 6 = {k}"), 40, 3))
