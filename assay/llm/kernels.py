@@ -14,9 +14,9 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes of text handled at a time, which bounds the memory of a task whatever a batch holds.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 # Words remembered by a task before it starts anew.
-HELD_WORDS = 1 << 19
+HELD_WORDS = 1 << 17
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
