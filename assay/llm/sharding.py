@@ -63,7 +63,7 @@ def curve_index(dims: int, bits: int) -> str:
 
 
 def with_curve(df: DataFrame, axes: list[Column], bits: int = BITS, name: str = "hilbert") -> DataFrame:
-    """``df`` with the Hilbert index of its quantised ``axes`` (integers of ``bits`` bits)."""
+    """``df`` with the Hilbert index of its quantised ``axes`` (integers of ``bits`` bits, columns of a table)."""
     helpers = [f"x{i}" for i in range(len(axes))]
     out = df.withColumns(dict(zip(helpers, axes, strict=True)))
     for step in curve_steps(len(axes), bits):
@@ -114,8 +114,10 @@ def described(docs: DataFrame) -> DataFrame:
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    axes = [size_axis(F.col("size")), label_axis("source"), label_axis("lang")]
-    return keep(with_curve(rows, axes), "sharding")
+    axes = {"_size": size_axis(F.col("size")), "_source": label_axis("source"), "_lang": label_axis("lang")}
+    # written first: axes that are constants in the plan would be copied into every step of the curve
+    flat = keep(rows.withColumns(axes), "sharding-axes")
+    return keep(with_curve(flat, [F.col(a) for a in axes]).drop(*axes), "sharding")
 
 
 def manifest(sharded: DataFrame) -> DataFrame:
