@@ -55,6 +55,8 @@ LEVELS = 3
 BATCHES = 4
 # Contexts of one k-gram that are compared within a task at most: some 30 MB.
 GROUP = 20_000
+# Contexts compared at a time.
+BLOCK = 1024
 # Bytes of one text looked at together; longer texts are read in overlapping parts.
 PART = 1 << 19
 POSITION_BITS = 21
@@ -226,11 +228,21 @@ def node_hashes(data: bytes, before: int, after: int, level: int, node: int, len
 
 def common(x: np.ndarray, i: np.ndarray, j: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Length of the common prefix of rows ``i`` and ``j``, zero where ``j`` is -1."""
-    differ = x[i] != x[j]
-    first = np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
+    first = np.empty(len(i), np.int64)
+    for lo in range(0, len(i), BLOCK):
+        differ = x[i[lo : lo + BLOCK]] != x[j[lo : lo + BLOCK]]
+        first[lo : lo + BLOCK] = np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
     return np.where(j < 0, 0, np.minimum(first, np.minimum(sizes[i], sizes[j])))
 
 
+def padded(texts: list[bytes], width: int) -> np.ndarray:
+    """Texts as rows of ``width`` bytes, filled up with zeros."""
+    out = np.zeros((len(texts), width), np.uint8)
+    for row, text in zip(out, texts, strict=True):
+        row[: len(text)] = np.frombuffer(text, np.uint8)
+    return out
+
+
 def neighbours(order: list[int], ids: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
     """For every number the one before and after it in ``order``; with ``ids`` the nearest of a smaller id."""
     m = len(order)
@@ -256,19 +268,19 @@ def settle(group: list[tuple], length: int, fan: int, first_stays: bool) -> Iter
     m = len(group)
     reach = fan**LEVELS - 1
     data, before, after, n, ids = zip(*group, strict=True)
-    right = [d[b:] for d, b in zip(data, before, strict=True)]
-    left = [d[:b][::-1] for d, b in zip(data, before, strict=True)]
     sizes = np.array(before), np.array(after)
-    rows = [
-        np.frombuffer(b"".join(t.ljust(width, b"\0") for t in texts), np.uint8).reshape(m, width)
-        for texts, width in ((left, max(1, reach)), (right, length))
-    ]
+    rows, orders = [], []
+    for side, width in ((0, max(1, reach)), (1, length)):
+        texts = [d[b:] if side else d[:b][::-1] for d, b in zip(data, before, strict=True)]
+        orders.append(sorted(range(m), key=texts.__getitem__))
+        rows.append(padded(texts, width))
+        del texts
     smaller = list(ids) if first_stays else None
     own = np.arange(m)
     starts, ends, bound = [], [], []
-    for side, texts in enumerate((left, right)):
+    for side, order in enumerate(orders):
         most = np.zeros(m, np.int64)
-        for j in neighbours(sorted(range(m), key=texts.__getitem__), smaller):
+        for j in neighbours(order, smaller):
             shared = common(rows[0], own, j, sizes[0]), common(rows[1], own, j, sizes[1])
             starts.append(np.where(j < 0, length, length - shared[1]))
             ends.append(np.where(j < 0, 0, shared[0] + 1))
