@@ -24,7 +24,8 @@ A pair with Jaccard similarity s shares no region with probability (1 - s**3)**2
 
 Edge cases: a text without words has no shingles and links with nothing; fewer words than a shingle
 count as one; a row without an id links with nothing and has a null component; repeated rows are in
-one class and are all ``kept`` if their id is the smallest; an empty table gives no rows.
+one class, compared once, and are all ``kept`` if their id is the smallest; texts that share an id are
+linked each by itself; an empty table gives no rows. Inside, a class goes by 64 bits of its digest.
 """
 
 from __future__ import annotations
@@ -87,15 +88,21 @@ def _sign_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                 signatures.append(signature(own, factors).tobytes() if len(own) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-            ["doc_id", "n_shingles", "digest", "signature"],
+            [
+                batch.column("doc_id"),
+                batch.column("th"),
+                pa.array(sizes, pa.int64()),
+                pa.array(digests, pa.binary()),
+                pa.array(signatures, pa.binary()),
+            ],
+            ["doc_id", "th", "n_shingles", "digest", "signature"],
         )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_sign_kernel, f"doc_id {kind}, n_shingles long, digest binary, signature binary")
+    return rows.mapInArrow(_sign_kernel, f"doc_id {kind}, th long, n_shingles long, digest binary, signature binary")
 
 
 def region(depth: int, tree: Column | str = "tree") -> Column:
@@ -149,17 +156,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id
     is the smallest id reachable over links, kept says whether it is the document's own.
     """
+    return near_duplicate_rows(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def near_duplicate_rows(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """``near_duplicates`` with ``th``, the xxhash64 of the row's text, and ``first``.
+
+    first says whether (doc_id, th) is the smallest of its component; it is true for rows that link with nothing.
+    """
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     signed = scratch.keep(signatures(docs), "signed")
     nodes = signed.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     # equal sets have equal signatures
-    grouped = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("signature").alias("signature"))
+    grouped = nodes.groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.max("signature").alias("signature"))
+    grouped = grouped.select(F.xxhash64("digest").alias("id"), "digest", "rep", "signature")
     classes = scratch.keep(grouped, "classes")
-    members = shared_regions(classes.select(F.col("rep").alias("id"), "signature"), scratch)
+    members = shared_regions(classes.select("id", "signature"), scratch)
     pairs = scratch.keep(members.filter("id <> head").select("head", F.col("id").alias("node")).distinct(), "pairs")
     ids = pairs.select(F.col("head").alias("id")).unionByName(pairs.select(F.col("node").alias("id"))).distinct()
-    ids = small_side(scratch.keep(ids, "ids"))
-    texts = scratch.keep(docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id"), "texts")
+    ids = scratch.keep(classes.join(ids, "id").select("id", "rep.doc_id", "rep.th"), "ids")
+    texts = class_texts(docs, signed, ids, scratch)
     edges = scratch.keep(confirm(texts, pairs, percent, scratch), "edges")
     labels = scratch.keep(connected_components(edges, "a", "b"), "labels")
 
@@ -170,21 +186,36 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         more = scratch.keep(confirm(texts, further, percent, scratch), "more-edges")
         stars = labels.select(F.col("component").alias("a"), F.col("id").alias("b")).filter("a <> b")
         labels = scratch.keep(connected_components(more.unionByName(stars), "a", "b"), "labels")
-    named = classes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id")
-    )
-    own = signed.select("doc_id", "n_shingles", "digest").join(scratch.keep(named, "named"), "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    labelled = scratch.keep(classes.select("id", "digest", "rep").join(labels, "id", "left"), "labelled-classes")
+    least = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
+    named = labelled.join(least, "component", "left").select("digest", F.coalesce("least", "rep").alias("least"))
+    own = signed.select("doc_id", "th", "n_shingles", "digest").join(scratch.keep(named, "named"), "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least.doc_id", "doc_id"))
+    alone = F.col("doc_id").isNull() | F.col("least").isNull()
     found = keep(
         own.select(
-            "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+            "doc_id", "th", "n_shingles", component.alias("component_id"),
+            F.col("doc_id").eqNullSafe(component).alias("kept"),
+            (alone | (F.struct("doc_id", "th") == F.col("least"))).alias("first"),
         ),
         "near-duplicates-found",
-    )
+    )
     scratch.clear()
     return found
 
 
+def class_texts(docs: DataFrame, signed: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, text), one row for each class of ``ids`` (id, doc_id, th), however often its row is repeated."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    texts = scratch.keep(rows.join(small_side(ids), ["doc_id", "th"]).select("id", "text"), "texts")
+    copies = signed.filter("doc_id IS NOT NULL").groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = scratch.keep(ids.join(copies, ["doc_id", "th"]).select("id"), "repeated")
+    if repeated.isEmpty():
+        return texts
+    once = texts.join(repeated, "id", "left_semi").dropDuplicates(["id"])
+    return scratch.keep(texts.join(repeated, "id", "left_anti").unionByName(once), "texts")
+
+
 def shared_regions(signed: DataFrame, scratch: Scratch) -> DataFrame:
     """(region, depth, tree, id, head): members of regions of several classes, crowded ones deeper too."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
