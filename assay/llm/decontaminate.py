@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import keep, text_key, union_all
+from assay.llm.common import keep, union_all
 from assay.llm.words import alnum_words, indexes, item, ngram_hashes, word_count
 
 SPAN = 10
@@ -99,7 +99,14 @@ def decontaminate(
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. A window is ``span`` words in a row of an
     item, or all words of a shorter item; a word inside an occurrence of a window is hit.
     """
-    keyed = docs.select(F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"), text_key().alias("_th"), "text")
+    return contamination(docs, benchmark, span, k, broadcast_rows).drop("_th")
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``decontaminate`` with ``_th``, the xxhash64 of the row's text."""
+    keyed = docs.select(F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"), F.xxhash64("text").alias("_th"), "text")
     worded = keyed.select("_id", "_th", alnum_words("text").alias("words"))
     items = keep(
         benchmark.select("item_id", alnum_words("text").alias("words")).filter(F.size("words") > 0), "benchmark-words"
@@ -118,14 +125,14 @@ def decontaminate(
     plain = docs.select(
         "doc_id",
         F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"),
-        text_key().alias("_th"),
+        F.xxhash64("text").alias("_th"),
         word_count("text").alias("n_words"),
     )
     nothing = F.sha2(F.lit("").cast("binary"), 256)
     if not hits:
         none = F.lit(0).cast("long")
         return plain.select(
-            "doc_id", "n_words", none.alias("n_hit"), none.alias("n_items"), nothing.alias("items_sha256"),
+            "doc_id", "_th", "n_words", none.alias("n_hit"), none.alias("n_items"), nothing.alias("items_sha256"),
             F.lit(False).alias("contaminated"),
         )
     found = keep(
@@ -161,6 +168,7 @@ def decontaminate(
     per_doc = found.select("_id", "_th", "n_hit", "set").join(keep(listed, "benchmark-sets"), "set")
     return plain.join(per_doc, ["_id", "_th"], "left").select(
         "doc_id",
+        "_th",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

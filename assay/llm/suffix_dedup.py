@@ -27,7 +27,8 @@ K-grams with at most ``GROUP`` contexts are settled where their contexts meet. F
 every step down the tree is a grouping by hash over all tasks, whose counts combine before the shuffle.
 
 Edge cases: null and short texts lose nothing; repeated rows count as different documents; rows that
-share an id are told apart by their text; a text of one repeated character is one repeated passage.
+share an id are told apart by their text; a row without an id takes a negative one from its text; a text
+of one repeated character is one repeated passage.
 """
 
 from __future__ import annotations
@@ -263,7 +264,7 @@ def neighbours(order: list[int], ids: list[int] | None) -> tuple[np.ndarray, np.
 def settle(group: list[tuple], length: int, fan: int, first_stays: bool) -> Iterator[tuple[int, int, int]]:
     """(number, first offset, end offset) of repeated passages among the contexts of one k-gram.
 
-    ``group`` has (data, before, after, n, id) of every context.
+    ``group`` has (data, before, after, n, (id, th)) of every context.
     """
     m = len(group)
     reach = fan**LEVELS - 1
@@ -353,7 +354,7 @@ def _settle_kernel(length: int, fan: int, first_stays: bool):
                     gram, group, where, seen = g, [], [], set()
                 if (i, th, pos) not in seen:  # a repeated row brings its context again
                     seen.add((i, th, pos))
-                    group.append((data, before, after, n, i))
+                    group.append((data, before, after, n, (i, th)))
                     where.append((i, th, pos))
         if len(group) > 1:
             yield done()
@@ -398,6 +399,7 @@ NODE_DDL = "gram long, node int, core long, whole long, id long, th int, pos int
 def settle_crowded(contexts: DataFrame, length: int, fan: int, first_stays: bool, scratch: Scratch) -> DataFrame:
     """(id, th, lo, hi) of repeated passages among contexts whose k-grams are too crowded for one task."""
     found, parents = [], contexts.withColumn("node", F.lit(0))
+    document = F.struct("id", "th")
     for level in range(1, LEVELS + 1):
         rows = scratch.keep(parents.mapInArrow(_node_kernel(length, fan, level), NODE_DDL), "suffix-nodes")
         sharing = (
@@ -407,14 +409,14 @@ def settle_crowded(contexts: DataFrame, length: int, fan: int, first_stays: bool
                 F.count("whole").alias("wholes"),
                 F.min("whole").alias("w0"),
                 F.max("whole").alias("w1"),
-                F.min("id").alias("least"),
+                F.min(document if first_stays else "id").alias("least"),
             )
             .filter("sharers > 1")
             .withColumn("settled", F.expr("coalesce(wholes = sharers AND w0 = w1, false)"))
             .select("gram", "node", "core", "least", "settled")
         )
         both = rows.join(scratch.keep(sharing, "suffix-sharing"), ["gram", "node", "core"])
-        repeated = F.expr("id > least") if first_stays else F.expr("n = 1")
+        repeated = document > F.col("least") if first_stays else F.expr("n = 1")
         found.append(both.filter(F.col("settled") & repeated).select("id", "th", "lo", "hi"))
         if level < LEVELS:
             following = scratch.keep(both.filter(~F.col("settled")).select("gram", "id", "th", "pos", "node"), "suffix-open")
@@ -440,9 +442,9 @@ def repeated_spans(
     rows = matched.select("gram", "n", "rep.*")
     if first_stays:
         # further places of a context in its first document are settled like the first place
-        again = members.filter("id = first.id AND struct(th, pos) <> struct(first.th, first.pos)")
+        again = members.filter("id = first.id AND th = first.th AND pos <> first.pos")
         rows = rows.unionByName(again.select("gram", F.lit(2).cast("long").alias("n"), "id", "th", "pos", "before", "after"))
-        members = members.filter("id > first.id")
+        members = members.filter("struct(id, th) > struct(first.id, first.th)")
     spans = members.select("id", "th", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") + F.col("after")).alias("hi"))
 
     # different contexts of one k-gram
@@ -529,10 +531,12 @@ def with_spans(
 ) -> DataFrame:
     """``docs`` with ``spans``, the byte ranges in repeated passages (null for none).
 
-    With ``first_stays`` a passage stays in the document with the smallest id that holds it.
+    With ``first_stays`` a passage stays in the document with the smallest id that holds it, of rows that
+    share this id in the one with the smallest hash of the text.
     """
     own = [c for c in docs.columns if c not in ("_id", "_th", "spans")]
-    keyed = docs.select(*own, F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("_id"), text_key().alias("_th"))
+    unnamed = F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63)))
+    keyed = docs.select(*own, F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("_id"), text_key().alias("_th"))
     plain = keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), "text")
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     spans = repeated_spans(plain, length, fan, batches, first_stays, group, scratch)

@@ -2,7 +2,8 @@
 
 A stage is a function of (spark, docs, sf_dir) that returns a DataFrame; what it returns is written as
 Parquet and read again as the next one's docs. All but the last return the columns of documents.
-Every stage also takes empty tables, null and repeated rows and further columns.
+Every stage also takes empty tables, null and repeated rows and further columns. What a stage decides
+holds for a row, known by its id (or none) and text, not for all rows that share its id.
 """
 
 from __future__ import annotations
@@ -24,21 +25,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def join_rows(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with ``rows`` (_id, _th) of the same id, or none, and the same xxhash64 of the text."""
+    return docs.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), how)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies, the one with the smallest id; rows without an id stay."""
-    marked = near_dup.near_duplicates(docs, SIMILARITY)
-    copies = marked.filter(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(copies, "doc_id", "left_anti")
-    repeated = marked.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    repeated = keep(repeated.filter("n > 1").select("doc_id"), "pipeline-repeated")
+    """One row of every group of near copies, the one with the smallest id (then hash of the text).
+
+    Rows without an id are near copies of nothing; rows equal in id (or none) and text stay once.
+    """
+    marked = near_dup.near_duplicate_rows(docs, SIMILARITY)
+    key = [F.col("doc_id").alias("_id"), F.col("th").alias("_th")]
+    left = join_rows(docs, marked.filter(~F.col("first")).select(*key).distinct(), "left_anti")
+    repeated = marked.filter("first").groupBy(*key).agg(F.count("*").alias("n"))
+    repeated = keep(repeated.filter("n > 1").select("_id", "_th"), "pipeline-repeated")
     if not repeated.isEmpty():
-        once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        left = left.join(repeated, "doc_id", "left_anti").unionByName(once)
+        once = join_rows(left, repeated, "left_semi").withColumn("_th", F.xxhash64("text")).dropDuplicates(["doc_id", "_th"])
+        left = join_rows(left, repeated, "left_anti").unionByName(once.drop("_th"))
     return left.select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that a document with a smaller id holds too; n_chars follows the text."""
+    """Texts without passages that an earlier row holds too; n_chars follows the text.
+
+    Rows without an id come first, then rows by id; rows that share an id, or have none, by hash of the text.
+    """
     cut = suffix_dedup.cut(suffix_dedup.with_spans(docs, PASSAGE, FAN, first_stays=True))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -46,10 +58,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no run of ten words with a benchmark item."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    found = keep(found.select(F.col("doc_id").alias("_hit")).distinct(), "pipeline-hits")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    """Rows that share no run of ten words with a benchmark item."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
+    found = keep(found.select(F.col("doc_id").alias("_id"), "_th").distinct(), "pipeline-hits")
+    return join_rows(docs, found, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

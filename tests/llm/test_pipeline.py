@@ -77,3 +77,43 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, folder, tmp_path):
         assert out.count() == 0
         if name != "packing":
             assert out.dtypes == docs.dtypes
+
+
+def words(source, n):
+    return " ".join(f"w{source.randrange(10**6)}" for _ in range(n))
+
+
+def left(stage, spark, rows, folder):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted(((r.doc_id, r.text) for r in stage(spark, docs, folder).collect()), key=str)
+
+
+def test_near_copies_go_by_row(spark, folder):
+    source = random.Random(1)
+    a, b, c, d, e = (words(source, 60) for _ in range(5))
+    rows = [(1, a), (2, a + " end"), (2, b), (2, b), (2, e), (None, c), (None, c), (None, d), (None, None)]
+    want = [(1, a), (2, b), (2, e), (None, c), (None, d), (None, None)]
+    assert left(corpus_pipeline.drop_near_copies, spark, rows, folder) == sorted(want, key=str)
+
+
+def test_contaminated_rows_go_by_row(spark, folder):
+    source = random.Random(2)
+    leak = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    clean = [words(source, 30) for _ in range(3)]
+    rows = [(None, leak), (None, clean[0]), (0, clean[1]), (5, "x " + leak), (5, clean[2])]
+    want = [(None, clean[0]), (0, clean[1]), (5, clean[2])]
+    assert left(corpus_pipeline.drop_contaminated, spark, rows, folder) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("group", [20_000, 1])
+def test_a_passage_stays_once_among_rows_without_or_with_one_id(spark, group):
+    source = random.Random(3)
+    for ids in ((None, None, None), (None, 0, 4), (3, 3, 3), (None, 3, 3)):
+        passage = words(source, 60)
+        rows = [(i, f"{words(source, 20)} {passage} {words(source, 20)}") for i in ids]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        marked = corpus_pipeline.suffix_dedup.with_spans(docs, corpus_pipeline.PASSAGE, corpus_pipeline.FAN, first_stays=True, group=group)
+        held = [(r.doc_id, r.text) for r in corpus_pipeline.suffix_dedup.cut(marked).collect()]
+        assert len(held) == 3 and sum(passage in t for _, t in held) == 1
+        assert sum(len(t) for _, t in held) < sum(len(t) for _, t in rows) - 2 * len(passage) + 10
+        assert {i for i, t in held if passage in t} == {ids[0]}
