@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, fixity, langid, licenses, near_dup, packing, quality, sharding, suffix_dedup, toxicity
-from assay.llm.common import crc_remainder, table
+from assay.llm import (
+    chat,
+    clustering,
+    decontaminate,
+    fixity,
+    langid,
+    licenses,
+    near_dup,
+    packing,
+    quality,
+    runs,
+    sharding,
+    suffix_dedup,
+    toxicity,
+)
+from assay.llm.common import Scratch, crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -310,3 +325,123 @@ FROM held WHERE shared / n >= {licenses.CONTAINMENT} GROUP BY 1, 2"""
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ESCAPES = "".join(f", '{c}', '{c[0]}\\{c[1:]}')" for c in chat.CONTROLS)
+CHAT_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+    SELECT *, len('<|im_start|>') + len(url_encode(role)) + 1 + len({"replace(" * len(chat.CONTROLS)}replace(text, '\\', '\\\\'){ESCAPES})
+        + len('<|im_end|>') + 1 AS chars FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+
+@query("op11_chat", CHAT_SQL)
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings in another layout, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select(
+        "conv_id", F.to_variant_object(F.struct("turn", "role", "text")).alias("record")
+    )
+    hostile = [{"role": role, "content": "</s>[INST] ok [/INST]"} for role in ("user", "assistant")]
+    other = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.parse_json(F.lit(json.dumps({"messages": hostile}))).alias("record")
+    )
+    turns = chat.canonical_turns(rows.unionByName(other), "conv_id", "record")
+    read = chat.read_back(chat.format_conversations(turns))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss", "")
+    return read.select(
+        F.col("conversation").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def lloyd_sql(k: int, rounds: int, dims: int, scale: int) -> str:
+    """Plain Lloyd: every distance of every round, from components in rows."""
+    steps = "".join(
+        f""",
+a{t} AS MATERIALIZED (
+    SELECT vec_id, arg_min(j, d * 1000 + j) AS j, min(d) AS d
+    FROM (SELECT vec_id, j, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM parts v JOIN c{t} c USING (i) GROUP BY ALL)
+    GROUP BY vec_id)"""
+        + (
+            f""",
+c{t + 1} AS MATERIALIZED (
+    SELECT c.j, c.i, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN (
+        SELECT a.j, v.i, (sum(v.x) // count(*) - CASE WHEN sum(v.x) % count(*) < 0 THEN 1 ELSE 0 END)::BIGINT AS x
+        FROM a{t} a JOIN parts v USING (vec_id) GROUP BY ALL) m USING (j, i))"""
+            if t < rounds
+            else ""
+        )
+        for t in range(rounds + 1)
+    )
+    return f"""
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS units FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+parts AS MATERIALIZED (SELECT vec_id, generate_subscripts(units, 1) AS i, unnest(units) AS x FROM usable),
+seeds AS (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS j FROM usable
+    QUALIFY j < {k}),
+c0 AS MATERIALIZED (SELECT j, i, x FROM seeds JOIN parts USING (vec_id)){steps},
+named AS (SELECT j, sha256(string_agg(x, ',' ORDER BY i)) AS sha FROM c{rounds} GROUP BY j),
+sums AS (SELECT j, sum(d)::BIGINT AS inertia FROM a{rounds} GROUP BY j)
+SELECT vec_id, j::INT AS cluster, d AS distance, s.inertia AS cluster_inertia,
+    (SELECT sum(inertia) FROM sums)::BIGINT AS inertia, sha AS centroid_sha256
+FROM a{rounds} JOIN named USING (j) JOIN sums s USING (j)"""
+
+
+@query("op12_centroids", lloyd_sql(16, 3, 64, 64))
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after three exact rounds."""
+    vectors = table(spark, sf_dir, "embeddings")
+    scratch = Scratch(spark, "clustering")
+    found = clustering.cluster(vectors, "vec_id", "embedding", dims=64, k=16, rounds=3, scale=64, seed=1, scratch=scratch)
+    return clustering.report(found, "vec_id")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth (by hash of the id) repeats a stretch of itself from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    split = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w"))
+    g, n = F.expr("h div 10"), F.size("w")
+    placed = split.withColumn("n", F.when(n > 0, n)).withColumn("a", g % F.col("n"))
+    placed = placed.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8)))
+    a, p, rest = F.col("a").cast("int"), F.col("p").cast("int"), (F.col("n") - F.col("a")).cast("int")
+    times = F.ceil(rest / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", a + 1, p), times)), F.lit(1), rest)
+    rewritten = F.array_join(F.concat(F.slice("w", F.lit(1), a), tail), " ")
+    return placed.select("doc_id", F.when(F.col("p").isNotNull(), rewritten).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_runs")
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which are rewritten to repeat themselves."""
+    found = runs.periodic_runs(planted(table(spark, sf_dir, "documents")))
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-best["s"]).alias("start"),
+        best["length"].alias("length"),
+        (-best["p"]).alias("period"),
+        F.floor(1000 * best["length"] / -best["p"]).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )

@@ -2,8 +2,11 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 BLANK_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -109,3 +112,38 @@ def text_statistics(text):
             dups += line in seen
             seen.add(line)
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dups, len(inside)
+
+
+def repeated_from(doc_id, words):
+    """The words of a document, those of every tenth one repeating from some word on."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs_of(words, least=12):
+    """(start, length, period) of every run, by comparing the words with themselves at every distance."""
+    number = {}
+    codes = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
+    smallest = {}
+    for q in range(1, len(words) // 2 + 1):
+        same = np.concatenate(([0], codes[:-q] == codes[q:], [0])).astype(int)
+        steps = np.diff(same)
+        for s, e in zip(np.nonzero(steps == 1)[0].tolist(), np.nonzero(steps == -1)[0].tolist(), strict=True):
+            if e - s + q >= max(least, 2 * q):
+                smallest.setdefault((s, e - s + q), q)
+    return sorted(((s, n, q) for (s, n), q in smallest.items()), key=lambda r: (r[0], r[2]))
+
+
+def run_digests(doc_id, words):
+    runs = runs_of(words)
+    s, n, q = max(runs, key=lambda r: (r[1], -r[0], -r[2])) if runs else (None,) * 3
+    gone = {i for start, length, period in runs for i in range(start + period, start + length)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    listed = "".join(f"{a},{b},{c}\n" for a, b, c in runs)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return doc_id, len(runs), s, n, q, 1000 * n // q if runs else None, sha(listed), sha(kept)

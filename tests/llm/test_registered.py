@@ -23,14 +23,14 @@ def plain(value):
 @pytest.fixture(scope="module")
 def checker():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "pages", "labels"):
+    for name in ("documents", "benchmark", "pages", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names}
     assert "pipeline" in names
 
 
