@@ -8,13 +8,26 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assay.sources.commits import append_once, read_committed
 
-def append_log(df: DataFrame, path: str, day_of: str | None = None) -> None:
-    """Append rows; with ``day_of`` the table is partitioned by the day of that timestamp."""
-    if day_of is None:
-        df.write.mode("append").parquet(path)
+
+def append_log(df: DataFrame, path: str, day_of: str | None = None, run: str | None = None) -> None:
+    """Append rows; with ``day_of`` the table is partitioned by the day of that timestamp.
+
+    With ``run`` the rows take effect once, however often that run is appended or broken off; such a log is
+    read by ``read_log``.
+    """
+    partitions = () if day_of is None else ("log_day",)
+    rows = df if day_of is None else df.withColumn("log_day", F.to_date(day_of))
+    if run is not None:
+        append_once(rows, path, run, partitions)
     else:
-        df.withColumn("log_day", F.to_date(day_of)).write.mode("append").partitionBy("log_day").parquet(path)
+        rows.write.mode("append").partitionBy(*partitions).parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """All rows of a log whose runs have names."""
+    return read_committed(spark, path, schema)
 
 
 def overwrite_snapshot(df: DataFrame, root: str, version: int) -> None:

@@ -10,9 +10,10 @@ from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from assay.operators.standardize import standardize, union_all
-from assay.sources import files
+from assay.sources import commits, evolution, files
 from assay.specs import EntitySpec, SourceSpec
 
 
@@ -108,3 +109,63 @@ def refresh_standardized(
 ) -> None:
     """Append what is new in the raw tables to the standardised table."""
     _drain(standardize_stream(spark, entity, tables), table, checkpoint).awaitTermination()
+
+
+def land_evolving(
+    spark: SparkSession,
+    source: SourceSpec,
+    landing: str,
+    table: str,
+    checkpoint: str,
+    as_of=None,
+    max_files: int = 1_000,
+    pattern: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """Append every new landing file to ``table`` by a schema that follows the files; see ``read_landed``.
+
+    The stream is one of file names: each batch of at most ``max_files`` first brings the schema up to date, then
+    reads its files by it. Batches are appended once each, so one that broke off is landed again whole.
+    """
+    listing = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", pattern or files.DATA_FILES[source.format])
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", str(max_files))
+        .load(landing)
+        .select("path")
+    )
+    loaded = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+
+    def land(names: DataFrame, batch: int) -> None:
+        paths = [r["path"] for r in names.collect()]
+        if not paths:
+            return
+        store = evolution.SchemaStore(names.sparkSession, schema_path(table))
+        rows = evolution.read_files(names.sparkSession, source, paths, store, **options)
+        tagged = rows.select(
+            "*",
+            F.lit(source.name).alias("_source_system"),
+            F.lit(source.priority).cast("int").alias("_source_priority"),
+            loaded.alias("_ingested_at"),
+        )
+        commits.append_once(tagged, table, f"batch-{batch}")
+
+    return (
+        listing.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def schema_path(table: str) -> str:
+    return f"{table.rstrip('/')}/schema"
+
+
+def read_landed(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """All rows landed so far by the newest schema, or by an earlier version of it, with provenance and ``_rescued``."""
+    _, schema = evolution.SchemaStore(spark, schema_path(table)).latest(version)
+    own = f"{evolution.RESCUED} map<string, string>, _source_file string, _source_system string, _source_priority int, _ingested_at timestamp"
+    return commits.read_committed(spark, table, StructType([*schema.fields, *StructType.fromDDL(own).fields]))

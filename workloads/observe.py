@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from assay.operators.standardize import union_all
 from assay.plans import checks, monitoring, reports
 from assay.session import new_shared_path
 from assay.sources import sinks
-from assay.sources.files import read_batch
+from assay.sources.files import list_files, read_batch
 from assay.specs import CostSpec, RuleSpec, SourceSpec, load_cost
 from assay.streaming import ingest
 from workloads.registry import AS_OF, AS_OF_DAY, query, r, table
@@ -436,27 +436,29 @@ def stream_standardize(spark, sf_dir):
 
 
 def _landed(spark, sf_dir) -> tuple[str, list[str]]:
-    """Orders as landing files of three sources, and an empty folder beside them."""
+    """All orders as landing files, a source per priority, and an empty folder beside them."""
     root = new_shared_path(spark, "landing")
     orders = table(spark, sf_dir, "orders").withColumn("priority", F.substring("o_orderpriority", 1, 1))
-    orders.filter("priority IN ('1', '2')").write.partitionBy("priority").parquet(root)
+    orders.write.partitionBy("priority").parquet(root)
     orders.limit(0).write.format("csv").save(f"{root}/priority=empty")
-    return root, ["1", "2", "empty", "absent"]
+    return root, ["1", "2", "3", "4", "5", "empty", "absent"]
 
 
 @query(
     "landing_freshness",
-    """SELECT 'orders' AS entity, source, CASE WHEN source IN ('empty', 'absent') THEN 'error' WHEN source = '1' THEN 'ok'
-        ELSE 'stale' END AS status FROM (VALUES ('1'), ('2'), ('empty'), ('absent')) t(source)
+    """SELECT 'orders' AS entity, source,
+        CASE WHEN source IN ('empty', 'absent') THEN 'error' WHEN source IN ('1', '3', '5') THEN 'ok' ELSE 'stale' END AS status
+        FROM (VALUES ('1'), ('2'), ('3'), ('4'), ('5'), ('empty'), ('absent')) t(source)
         WHERE source IN ('empty', 'absent') OR source IN (SELECT DISTINCT substr(o_orderpriority, 1, 1) FROM orders)""",
 )
 def landing_freshness(spark, sf_dir):
     """Files landed by this query: in time, late, none in the folder, no folder."""
     root, names = _landed(spark, sf_dir)
-    hours = {"1": 1_000.0, "2": 24.0}
-    specs = [SourceSpec(n, "parquet", "orders", f"{root}/priority={n}", 1, hours.get(n, 24.0)) for n in names]
-    as_of = datetime.now() + timedelta(hours=100)  # the files are as old as this query; only the limits differ
-    return checks.landing_freshness(spark, specs, as_of).select("entity", "source", "status")
+    hours = {n: 1_000.0 if n in "135" else 24.0 for n in names}
+    specs = [SourceSpec(n, "parquet", "orders", f"{root}/priority={n}", 1, hours[n]) for n in names]
+    # by the files' own times, not a clock: all are 100 hours old, and only the limits differ
+    newest = list_files(spark, root, "*.parquet").agg(F.max("modificationTime")).first()[0]
+    return checks.landing_freshness(spark, specs, newest + timedelta(hours=100)).select("entity", "source", "status")
 
 
 # ---- files of other formats: by name, with columns in another order and columns nobody asked for
@@ -466,16 +468,23 @@ _PARTS_SQL = """SELECT p_partkey::VARCHAR AS part_id, p_name AS part_name, p_bra
     round(p_retailprice, 6) AS price, p_size::VARCHAR AS extra FROM part"""
 
 
-def _landed_parts(spark, sf_dir, kind: str) -> tuple[SourceSpec, str]:
-    path = new_shared_path(spark, f"parts-{kind}")
-    part = table(spark, sf_dir, "part").select("p_size", "p_retailprice", "p_brand", "p_name", "p_type", "p_partkey")
+def _write_landing(df: DataFrame, kind: str, path: str) -> None:
+    """Landing files of a format; JSON as files of one array of some 500 records each."""
     if kind == "csv":
-        part.write.option("header", "true").csv(path)
-    else:  # files of one array of at most 500 records each
-        arrays = part.groupBy(F.expr("p_partkey div 500").alias("chunk")).agg(
+        df.write.option("header", "true").csv(path)
+    elif kind == "parquet":
+        df.write.parquet(path)
+    else:
+        arrays = df.groupBy(F.expr("p_partkey div 500").alias("chunk")).agg(
             F.array_join(F.collect_list(F.to_json(F.struct("*"))), ",").alias("records")
         )
         arrays.select("chunk", F.concat(F.lit("["), "records", F.lit("]")).alias("value")).write.partitionBy("chunk").text(path)
+
+
+def _landed_parts(spark, sf_dir, kind: str) -> tuple[SourceSpec, str]:
+    path = new_shared_path(spark, f"parts-{kind}")
+    part = table(spark, sf_dir, "part").select("p_size", "p_retailprice", "p_brand", "p_name", "p_type", "p_partkey")
+    _write_landing(part, kind, path)
     return SourceSpec("parts", kind, "part", path, 1, 24.0, _PARTS_SOURCE), path
 
 
@@ -506,23 +515,77 @@ def csv_stream_by_name(spark, sf_dir):
     return _named(spark.read.parquet(f"{root}/raw"))
 
 
+# ---- landing files whose columns change
+
+_DROPS = (
+    ("p_partkey", "p_name", "p_size", "p_retailprice"),
+    ("p_name", "p_partkey", "p_brand", "p_retailprice"),
+    ("p_brand", "p_partkey", "concat('size ', p_size) AS p_size", "p_name"),
+)
+_EVOLVED_SQL = """SELECT p_partkey AS part_id, p_name AS part_name, CASE WHEN p_partkey % 3 > 0 THEN p_brand END AS brand,
+    CASE WHEN p_partkey % 3 = 0 THEN p_size::BIGINT END AS size, CASE WHEN p_partkey % 3 < 2 THEN p_retailprice END AS price,
+    CASE WHEN p_partkey % 3 = 2 THEN 'size ' || p_size END AS rescued_size, 'parts' AS source FROM part"""
+
+
+def _evolved(spark, sf_dir, kind: str) -> DataFrame:
+    """Parts in three drops: a new column and a missing one in the second, text for a number in the third."""
+    root = new_shared_path(spark, f"evolved-{kind}")
+    source = SourceSpec("parts", kind, "part", f"{root}/landing", 1, 24.0, {"part_id": "p_partkey", "part_name": "p_name"})
+    part = table(spark, sf_dir, "part").withColumn("p_size", F.col("p_size").cast("long"))
+    for i, columns in enumerate(_DROPS):
+        drop = part.filter(F.col("p_partkey") % 3 == i).selectExpr(*columns)
+        _write_landing(drop, kind, f"{root}/landing/drop{i}")
+        ingest.land_evolving(
+            spark, source, f"{root}/landing", f"{root}/raw", f"{root}/checkpoint", as_of=AS_OF,
+            pattern="part-*", infer=True,
+        ).awaitTermination()
+    landed = ingest.read_landed(spark, f"{root}/raw")
+    return landed.select(
+        F.col("p_partkey").alias("part_id"),
+        F.col("p_name").alias("part_name"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_size").alias("size"),
+        F.col("p_retailprice").alias("price"),
+        F.try_element_at("_rescued", F.lit("p_size")).alias("rescued_size"),
+        F.col("_source_system").alias("source"),
+    )
+
+
+@query("evolved_csv", _EVOLVED_SQL)
+def evolved_csv(spark, sf_dir):
+    """Three drops of CSV files through a stream whose schema follows them; no value is lost."""
+    return _evolved(spark, sf_dir, "csv")
+
+
+@query("evolved_json", _EVOLVED_SQL)
+def evolved_json(spark, sf_dir):
+    """The same from files of JSON arrays."""
+    return _evolved(spark, sf_dir, "json")
+
+
+@query("evolved_parquet", _EVOLVED_SQL)
+def evolved_parquet(spark, sf_dir):
+    """The same from Parquet files whose footers disagree."""
+    return _evolved(spark, sf_dir, "parquet")
+
+
 # ---- logs, snapshots and control tables, written and read back
 
 
 @query("log_append", "SELECT event_id, event_type, ts::DATE::VARCHAR AS log_day FROM events")
 def log_append(spark, sf_dir):
-    """Events appended in two runs to a log partitioned by day."""
+    """Events appended in two runs to a log partitioned by day, one of them repeated."""
     path = new_shared_path(spark, "log")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    for part in (0, 1):
-        sinks.append_log(events.filter(F.col("event_id") % 2 == part), path, "ts")
-    return spark.read.parquet(path).select("event_id", "event_type", _day("log_day"))
+    for part in (0, 1, 0):
+        sinks.append_log(events.filter(F.col("event_id") % 2 == part), path, "ts", run=f"part {part}")
+    return sinks.read_log(spark, path).select("event_id", "event_type", _day("log_day"))
 
 
 @query(
     "snapshot_versions",
     """SELECT 'first' AS which, count(*) AS orders, round(sum(o_totalprice), 4) AS total FROM orders
-    UNION ALL SELECT 'current', count(*), round(sum(o_totalprice), 4) FROM orders WHERE o_orderkey % 2 = 0""",
+    UNION ALL SELECT 'current', count(*), round(sum(o_totalprice * 2), 4) FROM orders""",
 )
 def snapshot_versions(spark, sf_dir):
     """Two versions of a table; the older one stays readable, and writing one again replaces it."""
@@ -530,7 +593,7 @@ def snapshot_versions(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     sinks.overwrite_snapshot(orders.limit(0), root, 1)
     sinks.overwrite_snapshot(orders, root, 1)
-    sinks.overwrite_snapshot(orders.filter("o_orderkey % 2 = 0"), root, 2)
+    sinks.overwrite_snapshot(orders.withColumn("o_totalprice", F.col("o_totalprice") * 2), root, 2)
     held = [("first", sinks.read_snapshot(spark, root, 1)), ("current", sinks.read_snapshot(spark, root))]
     total = [F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 4).alias("total")]
     return union_all([df.agg(*total).select(F.lit(n).alias("which"), "*") for n, df in held])
