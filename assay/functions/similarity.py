@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -182,3 +182,74 @@ def jaro_winkler_at_most(column: str, a: str = "a", b: str = "b") -> str:
         f"WHEN {differ} < {1 << (15 * (PREFIX_MAX - n))}L THEN {1 - PREFIX_SCALE * n!r}D" for n in range(PREFIX_MAX, 0, -1)
     )
     return f"(1D - (CASE {steps} ELSE 1D END) * (2D - {shared} * {inverse}) / 3D)"
+
+
+def least_jaro(least: float) -> tuple[float, float]:
+    """Lowest Jaro similarity of texts whose Jaro-Winkler similarity is ``least`` or more.
+
+    First for texts that differ within their first PREFIX_MAX characters, then for those that do not.
+    """
+    found = [(least - PREFIX_SCALE * n) / (1 - PREFIX_SCALE * n) for n in (PREFIX_MAX - 1, PREFIX_MAX)]
+    return tuple(max(j, min(least, BOOST_ABOVE)) for j in found)
+
+
+# Up to this many differing characters two groups of them must agree, beyond it one.
+PAIRED_DEPTH = 6
+
+
+def character_ranks(df: DataFrame, column: str, most: int) -> Column:
+    """Map of the ``most`` most frequent characters of a column to their rank; only these reach the driver."""
+    listed = df.select(F.explode(F.regexp_extract_all(F.col(column), F.lit("(?s)."), 0)).alias("c"))
+    counts = listed.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "c").limit(most)
+    frequent = [r["c"] for r in counts.collect()]
+    if not frequent:
+        return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
+    ranks = F.array(*[F.lit(i).cast("long") for i in range(len(frequent))])
+    return F.map_from_arrays(F.array(*[F.lit(c) for c in frequent]), ranks)
+
+
+def signatures(column: str, least: float, ranks: Column) -> Column:
+    """Array of (depth, top, peers): what texts at ``least`` Jaro or more must have in common.
+
+    The longer of two such texts having n characters, their characters, as multisets, differ in at most
+    d = 3 * (1 - least) * n places. Characters are dealt into d + 2 groups (d + 1 from PAIRED_DEPTH on), the
+    frequent ones in turn; at most d of the groups differ, so two (one) have the very same characters.
+    ``peers`` has a hash for every choice of two groups (every group) of one depth d. ``top`` is
+    the depth of the text as the longer one; it may also be the shorter one, so it has all depths up
+    to that of the longest text it can be similar to. Two texts are to be compared at the larger
+    of their tops.
+    """
+    text = F.coalesce(F.col(column), F.lit(""))
+
+    def placed(c: Column) -> Column:
+        return F.struct(F.coalesce(F.try_element_at(ranks, c), F.pmod(F.xxhash64(c), F.lit(1 << 40))).alias("r"), c.alias("c"))
+
+    def hashes(chars: Column, depth: Column) -> Column:
+        n = depth + F.when(depth <= PAIRED_DEPTH, 2).otherwise(1)
+
+        def group(k: Column) -> Column:
+            own = F.filter(chars, lambda t: F.pmod(t["r"], n) == k)
+            return F.xxhash64(k, F.array_join(F.transform(own, lambda t: t["c"]), ""))
+
+        def pairs(g: Column) -> Column:
+            numbers = F.sequence(F.lit(0), n - 1)
+            both = F.transform(
+                numbers,
+                lambda i: F.transform(
+                    F.filter(numbers, lambda j: j > i), lambda j: F.xxhash64(i, j, F.get(g, i), F.get(g, j))
+                ),
+            )
+            return F.when(depth <= PAIRED_DEPTH, F.flatten(both)).otherwise(g)
+
+        return F.transform(F.array(F.transform(F.sequence(F.lit(0), n - 1), group)), pairs)[0]
+
+    def by_depth(chars: Column) -> Column:
+        differ = F.size(chars) * F.lit(3 * (1 - least))
+        top, last = (F.floor(d + F.lit(1e-6)).cast("int") for d in (differ, differ / F.lit(3 * least - 2)))
+        return F.transform(
+            F.sequence(top, last),
+            lambda d: F.struct(d.alias("depth"), top.alias("top"), hashes(chars, d).alias("peers")),
+        )
+
+    chars = F.array_sort(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), 0), placed))
+    return F.transform(F.array(chars), by_depth)[0]

@@ -5,11 +5,14 @@ Three exact reductions come before any pair exists:
 * records equal in everything that matching looks at become one *profile* with a count;
 * a pair can only reach the threshold if it agrees on one of a few column sets that follow
   from the weights, so the join key is block + such a set, not the block alone;
+* where a pair must then be nearly equal in a text, and very many profiles share a key, groups of
+  characters that cannot all differ join the key;
 * a key shared by very many profiles is cut into tiles, so no task holds a whole hot key.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
@@ -17,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions import similarity, text
+from assay.session import cut
 from assay.specs import MatchSpec
 
 # Slack that keeps rounding from ever dropping a pair that sits on the threshold.
@@ -31,6 +35,21 @@ TILE_ROWS_MAX = 65536
 PAIRS_PER_TASK = 20_000_000
 # Hot keys up to this many are broadcast (a 64-bit key and a small count each); more are joined.
 BROADCAST_KEYS = 200_000
+# Lowest similarity from which characters are worth a key, and profiles of a key from which they are used:
+# each then has some hundred keys, and fewer others to be compared with.
+SIGNED_FROM = 0.9
+SIGN_ABOVE = 256
+# Characters whose frequency is looked up, the most frequent ones; others are spread by a hash.
+RANKED = 1_000
+
+
+@dataclass(frozen=True)
+class Route:
+    """One way for a pair to qualify: equal on ``columns``, and similar on ``signed`` at ``least`` or more if given."""
+
+    columns: tuple[str, ...]
+    signed: str | None = None
+    least: float = 0.0
 
 
 def block_keys(spec: MatchSpec, existing: list[str]) -> list[Column]:
@@ -45,27 +64,42 @@ def block_keys(spec: MatchSpec, existing: list[str]) -> list[Column]:
     return out
 
 
-def evidence_sets(spec: MatchSpec) -> list[tuple[str, ...]]:
-    """Smallest column sets such that every qualifying pair is equal on at least one of them.
+def evidence(spec: MatchSpec) -> list[Route]:
+    """Routes of which every qualifying pair takes at least one; the first one it agrees on finds it.
 
-    For each set of agreeing exact attributes, similarity must supply the rest of the threshold;
-    where that leaves an attribute no room below 1.0, it has to be equal too.
+    For each set of agreeing exact attributes, similarity must supply the rest of the threshold. Where
+    that leaves an attribute no room below 1.0 it has to be equal too; where it leaves little, the route is
+    signed. A route without a signature finds all pairs that agree on more columns as well; signed
+    ones come last, those with more columns first, so the exact agreement of a pair names its route.
     """
     exact = [a for a in spec.attributes if a.method == "exact"]
     fuzzy = [a for a in spec.attributes if a.method != "exact"]
     fuzzy_weight = sum(a.weight for a in fuzzy)
     needed = spec.threshold * spec.total_weight - SLACK
-    found: list[frozenset] = []
+    plain: list[frozenset] = []
+    signed: list[tuple[frozenset, str, float]] = []
     for size in range(len(exact) + 1):
         for agreeing in combinations(exact, size):
             missing = needed - sum(a.weight for a in agreeing)
             if missing > fuzzy_weight:
                 continue
-            forced = [a for a in fuzzy if a.weight > 0 and (missing - (fuzzy_weight - a.weight)) / a.weight >= 1 - 1e-8]
-            found.append(frozenset(a.column for a in (*agreeing, *forced)))
-    minimal = {s for s in found if not any(other < s for other in found)}
+            least = {a.column: (missing - (fuzzy_weight - a.weight)) / a.weight for a in fuzzy if a.weight > 0}
+            forced = [c for c, t in least.items() if t >= 1 - 1e-8]
+            columns = frozenset([a.column for a in agreeing] + forced)
+            best = max(least, key=least.get, default=None)
+            if best is not None and not forced and least[best] >= SIGNED_FROM:
+                signed.append((columns, best, least[best] - SLACK))
+            else:
+                plain.append(columns)
     names = [a.column for a in spec.attributes]
-    return sorted((tuple(n for n in names if n in s) for s in minimal), key=lambda s: (len(s), s))
+
+    def ordered(columns: frozenset) -> tuple[str, ...]:
+        return tuple(n for n in names if n in columns)
+
+    minimal = {s for s in plain if not any(other < s for other in plain)}
+    routes = [Route(c) for c in sorted(map(ordered, minimal), key=lambda c: (len(c), c))]
+    held = [(ordered(c), f, t) for c, f, t in signed if not any(other <= c for other in minimal)]
+    return routes + [Route(*x) for x in sorted(held, key=lambda x: (-len(x[0]), x[0]))]
 
 
 def with_profile_key(df: DataFrame, spec: MatchSpec) -> DataFrame:
@@ -82,6 +116,8 @@ def profiles(keyed: DataFrame, spec: MatchSpec) -> DataFrame:
     columns = [a.column for a in spec.attributes]
     blocks = [f"_block{i}" for i in range(len(spec.blocking))]
     grouped = keyed.groupBy("profile", *columns, *blocks).agg(F.min("record_key").alias("id"), F.count("*").alias("n"))
+    signed = [(n, e) for n, e in enumerate(evidence(spec)) if e.signed]
+    ranks = {c: similarity.character_ranks(grouped, c, RANKED) for c in {e.signed for _, e in signed}}
     in_block = reduce(lambda x, y: x | y, [F.col(b).isNotNull() for b in blocks])
     extra: dict[str, Column] = {}
     for a in spec.attributes:
@@ -89,6 +125,9 @@ def profiles(keyed: DataFrame, spec: MatchSpec) -> DataFrame:
             extra[f"_hash_{a.column}"] = F.when(F.col(a.column).isNotNull(), F.xxhash64(a.column))
         else:
             extra.update(similarity.char_columns(a.column))
+    for n, e in signed:
+        for near, least in enumerate(similarity.least_jaro(e.least)):
+            extra[f"_sig{n}_{near}"] = similarity.signatures(e.signed, least, ranks[e.signed])
     return grouped.select(
         "*",
         F.when(in_block, confidence(spec, _self_terms(spec))).alias("self_confidence"),
@@ -146,18 +185,18 @@ def unblocked_records(df: DataFrame, spec: MatchSpec) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _tokens(prof: DataFrame, spec: MatchSpec) -> DataFrame:
-    """Every join key of every profile: one per blocking pass and evidence set."""
+def _tokens(prof: DataFrame, spec: MatchSpec, sign_above: int = SIGN_ABOVE) -> DataFrame:
+    """Every join key of every profile: one per blocking pass and route, or several where a signed route is crowded."""
     method = {a.column: a.method for a in spec.attributes}
     keys = []
-    for i, (block, columns) in enumerate(_routes(spec)):
+    for i, (block, _, e) in enumerate(_routes(spec)):
         usable = F.col(block).isNotNull()
-        for c in columns:
+        for c in e.columns:
             usable = usable & F.col(c).isNotNull()
             if method[c] != "exact":
                 usable = usable & (F.col(c) != "")
         keys.append(
-            F.when(usable, F.struct(F.lit(i).alias("route"), F.xxhash64(F.lit(i), F.col(block), *columns).alias("key")))
+            F.when(usable, F.struct(F.lit(i).alias("route"), F.xxhash64(F.lit(i), F.col(block), *e.columns).alias("key")))
         )
     usable_rows = prof
     if spec.null_policy == "reject":
@@ -165,13 +204,53 @@ def _tokens(prof: DataFrame, spec: MatchSpec) -> DataFrame:
             if a.method == "exact":
                 usable_rows = usable_rows.filter(F.col(a.column).isNotNull())
     carried = [c for c in prof.columns if c not in ("profile", "self_confidence")]
-    return usable_rows.select(*carried, F.array_compact(F.array(*keys)).alias("_keys")).select(
+    plain = usable_rows.select(*carried, F.array_compact(F.array(*keys)).alias("_keys")).select(
         *carried, F.inline("_keys")
     )
+    return _signed(plain, spec, sign_above) if any(e.signed for _, _, e in _routes(spec)) else plain
+
+
+_SIGNED = "struct<near: int, stem: bigint, depth: int, top: int, token: bigint, peers: array<bigint>, key: bigint>"
+
+
+def _signed(plain: DataFrame, spec: MatchSpec, sign_above: int) -> DataFrame:
+    """The rows, those of crowded keys of signed routes once per signature; near, stem, depth, top, token, peers say which.
+
+    Texts that begin alike (the same stem) may differ more than others, so they have signatures of their own.
+    """
+    routes = {i: (number, e) for i, (_, number, e) in enumerate(_routes(spec)) if e.signed}
+    sizes = plain.filter(F.col("route").isin(*routes)).groupBy("key").agg(F.count("*").alias("n"))
+    crowded = cut(sizes.filter(F.col("n") > sign_above).select("key", F.lit(True).alias("_crowded")))
+    few = crowded.count() <= BROADCAST_KEYS
+    marked = plain.join(F.broadcast(crowded) if few else crowded, on="key", how="left")
+    none = F.array(F.struct(*[F.lit(None)] * 6, F.col("key")).cast(_SIGNED))
+    made = none
+    for i, (number, e) in routes.items():
+        stem = F.xxhash64(F.substring(F.col(e.signed), 1, similarity.PREFIX_MAX))
+
+        def spread(near: int, number: int = number, stem: Column = stem) -> Column:
+            def one(s: Column, t: Column) -> Column:
+                parts = [F.lit(near), s["depth"], t, *([stem] if near else [])]
+                return F.struct(
+                    F.lit(near), stem, s["depth"], s["top"], t, s["peers"], F.xxhash64(F.col("key"), *parts)
+                ).cast(_SIGNED)
+
+            return F.flatten(F.transform(f"_sig{number}_{near}", lambda s: F.transform(s["peers"], lambda t: one(s, t))))
+
+        made = F.when(F.col("_crowded") & (F.col("route") == i), F.concat(spread(0), spread(1))).otherwise(made)
+    kept = [c for c in plain.columns if c != "key" and not c.startswith("_sig")]
+    return marked.select(*kept, F.inline(made))
+
+
+def key_pairs(prof: DataFrame, spec: MatchSpec, sign_above: int = SIGN_ABOVE) -> DataFrame:
+    """One row with the pairs of profiles that share a join key, counted once per key: what the join looks at."""
+    sizes = _tokens(prof, spec, sign_above).groupBy("key").agg(F.count("*").cast("decimal(38,0)").alias("n"))
+    return sizes.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0)).cast("decimal(38,0)").alias("pairs"))
 
 
-def _routes(spec: MatchSpec) -> list[tuple[str, tuple[str, ...]]]:
-    return [(f"_block{i}", columns) for i in range(len(spec.blocking)) for columns in evidence_sets(spec)]
+def _routes(spec: MatchSpec) -> list[tuple[str, int, Route]]:
+    """(block column, number of the route, route) of every pass and route."""
+    return [(f"_block{i}", n, e) for i in range(len(spec.blocking)) for n, e in enumerate(evidence(spec))]
 
 
 def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -211,7 +290,9 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
     return spread(left.drop("chunks", "chunk")), right.drop("chunks", "chunk")
 
 
-def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS) -> DataFrame:
+def candidate_pairs(
+    prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS, sign_above: int = SIGN_ABOVE
+) -> DataFrame:
     """Profile pairs that may reach the threshold, each once.
 
     Exact attributes come as their similarity ``sim_<column>`` (null where a side is null), the
@@ -219,13 +300,18 @@ def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS
 
     A superset of the matches: nothing that could qualify is left out, whatever the block size.
     """
-    left, right = _tiled(_tokens(prof, spec), tile_rows)
+    left, right = _tiled(_tokens(prof, spec, sign_above), tile_rows)
 
     # the first route on which the pair truly agrees owns it: no second copy, no hash collision
+    routes = _routes(spec)
     owner = " ".join(
-        "WHEN " + " AND ".join(f"a.`{c}` = b.`{c}`" for c in (block, *columns)) + f" THEN {n}"
-        for n, (block, columns) in enumerate(_routes(spec))
+        "WHEN " + " AND ".join(f"a.`{c}` = b.`{c}`" for c in (block, *e.columns)) + f" THEN {n}"
+        for n, (block, _, e) in enumerate(routes)
     )
+    # a pair shares several signatures: those of its own kind and depth count, and the smallest of them owns it
+    once = """AND (a.token IS NULL OR a.near = CASE WHEN a.stem = b.stem THEN 1 ELSE 0 END
+        AND a.depth = greatest(a.top, b.top) AND array_min(array_intersect(a.peers, b.peers)) = a.token)"""
+    once = once if any(e.signed for _, _, e in routes) else ""
     most = {}
     for attr in spec.attributes:
         if attr.method == "exact":
@@ -238,7 +324,7 @@ def candidate_pairs(prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS
         a.key = b.key AND a.route = b.route AND a.i = b.i AND a.j = b.j
         AND {' + '.join(reach)} >= {(spec.threshold - SLACK) * spec.total_weight!r}D
         AND (a.i < a.j OR a.id < b.id)
-        AND CASE {owner} END = a.route"""
+        AND CASE {owner} END = a.route {once}"""
     fuzzy = [attr.column for attr in spec.attributes if attr.method != "exact"]
     exact = [attr.column for attr in spec.attributes if attr.method == "exact"]
     carried = ["id", "n", *fuzzy]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.functions.contraction import contract
 from assay.operators.skew import hot_limit, join_unique
 from assay.session import cut
+from assay.sources.bucketed import BucketedTable
 
 
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
@@ -63,3 +64,48 @@ def label_nodes(nodes: DataFrame, components: DataFrame, key: str = "id") -> Dat
     """Component of every node; a node without an edge is its own component."""
     labels = components.select(F.col("id").alias(key), "component")
     return nodes.join(labels, on=key, how="left").withColumn("component", F.coalesce("component", key))
+
+
+def extend_components(labels: DataFrame, edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(id, old, component) of every node whose component changes by further edges; old is null for a new node.
+
+    ``labels`` has (id, component), one row per node. Only the components that the edges touch are searched:
+    each takes part as one node, its smallest id, so that of the merged ones is the smallest again.
+    """
+    known = labels.select("id", "component")
+    real = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
+
+    def placed(rows: DataFrame, end: str) -> DataFrame:
+        at = known.select(F.col("id").alias(end), F.col("component").alias(f"{end}_known"))
+        return rows.join(at, on=end, how="left")
+
+    ends = cut(placed(placed(real, "a"), "b"))
+    between = ends.select(F.coalesce("a_known", "a").alias("a"), F.coalesce("b_known", "b").alias("b"))
+    merged = cut(connected_components(between, "a", "b"))
+    moved = merged.filter("id <> component").select(F.col("id").alias("old"), F.col("component").alias("new"))
+    changed = known.withColumnRenamed("component", "old").join(moved, on="old").select("id", "old", F.col("new").alias("component"))
+    new_ids = [ends.filter(F.col(f"{x}_known").isNull()).select(F.col(x).alias("id")) for x in "ab"]
+    fresh = new_ids[0].unionAll(new_ids[1]).distinct().join(merged, on="id")
+    return changed.unionByName(fresh.select("id", F.lit(None).cast(changed.schema["old"].dataType).alias("old"), "component"))
+
+
+class ComponentTable:
+    """Components kept as a table in buckets by component; new edges rewrite the buckets they change, no others."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64) -> None:
+        self.table = BucketedTable(spark, root, ["component"], buckets)
+
+    def read(self) -> DataFrame:
+        return self.table.read("id string, component string")
+
+    def add(self, edges: DataFrame, a: str, b: str) -> int:
+        """Take in further edges; returns how many nodes changed their component or are new."""
+        labels = self.read()
+        changed = cut(extend_components(labels, edges.select(F.col(a).cast("string"), F.col(b).cast("string")), a, b))
+        both = changed.select(F.col("old").alias("component")).unionAll(changed.select("component")).dropna()
+        touched = self.table.touched(both)
+        if touched:
+            kept = self.table.read("id string, component string", only=touched)
+            rest = kept.join(changed.select("id"), on="id", how="left_anti")
+            self.table.replace(rest.unionByName(changed.select("id", "component")), touched)
+        return changed.count()

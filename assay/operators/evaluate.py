@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators.matching import MEMBER, Matched
+from assay.session import cut
 
 # Limits behind the tuning advice.
 MAX_QUARANTINE_RATE = 0.15
@@ -81,17 +82,43 @@ def group_summary(groups: DataFrame) -> DataFrame:
 
 
 def threshold_sweep(matched: Matched, thresholds, truth: DataFrame, member: str = MEMBER) -> DataFrame:
-    """Quality and golden count at each threshold; pairs are scored once, at the lowest."""
-    rows = []
-    for threshold in thresholds:
-        groups = matched.at(threshold).groups()
-        quality = pairwise_quality(groups, truth, member).withColumn("_k", F.lit(1))
-        summary = group_summary(groups).withColumn("_k", F.lit(1))
-        rows.append(quality.join(summary, on="_k").drop("_k").withColumn("threshold", F.lit(float(threshold))))
-    out = rows[0]
-    for more in rows[1:]:
-        out = out.unionByName(more)
-    return out
+    """Quality and golden count at each threshold; pairs are scored once, components are searched once."""
+    groups = cut(matched.groups_at(list(thresholds)))
+    cells = (
+        groups.select("threshold", F.col(member).alias("_m"), "golden_id")
+        .join(truth.select(F.col(member).alias("_m"), "true_id"), on="_m", how="left")
+        .groupBy("threshold", "golden_id", "true_id")
+        .agg(F.count("*").alias("n"))
+    )
+    known = F.col("true_id").isNotNull()
+
+    def pairs(rows: DataFrame, group: str, name: str) -> DataFrame:
+        sizes = rows.groupBy("threshold", group).agg(F.sum("n").alias("n"))
+        return sizes.groupBy("threshold").agg(F.sum(_pairs(F.col("n"))).alias(name))
+
+    tp = cells.filter(known).groupBy("threshold").agg(F.sum(_pairs(F.col("n"))).alias("tp"))
+    per_group = groups.groupBy("threshold", "golden_id").agg(F.count("*").alias("n"), F.sum("match_confidence").alias("c"))
+    summary = per_group.groupBy("threshold").agg(
+        F.count("*").alias("golden_records"),
+        F.sum("n").alias("records"),
+        (1 - F.count("*") / F.sum("n")).alias("dedup_rate"),
+        (F.sum("c") / F.sum("n")).alias("avg_match_confidence"),
+    )
+    row = summary
+    for part in (tp, pairs(cells, "golden_id", "guessed"), pairs(cells.filter(known), "true_id", "actual")):
+        row = row.join(part, on="threshold", how="left")  # one row per threshold
+    zero = F.lit(0).cast("decimal(38,0)")
+    counts = row.select(
+        F.coalesce("tp", zero).alias("tp"),
+        (F.coalesce("guessed", zero) - F.coalesce("tp", zero)).cast("decimal(38,0)").alias("fp"),
+        (F.coalesce("actual", zero) - F.coalesce("tp", zero)).cast("decimal(38,0)").alias("fn"),
+        "golden_records",
+        "records",
+        "dedup_rate",
+        "avg_match_confidence",
+        "threshold",
+    )
+    return with_rates(counts)
 
 
 def tuning_advice(quality: DataFrame, quarantine_rate: Column) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from assay.functions.similarity import jaro_winkler
 from assay.operators import blocking
 from assay.operators.components import connected_components, label_nodes
+from assay.operators.forest import spanning_forest
 from assay.operators.skew import hot_limit, join_unique
 from assay.session import cut
 from assay.specs import MatchSpec
@@ -95,27 +96,66 @@ class Matched:
         golden_id is the smallest record key of the component; the confidence of a member is the
         mean over its matching pairs, 1.0 without any.
         """
-        ends = self.edges.select(
-            F.col("id_a").alias("id"), F.col("n_b").alias("others"), "match_confidence"
-        ).unionAll(self.edges.select(F.col("id_b").alias("id"), F.col("n_a").alias("others"), "match_confidence"))
-        incident = ends.groupBy("id").agg(
+        labelled = label_nodes(self.profiles, connected_components(self.edges, "id_a", "id_b"))
+        return self._groups(labelled, self._incident(), []).drop("_level")
+
+    def groups_at(self, thresholds: list[float]) -> DataFrame:
+        """``groups`` at several thresholds, with a column ``threshold``, from one component search.
+
+        A spanning forest of the scored pairs holds the components of every threshold; its edges count
+        once per threshold they reach, as edges of that threshold's own nodes.
+        """
+        if min(thresholds) < self.spec.threshold:
+            raise ValueError("pairs below the scored threshold were not kept")
+        levels = F.array(
+            *[F.struct(F.lit(i).alias("_level"), F.lit(float(t)).alias("threshold")) for i, t in enumerate(thresholds)]
+        )
+
+        def met(confidence: str):
+            return F.filter(levels, lambda x: F.col(confidence) >= x["threshold"])
+
+        def own(node: str):
+            return F.concat(F.col("_level").cast("string"), F.lit("|"), F.col(node))
+
+        forest = spanning_forest(self.edges, "id_a", "id_b", "match_confidence")
+        linked = forest.select("a", "b", F.inline(met("weight"))).select(own("a").alias("a"), own("b").alias("b"))
+        found = connected_components(linked, "a", "b")
+        parts = [F.regexp_extract(c, r"^\d+\|([\s\S]*)$", 1).alias(c) for c in ("id", "component")]
+        labels = found.select(F.substring_index("id", "|", 1).cast("int").alias("_level"), *parts)
+        nodes = self.profiles.select("*", F.inline(levels))
+        labelled = nodes.join(labels, on=["_level", "id"], how="left").withColumn("component", F.coalesce("component", "id"))
+        return self._groups(labelled, self._incident(met("match_confidence")), ["threshold"]).drop("_level")
+
+    def _incident(self, levels=None) -> DataFrame:
+        """How many records each profile matches, and the sum of the confidences; per level, if given."""
+        rows = self.edges.select("*", F.inline(levels)) if levels is not None else self.edges.withColumn("_level", F.lit(0))
+        ends = rows.select("_level", F.col("id_a").alias("id"), F.col("n_b").alias("others"), "match_confidence").unionAll(
+            rows.select("_level", F.col("id_b").alias("id"), F.col("n_a").alias("others"), "match_confidence")
+        )
+        return ends.groupBy("_level", "id").agg(
             F.sum("others").alias("others"), F.sum(F.col("others") * F.col("match_confidence")).alias("mass")
         )
-        copies = F.when(_copies_match(self.spec), F.col("n") - 1).otherwise(F.lit(0))
+
+    def _groups(self, labelled: DataFrame, incident: DataFrame, by: list[str]) -> DataFrame:
+        if "_level" not in labelled.columns:
+            labelled = labelled.withColumn("_level", F.lit(0))
+        limit_of = F.col("threshold") if by else F.lit(self.spec.threshold)
+        match_each_other = F.coalesce((F.col("n") > 1) & (F.col("self_confidence") >= limit_of), F.lit(False))
+        copies = F.when(match_each_other, F.col("n") - 1).otherwise(F.lit(0))
         others = F.coalesce("others", F.lit(0)) + copies
         mass = F.coalesce("mass", F.lit(0.0)) + copies * F.coalesce("self_confidence", F.lit(0.0))
-        labelled = label_nodes(self.profiles, connected_components(self.edges, "id_a", "id_b"))
         # copies that do not match each other (nothing to compare them on) stay apart
-        lone = F.coalesce("others", F.lit(0)) + copies == 0
-        verdict = labelled.join(incident, on="id", how="left").select(
+        verdict = labelled.join(incident, on=["_level", "id"], how="left").select(
             "profile",
-            F.when(lone, F.lit(None)).otherwise(F.col("component")).alias("golden_id"),
+            *by,
+            F.when(others == 0, F.lit(None)).otherwise(F.col("component")).alias("golden_id"),
             F.when(others > 0, mass / others).otherwise(F.lit(1.0)).alias("match_confidence"),
         )
         size = self.profiles.agg(F.sum("n").alias("total"), F.max("n").alias("widest")).first()
         limit = hot_limit(size["total"] or 0)
         hot = self.profiles.filter(F.col("n") > limit).select("profile") if (size["widest"] or 0) > limit else None
         return join_unique(self.keyed.select("record_key", "profile"), verdict, "profile", hot).select(
+            *by,
             F.coalesce("golden_id", "record_key").alias("golden_id"),
             F.col("record_key").alias(MEMBER),
             "match_confidence",
@@ -126,7 +166,9 @@ def _copies_match(spec: MatchSpec):
     return F.coalesce((F.col("n") > 1) & (F.col("self_confidence") >= F.lit(spec.threshold)), F.lit(False))
 
 
-def match_records(df: DataFrame, spec: MatchSpec, tile_rows: int = blocking.TILE_ROWS) -> Matched:
+def match_records(
+    df: DataFrame, spec: MatchSpec, tile_rows: int = blocking.TILE_ROWS, sign_above: int = blocking.SIGN_ABOVE
+) -> Matched:
     """Score everything in ``df`` (one row per ``record_key``) that can match.
 
     Profile keys, profiles and matching pairs are each materialised once, because several later steps
@@ -141,7 +183,7 @@ def match_records(df: DataFrame, spec: MatchSpec, tile_rows: int = blocking.TILE
         )
     )
     prof = cut(blocking.profiles(keyed, spec))
-    edges = cut(score_pairs(blocking.candidate_pairs(prof, spec, tile_rows), spec))
+    edges = cut(score_pairs(blocking.candidate_pairs(prof, spec, tile_rows, sign_above), spec))
     return Matched(keyed, prof, edges, spec)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assay.specs import RuleSpec
@@ -78,6 +79,22 @@ def expect_or_fail(df: DataFrame, expectations: dict[str, str]) -> DataFrame:
     return df
 
 
+def expect_on_write(df: DataFrame, expectations: dict[str, str]) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` that counts its violations while it is written, and a check to call once it is.
+
+    The check raises like ``expect_or_fail``, without reading the rows again; publish only after it.
+    """
+    seen = Observation()
+    counts = [F.count(F.when(~F.coalesce(F.expr(sql), F.lit(False)), 1)).alias(n) for n, sql in expectations.items()]
+
+    def check() -> None:
+        broken = {n: v for n, v in seen.get.items() if v}
+        if broken:
+            raise GateFailure(", ".join(f"{n}: {v} rows" for n, v in broken.items()))
+
+    return df.observe(seen, *counts), check
+
+
 def flag_overrides(scored: DataFrame, approved: DataFrame | None, min_score: float, key: str) -> DataFrame:
     """Mark low-score rows that a steward approved. Approvals are joined, never listed."""
     if approved is None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assay.functions import text
 from assay.operators.matching import MEMBER
+from assay.session import cut
 from assay.specs import SurvivorshipSpec
 
 _LAST = 2**62
@@ -65,16 +66,31 @@ def golden_members(groups: DataFrame) -> DataFrame:
     return groups.select("golden_id", F.col(MEMBER).alias("member")).distinct()
 
 
-def with_member_lists(golden: DataFrame, groups: DataFrame) -> DataFrame:
+# Members from which a group's list is put together from parts that several tasks have sorted.
+CROWDED = 100_000
+
+
+def with_member_lists(golden: DataFrame, groups: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """Golden rows with ``source_customer_ids``, the sorted ids of all members, whatever their number.
 
-    A row holds its whole list, so a group of many millions makes a row to match: where such groups
-    are expected, publish ``golden_members`` and leave the list out.
+    Members of a crowded group (by ``source_record_count``) are dealt out by range, each task sorts and lists
+    its own, and the lists are put one behind the other. The row itself holds the whole list: where groups of
+    many millions are expected, publish ``golden_members`` and leave the list out.
     """
-    listed = golden_members(groups).groupBy("golden_id").agg(
-        F.array_sort(F.collect_list("member")).alias("source_customer_ids")
-    )
-    return golden.join(listed, on="golden_id")
+    members = golden_members(groups)
+    large = golden.filter(F.col("source_record_count") > crowded).select("golden_id")
+    sorted_list = F.array_sort(F.collect_list("member"))
+    if large.isEmpty():
+        listed = members.groupBy("golden_id").agg(sorted_list.alias("source_customer_ids"))
+        return golden.join(listed, on="golden_id")
+    plain = members.join(large, on="golden_id", how="left_anti").groupBy("golden_id").agg(sorted_list.alias("source_customer_ids"))
+    held = members.join(large, on="golden_id", how="left_semi")
+    # ranges without common keys: a task has all of a stretch of members
+    dealt = cut(held.repartitionByRange("golden_id", "member").withColumn("part", F.spark_partition_id()))
+    parts = dealt.groupBy("golden_id", "part").agg(sorted_list.alias("list"))
+    whole = F.flatten(F.col("parts.list")).alias("source_customer_ids")
+    joined = parts.groupBy("golden_id").agg(F.array_sort(F.collect_list(F.struct("part", "list"))).alias("parts"))
+    return golden.join(plain.unionByName(joined.select("golden_id", whole)), on="golden_id")
 
 
 def golden_records(

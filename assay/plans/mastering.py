@@ -72,8 +72,12 @@ def master(
         to_match = quality.blank_invalid(passed, rules, [a.column for a in entity.match.attributes])
     matched = match_records(to_match, entity.match)
     groups = cut(matched.groups())
-    # built once, then checked, then published from the same rows
-    golden = cut(survivorship.golden_records(passed, groups, entity.survivorship, as_of))
+    # built and checked in one pass, then published from the same rows
+    golden = survivorship.golden_records(passed, groups, entity.survivorship, as_of)
     if enforce_gold:
-        quality.expect_or_fail(golden, quality.gold_expectations(minimum))
+        golden, check = quality.expect_on_write(golden, quality.gold_expectations(minimum))
+        golden = cut(golden)
+        check()
+    else:
+        golden = cut(golden)
     return Mastered(scored, rejected, passed, low.drop("steward_override"), matched, groups, golden)

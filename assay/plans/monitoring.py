@@ -1,4 +1,4 @@
-"""Profile and drift metrics of a table, by slice and day."""
+"""Profile and drift metrics of a table, by slice and day; sketches that merge to other grains."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from assay.session import cut
+
 # Rank error of a sketched quantile is at most rows / QUANTILE_ACCURACY.
 QUANTILE_ACCURACY = 10_000
 QUANTILES = (0.25, 0.5, 0.75)
@@ -55,14 +57,125 @@ def profile(
 
 
 def _quartiles(df: DataFrame, group: list[str], numeric: list[str], names: list[str]) -> DataFrame:
-    """Smallest value of each numeric column with at least the asked share of the values at or below it."""
+    """Smallest value of each numeric column with at least the asked share of the values at or below it.
+
+    Selection over range partitions: distinct values are dealt out by slice, column and value, so a slice
+    that holds all rows spreads over all tasks. Sums per partition say in which one each quantile lies;
+    only the rows of those are counted up one by one.
+    """
+    key = [*group, "column_name"]
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_value")) for c in numeric]
     values = df.select(*group, F.inline(F.array(*pairs))).filter(F.col("_value").isNotNull())
-    counts = values.groupBy(*group, "column_name", "_value").agg(F.count("*").alias("_n"))
-    whole = W.partitionBy(*group, "column_name")
-    placed = counts.withColumn("_upto", F.sum("_n").over(whole.orderBy("_value"))).withColumn("_all", F.sum("_n").over(whole))
-    at = [F.min(F.when(F.col("_upto") >= F.col("_all") * F.lit(q), F.col("_value"))) for q in QUANTILES]
-    return placed.groupBy(*group, "column_name").agg(*[a.alias(n) for a, n in zip(at, names)])
+    counts = values.groupBy(*key, "_value").agg(F.count("*").alias("_n"))
+    dealt = cut(counts.repartitionByRange(*key, "_value").withColumn("_part", F.spark_partition_id()))
+    sums = dealt.groupBy(*key, "_part").agg(F.sum("_n").alias("_held"))
+    slice_ = W.partitionBy(*key)  # one row per partition
+    placed = sums.withColumn("_upto", F.sum("_held").over(slice_.orderBy("_part"))).withColumn("_all", F.sum("_held").over(slice_))
+    start = F.col("_upto") - F.col("_held")
+    met = F.filter(
+        F.array(*[F.lit(q) for q in QUANTILES]),
+        lambda q: (start < F.col("_all") * q) & (F.col("_upto") >= F.col("_all") * q),
+    )
+    wanted = placed.select(*key, "_part", start.alias("_start"), "_all", met.alias("_met")).filter(F.size("_met") > 0)
+    inside = dealt.alias("d").join(
+        wanted.alias("w"), [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in (*key, "_part")]
+    ).select("d.*", "_start", "_all", "_met")
+    upto = F.col("_start") + F.sum("_n").over(W.partitionBy(*key, "_part").orderBy("_value"))
+    counted = inside.withColumn("_upto", upto)
+    at = [
+        F.min(F.when(F.array_contains("_met", F.lit(q)) & (F.col("_upto") >= F.col("_all") * F.lit(q)), F.col("_value")))
+        for q in QUANTILES
+    ]
+    return counted.groupBy(*key).agg(*[a.alias(n) for a, n in zip(at, names)])
+
+
+# Entries of a quantile sketch; its rank error is some 1.5 / KLL_ENTRIES of the rows, at any number of merges.
+KLL_ENTRIES = 1_000
+# Base-2 logarithm of the counters of a distinct-value sketch; its relative error is some 1 / 2 ** (HLL_BITS / 2).
+HLL_BITS = 14
+
+
+def sketch_profile(df: DataFrame, slices: list[str], ts: str, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """One row per slice, day and column with counts, moments and two sketches, to be stored and merged later.
+
+    ``moments`` has the number, mean and sum of squared deviations of the values, ``quantiles`` a KLL and
+    ``distinct`` an HLL sketch. One aggregate with map-side combine; nothing is kept per value.
+    """
+
+    def metrics(name: str, is_number: bool) -> Column:
+        c = F.col(name)
+        number = c.cast("double") if is_number else F.lit(None).cast("double")
+        mean = F.avg(number)
+        n = F.count(number)
+        moments = F.struct(n.alias("n"), F.coalesce(mean, F.lit(0.0)).alias("mean"), F.coalesce(F.var_pop(number) * n, F.lit(0.0)).alias("m2"))
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.count("*").alias("rows"),
+            F.count(F.when(c.isNull(), 1)).alias("nulls"),
+            moments.alias("moments"),
+            F.min(number).alias("min"),
+            F.max(number).alias("max"),
+            (F.kll_sketch_agg_double(number, KLL_ENTRIES) if is_number else F.lit(None).cast("binary")).alias("quantiles"),
+            F.hll_sketch_agg(c.cast("string"), HLL_BITS).alias("distinct"),
+        )
+
+    wide = [metrics(c, True) for c in numeric] + [metrics(c, False) for c in categorical]
+    keyed = df.withColumn("day", F.to_date(ts))
+    return keyed.groupBy(*slices, "day").agg(F.array(*wide).alias("_m")).select(*slices, "day", F.inline("_m"))
+
+
+def merge_sketches(daily: DataFrame, slices: list[str], grain: str = "week") -> DataFrame:
+    """Stored daily sketches merged to another grain (any unit of date_trunc) or to fewer slices; no data are read.
+
+    The column ``day`` becomes the first day of each period.
+    """
+    period = F.trunc("day", grain).alias("day")
+    merged = daily.groupBy(*slices, period, "column_name").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("nulls").alias("nulls"),
+        F.collect_list("moments").alias("_moments"),  # one small struct per day and slice merged
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.kll_merge_agg_double("quantiles").alias("quantiles"),
+        F.hll_union_agg("distinct").alias("distinct"),
+    )
+
+    def add(s: Column, m: Column) -> Column:
+        n = s["n"] + m["n"]
+        apart = m["mean"] - s["mean"]
+        share = F.when(n > 0, m["n"] / n).otherwise(F.lit(0.0))
+        return F.struct(
+            n.alias("n"),
+            (s["mean"] + apart * share).alias("mean"),
+            (s["m2"] + m["m2"] + apart * apart * s["n"] * share).alias("m2"),
+        )
+
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    # in one order, so that sums of fractions come out alike every time
+    moments = F.aggregate(F.array_sort("_moments"), none, add)
+    columns = ("column_name", "rows", "nulls", "moments", "min", "max", "quantiles", "distinct")
+    return merged.withColumn("moments", moments).select(*slices, "day", *columns)
+
+
+def sketched_figures(sketches: DataFrame, slices: list[str]) -> DataFrame:
+    """The columns of ``profile(..., figures='approx')`` from sketches of any grain."""
+    m, n = F.col("moments"), F.col("moments.n")
+    quartiles = [
+        F.when(n > 0, F.kll_sketch_get_quantile_double("quantiles", F.lit(q))).alias(f"p{int(q * 100)}") for q in QUANTILES
+    ]
+    return sketches.select(
+        *slices,
+        "day",
+        "column_name",
+        "rows",
+        "nulls",
+        F.hll_sketch_estimate("distinct").alias("distinct_values"),
+        F.when(n > 0, m["mean"]).alias("mean"),
+        F.when(n > 1, F.sqrt(m["m2"] / (n - 1))).alias("std"),
+        "min",
+        "max",
+        *quartiles,
+    )
 
 
 def drift(profiled: DataFrame, slices: list[str]) -> DataFrame:

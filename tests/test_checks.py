@@ -132,6 +132,59 @@ def test_quartiles_of_many_values(spark, figures):
         monitoring.profile(df, ["s"], "ts", ["v"], [], figures="some")
 
 
+def test_quartiles_of_a_slice_that_holds_all_rows_are_found_by_all_tasks(spark, monkeypatch):
+    dealt = []
+    plain = monitoring.cut
+    monkeypatch.setattr(monitoring, "cut", lambda df: dealt.append(plain(df)) or dealt[-1])
+    df = spark.range(60_000).selectExpr("if(id < 10, null, 's') AS s", "timestamp'2026-01-01' AS ts", "double((id * 7919) % 60000) AS v")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        rows = {r.s: (r.p25, r.p50, r.p75) for r in monitoring.profile(df, ["s"], "ts", ["v"], []).collect()}
+    finally:
+        spark.conf.unset(key)
+    values = {None: [], "s": []}
+    for i in range(60_000):
+        values[None if i < 10 else "s"].append(float((i * 7919) % 60_000))
+    assert rows == {k: tuple(sorted(v)[-(-len(v) * q // 4) - 1] for q in (1, 2, 3)) for k, v in values.items()}
+    sizes = [r["count"] for r in dealt[0].groupBy("_part").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 30_000
+
+
+def test_daily_sketches_merge_to_weeks_within_their_error(spark):
+    df = spark.range(70_000).selectExpr(
+        "if(id % 2 = 0, 'a', 'b') AS s",
+        "timestamp'2026-01-05' + make_interval(0, 0, 0, int(id % 14)) AS ts",
+        "if(id % 10 = 3, null, double((id * 7919) % 70001)) AS v",
+        "string(id % 5000) AS c",
+    )
+    daily = monitoring.sketch_profile(df, ["s"], "ts", ["v"], ["c"])
+    assert daily.count() == 2 * 7 * 2 and set(daily.columns) >= {"moments", "quantiles", "distinct"}
+    for slices, grain in ((["s"], "week"), ([], "year")):
+        days = F.to_date(F.date_trunc(grain, "ts")).alias("day")
+        merged = monitoring.sketched_figures(monitoring.merge_sketches(daily, slices, grain), slices)
+        exact = df.groupBy(*slices, days).agg(
+            F.count("*").alias("rows"), F.count_if(F.col("v").isNull()).alias("nulls"), F.avg("v").alias("mean"),
+            F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), F.sort_array(F.collect_list("v")).alias("all"),
+            F.count_distinct("v").alias("dv"), F.count_distinct("c").alias("dc"),
+        )
+        want = {tuple(r[c] for c in (*slices, "day")): r for r in exact.collect()}
+        got = merged.collect()
+        assert len(got) == 2 * len(want)
+        for r in got:
+            e = want[tuple(r[c] for c in (*slices, "day"))]
+            assert r.rows == e.rows
+            if r.column_name == "c":
+                assert r.nulls == 0 and r["mean"] is None and r.p50 is None
+                assert abs(r.distinct_values - e.dc) <= 0.03 * e.dc
+                continue
+            assert r.nulls == e.nulls and r["min"] == e["min"] and r["max"] == e["max"]
+            assert r["mean"] == pytest.approx(e["mean"]) and r["std"] == pytest.approx(e["std"])
+            assert abs(r.distinct_values - e.dv) <= 0.03 * e.dv
+            for q, p in ((0.25, r.p25), (0.5, r.p50), (0.75, r.p75)):
+                assert abs(sum(v <= p for v in e["all"]) / len(e["all"]) - q) <= 0.01
+
+
 def test_profile_and_drift(spark):
     df = spark.createDataFrame(
         [("x", datetime(2026, 1, 1), 1.0), ("x", datetime(2026, 1, 1), None), ("x", datetime(2026, 1, 2), 5.0)],

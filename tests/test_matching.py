@@ -129,12 +129,58 @@ def test_null_counts_as_empty(spark):
 # ---- candidate keys
 
 
-def test_evidence_sets_follow_from_the_weights():
-    assert blocking.evidence_sets(load_entity("customer").match) == [("email",), ("tax_id",)]
-    assert blocking.evidence_sets(load_entity("account").match) == [
-        ("owner_customer_id",), ("account_name", "account_type"),
+def test_evidence_follows_from_the_weights():
+    def plain(spec):
+        return [(e.columns, e.signed) for e in blocking.evidence(spec)]
+
+    assert plain(load_entity("customer").match) == [(("email",), None), (("tax_id",), None)]
+    assert plain(load_entity("account").match) == [
+        (("owner_customer_id",), None), (("account_name", "account_type"), None),
+    ]
+    assert plain(SPEC.with_options(threshold=0.5)) == [((), None)]
+    assert plain(SPEC.with_options(threshold=0.57)) == [(("tax_id",), None), ((), "full_name")]
+
+
+NEAR = SPEC.with_options(threshold=0.57)  # equal tax ids, or names at 0.95
+
+
+def edited(rng, name):
+    """A name with a character or two changed, dropped, doubled or moved."""
+    for _ in range(rng.randrange(3)):
+        i = rng.randrange(len(name)) if name else 0
+        name = rng.choice([name[:i] + name[i + 1 :], name[:i] + rng.choice("abx é😀") + name[i:], name[: i - 1] + name[i : i + 1] + name[i - 1 : i] + name[i + 1 :]])
+    return name
+
+
+def names(rng, families, each):
+    letters = "abcdefghijklmnopqrstuvwxyz #0123é😀"
+    out = []
+    for _ in range(families):
+        base = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 30)))
+        out += [edited(rng, base) for _ in range(each)]
+    return out
+
+
+@pytest.mark.parametrize("sign_above, tile_rows", [(0, 1024), (0, 3), (40, 1024), (10**6, 1024)])
+def test_signed_routes_find_every_pair(spark, sign_above, tile_rows):
+    rng = random.Random(sign_above + tile_rows)
+    found = names(rng, 30, 7) + ["", None, "a", "a", "ab", "abcd", "abcde", "abcd" * 30, "abcd" * 29]
+    rows = [
+        (f"s:{i:04d}", n, rng.choice([None, "T1", f"T{i}"]), rng.choice(["US", "US", "DE"]), "10099") for i, n in enumerate(found)
     ]
-    assert blocking.evidence_sets(SPEC.with_options(threshold=0.5)) == [()]
+    same(groups_of(spark, rows, NEAR, sign_above=sign_above, tile_rows=tile_rows), brute_groups(rows, NEAR))
+
+
+def test_pairs_of_a_signed_route_grow_like_its_matches(spark):
+    compared, matched = [], []
+    for families in (100, 200, 400):
+        rows = [(f"s:{i:05d}", n, None, "US", "10099") for i, n in enumerate(names(random.Random(5), families, 10))]
+        held = match_records(spark.createDataFrame(rows, SCHEMA), NEAR)
+        compared.append(int(blocking.key_pairs(held.profiles, NEAR).first().pairs))
+        matched.append(held.edges.count())
+        every = int(blocking.key_pairs(held.profiles, NEAR, 10**9).first().pairs)
+    assert compared[2] < 0.1 * every
+    assert compared[2] / compared[0] < 1.6 * matched[2] / matched[0]
 
 
 def test_block_sizes_count_without_pairs(spark):

@@ -88,3 +88,16 @@ def test_blank_invalid(spark):
     df = spark.createDataFrame([tuple((FULL | {"email": "nobody"}).values())], COLUMNS)
     row = quality.blank_invalid(df, RULES, ["email", "tax_id"]).first()
     assert row.email is None and row.tax_id == "NL-20-774"
+
+
+def test_a_gate_in_the_write_counts_what_is_written(spark, tmp_path):
+    rules = {"low": "v < 3", "known": "v IS NOT NULL"}
+    for name, rows, broken in (("a", [1, 2], None), ("b", [], None), ("c", [1, 5, None], "low: 2 rows, known: 1 rows")):
+        df = spark.createDataFrame([(r,) for r in rows], "v int")
+        counted, check = quality.expect_on_write(df, rules)
+        counted.write.parquet(str(tmp_path / name))
+        if broken:
+            with pytest.raises(quality.GateFailure, match=broken):
+                check()
+        else:
+            check()

@@ -103,3 +103,20 @@ def test_published_columns(spark):
         "review_status", "merged_at",
     ]
     assert len(load_entity("account").gold_columns) + 9 == 16
+
+
+def test_lists_of_crowded_groups_are_put_together_from_parts(spark):
+    groups = spark.range(5_000).selectExpr(
+        "if(id % 3 = 0, 'a', if(id % 100 = 1, 'b', 'c')) AS golden_id", f"sha2(string(id), 256) AS {MEMBER}", "1.0D AS match_confidence"
+    )
+    rolled = survivorship.roll_up(groups)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        held = [
+            {r.golden_id: r.source_customer_ids for r in survivorship.with_member_lists(rolled, groups, crowded).collect()}
+            for crowded in (10**9, 1_000)
+        ]
+    finally:
+        spark.conf.unset(key)
+    assert held[0] == held[1] and held[0]["a"] == sorted(held[0]["a"]) and len(held[0]["a"]) == 1_667

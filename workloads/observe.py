@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from assay.operators import quality, review
 from assay.operators.standardize import union_all
 from assay.plans import checks, monitoring, reports
-from assay.session import new_shared_path
+from assay.session import cut, new_shared_path
 from assay.sources import sinks
+from assay.sources.bucketed import BucketedTable
 from assay.sources.files import list_files, read_batch
 from assay.specs import CostSpec, RuleSpec, SourceSpec, load_cost
 from assay.streaming import ingest
@@ -220,7 +221,11 @@ _GLOSSARY = """glossary AS (SELECT user_id::VARCHAR AS entity, event_type AS col
 
 @query("glossary_upsert", f"WITH {_GLOSSARY} SELECT * FROM merged")
 def glossary_upsert(spark, sf_dir):
-    return review.apply_submissions(_glossary(spark, sf_dir), _submissions(spark, sf_dir)).drop("registered_at")
+    """Approved terms merged into a stored glossary, of which only the buckets of their keys are rewritten."""
+    stored = BucketedTable(spark, new_shared_path(spark, "glossary"), list(review.GLOSSARY_KEY))
+    stored.replace(_glossary(spark, sf_dir).withColumn("registered_at", F.col("registered_at").cast("timestamp_ntz")))
+    stored.merge(review.approved_terms(_submissions(spark, sf_dir)), "registered_at")
+    return stored.read().drop("registered_at")
 
 
 @query(
@@ -324,6 +329,41 @@ def profile(spark, sf_dir):
     return _profiled(spark, sf_dir).withColumns({"day": _day("day"), **{c: r(c) for c in _ROUNDED}})
 
 
+@query(
+    "weekly_profile",
+    """WITH e AS (SELECT event_type, date_trunc('week', ts)::DATE AS week, CASE WHEN event_id % 10 <> 0 THEN value END AS value, user_id FROM events)
+    SELECT event_type, week::VARCHAR AS week, 'value' AS column_name, count(*) AS rows, count(*) - count(value) AS nulls,
+        round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max,
+        true AS estimates_hold FROM e GROUP BY ALL
+    UNION ALL SELECT event_type, week::VARCHAR, 'user_id', count(*), count(*) - count(user_id), NULL, NULL, NULL, NULL, true FROM e GROUP BY ALL""",
+)
+def weekly_profile(spark, sf_dir):
+    """Weekly figures merged from stored daily sketches, and whether the estimates lie within their error bounds."""
+    events = table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 10 != 0, F.col("value")))
+    daily = cut(monitoring.sketch_profile(events, ["event_type"], "ts", ["value"], ["user_id"]))
+    weekly = cut(monitoring.sketched_figures(monitoring.merge_sketches(daily, ["event_type"]), ["event_type"]))
+    quartiles = weekly.filter("column_name = 'value'").select("event_type", "day", "p25", "p50", "p75")
+    held = events.withColumn("day", F.trunc(F.to_date("ts"), "week")).join(quartiles, ["event_type", "day"])
+    n, slack = F.count("value"), 0.01
+    within = [
+        (F.count(F.when(F.col("value") < F.col(p), 1)) / n <= q + slack) & (F.count(F.when(F.col("value") <= F.col(p), 1)) / n >= q - slack)
+        for p, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    ]
+    exact = held.groupBy("event_type", "day").agg(
+        (within[0] & within[1] & within[2]).alias("ranks_hold"),
+        F.count_distinct("value").alias("value"),
+        F.count_distinct("user_id").alias("user_id"),
+    )
+    is_value = F.col("column_name") == "value"
+    distinct = F.when(is_value, F.col("value")).otherwise(F.col("user_id"))
+    counted = F.abs(F.col("distinct_values") - distinct) <= distinct * 0.03 + 1
+    return weekly.join(exact, ["event_type", "day"]).select(
+        "event_type", _day("day").alias("week"), "column_name", "rows", "nulls",
+        *[r(c) for c in ("mean", "std", "min", "max")],
+        (counted & (F.col("ranks_hold") | ~is_value)).alias("estimates_hold"),
+    )
+
+
 @query(
     "drift",
     f"""WITH {_PROFILE}, x AS (SELECT *, lag(day) OVER w AS pd, lag(rows) OVER w AS pr, lag(nulls) OVER w AS pn, lag(mean) OVER w AS pm

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from assay.operators import survivorship
 from assay.operators.matching import MEMBER
-from assay.operators.upsert import changes, upsert
+from assay.operators.upsert import changes
+from assay.session import new_shared_path
+from assay.sources.bucketed import BucketedTable
 from assay.specs import SurvivorshipSpec
 from workloads.registry import query, r, table
 
@@ -153,5 +155,7 @@ def upsert_latest(spark, sf_dir):
         table(spark, sf_dir, "orders")
         .select("o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("last_order"), F.col("o_totalprice").alias("amount"))
     )
-    merged = upsert(target, source, ["o_custkey"], "last_order")
-    return merged.select("o_custkey", "amount", F.col("last_order").isNotNull().alias("updated"))
+    balances = BucketedTable(spark, new_shared_path(spark, "balances"), ["o_custkey"], 32)
+    balances.replace(target)
+    balances.merge(source, "last_order")
+    return balances.read().select("o_custkey", "amount", F.col("last_order").isNotNull().alias("updated"))

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators import blocking, evaluate, quality
+from assay.operators.components import ComponentTable, label_nodes
 from assay.operators.matching import MEMBER, match_records
 from assay.operators.standardize import standardize, union_all, with_provenance, with_record_key
 from assay.plans.mastering import master
+from assay.session import new_shared_path
 from assay.specs import MatchAttribute, MatchSpec, load_entity
 from workloads.registry import AS_OF, components_sql, query, r, table
 
@@ -179,6 +181,27 @@ def threshold_sweep(spark, sf_dir):
     return _comparable(swept).drop("records", "dedup_rate", "avg_match_confidence")
 
 
+_LINKS = "lead(record_key) OVER (PARTITION BY {} ORDER BY record_key)"
+_FIRST_LINKS, _SECOND_LINKS = _LINKS.format("p_brand, p_type, p_size"), _LINKS.format("p_name, p_type, p_size")
+
+
+@query(
+    "component_drops",
+    f"""WITH RECURSIVE {_PARTS}, edges AS (
+        SELECT * FROM (SELECT record_key AS a, {_FIRST_LINKS} AS b FROM parts UNION ALL SELECT record_key, {_SECOND_LINKS} FROM parts)
+        WHERE b IS NOT NULL),
+    nodes AS (SELECT record_key AS id FROM parts), {components_sql('nodes', 'edges')}
+    SELECT id AS record_key, component FROM labels""",
+)
+def component_drops(spark, sf_dir):
+    """Groups of a stored component table after two drops of edges, the second of which joins groups of the first."""
+    rows = parts(spark, sf_dir)
+    groups = ComponentTable(spark, new_shared_path(spark, "components"))
+    for links in (_FIRST_LINKS, _SECOND_LINKS):
+        groups.add(rows.selectExpr("record_key AS a", f"{links} AS b").dropna(), "a", "b")
+    return label_nodes(rows.select("record_key"), groups.read(), "record_key").select("record_key", "component")
+
+
 # ---- accounts: part rows as the accounts of two sources
 
 ACCOUNT = load_entity("account")
