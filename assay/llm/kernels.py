@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 
@@ -19,6 +20,20 @@ CHUNK_BYTES = 1 << 19
 HELD_WORDS = 1 << 17
 
 
+def tidy(kernel):
+    """``kernel``, after whose last batch a worker gives unused memory back: Spark keeps workers for later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from kernel(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # only one C library has it
+            pass
+
+    return run
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import Scratch, keep, small_side, union_all
-from assay.llm.kernels import WordHashes, row_chunks, shingle_hashes, text_bytes
+from assay.llm.kernels import WordHashes, row_chunks, shingle_hashes, text_bytes, tidy
 from assay.operators.components import connected_components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -102,7 +102,7 @@ def _sign_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_sign_kernel, f"doc_id {kind}, th long, n_shingles long, digest binary, signature binary")
+    return rows.mapInArrow(tidy(_sign_kernel), f"doc_id {kind}, th long, n_shingles long, digest binary, signature binary")
 
 
 def region(depth: int, tree: Column | str = "tree") -> Column:
@@ -147,7 +147,7 @@ def confirm(texts: DataFrame, pairs: DataFrame, percent: int, scratch: Scratch)
     own = texts.withColumnRenamed("id", "node")
     rows = own.join(small_side(wanted), "node").select("head", "chunk", "node", "text")
     spread = rows.repartition("head", "chunk").sortWithinPartitions("head", "chunk", F.col("node") != F.col("head"))
-    return spread.mapInArrow(_confirm_kernel(percent), "a long, b long")
+    return spread.mapInArrow(tidy(_confirm_kernel(percent)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -294,7 +294,7 @@ def rare_pairs(crowd: DataFrame, texts: DataFrame, percent: int, scratch: Scratc
     i <= n - a, j <= m - a.
     """
     rows = texts.join(crowd, "id").select("id", "component", "text")
-    rows = scratch.keep(rows.mapInArrow(_shingle_kernel, "id long, component long, size long, shingle long"), "shingles")
+    rows = scratch.keep(rows.mapInArrow(tidy(_shingle_kernel), "id long, component long, size long, shingle long"), "shingles")
     counts = scratch.keep(rows.groupBy("shingle").agg(F.count("*").alias("df")), "rarity")
     ordered = rows.join(counts.filter("df > 1"), "shingle", "left").groupBy("id", "component", "size").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("s")

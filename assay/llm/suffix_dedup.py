@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import Scratch, keep, text_key, union_all
-from assay.llm.kernels import mixed, row_chunks, text_bytes, words64
+from assay.llm.kernels import mixed, row_chunks, text_bytes, tidy, words64
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -161,7 +161,7 @@ def _entry_kernel(length: int, fan: int):
 
 def entries(docs: DataFrame, length: int = LENGTH, fan: int = FAN) -> DataFrame:
     """Sampled suffixes of all texts of ``docs`` (id, th, text)."""
-    return docs.select("id", "th", "text").mapInArrow(_entry_kernel(length, fan), ENTRY)
+    return docs.select("id", "th", "text").mapInArrow(tidy(_entry_kernel(length, fan)), ENTRY)
 
 
 class SuffixFamily:
@@ -401,7 +401,7 @@ def settle_crowded(contexts: DataFrame, length: int, fan: int, first_stays: bool
     found, parents = [], contexts.withColumn("node", F.lit(0))
     document = F.struct("id", "th")
     for level in range(1, LEVELS + 1):
-        rows = scratch.keep(parents.mapInArrow(_node_kernel(length, fan, level), NODE_DDL), "suffix-nodes")
+        rows = scratch.keep(parents.mapInArrow(tidy(_node_kernel(length, fan, level)), NODE_DDL), "suffix-nodes")
         sharing = (
             rows.groupBy("gram", "node", "core")
             .agg(
@@ -456,7 +456,7 @@ def repeated_spans(
     texts = docs.filter(F.octet_length("text") >= length)
     contexts = scratch.keep(contested.join(texts, ["id", "th"]).select(*contested.columns, data), "suffix-contexts")
     few = contexts.filter(F.col("contexts") <= group).repartition("gram").sortWithinPartitions("gram")
-    settled = few.mapInArrow(_settle_kernel(length, fan, first_stays), "id long, th int, lo int, hi int")
+    settled = few.mapInArrow(tidy(_settle_kernel(length, fan, first_stays)), "id long, th int, lo int, hi int")
     many = contexts.filter(F.col("contexts") > group).dropDuplicates(["gram", "id", "th", "pos"])
     crowded = [settle_crowded(many, length, fan, first_stays, scratch)] if not many.isEmpty() else []
     return union_all([spans, settled, *crowded])

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import keep
-from assay.llm.kernels import row_chunks, text_bytes, words64
+from assay.llm.kernels import row_chunks, text_bytes, tidy, words64
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -101,10 +101,12 @@ def _sparse_kernel(buckets: np.ndarray):
         number = feature_numbers(buckets)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            row, feature = present(data, offsets, number, len(buckets))
-            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(feature, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), lists], ["toxic", "features"])
+            for lo, hi in row_chunks(offsets):
+                own = offsets[lo : hi + 1] - offsets[lo]
+                row, feature = present(data[offsets[lo] : offsets[hi]], own, number, len(buckets))
+                bounds = np.searchsorted(row, np.arange(hi - lo + 1))
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(feature, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("toxic")[lo:hi], lists], ["toxic", "features"])
 
     return run
 
@@ -151,7 +153,7 @@ def fit(
     m0, m1 = taken.get(0, 0), taken.get(1, 0)
     if not m0 or not m1:
         return ToxicityModel(intercept=float(np.log(n1 / n0)))
-    counted = sample.mapInArrow(_count_kernel, "bucket long, df0 long, df1 long")
+    counted = sample.mapInArrow(tidy(_count_kernel), "bucket long, df0 long, df1 long")
     df0, df1 = F.col("df0"), F.col("df1")
 
     def surprise(seen: Column, expected: Column) -> Column:
@@ -178,7 +180,7 @@ def fit(
     buckets = np.array([r["bucket"] for r in best], np.int64)
     c0, c1 = (np.array([r[k] for r in best], float) for k in ("df0", "df1"))
     ratios = np.log((c1 + smoothing) / (m1 + 2 * smoothing)) - np.log((c0 + smoothing) / (m0 + 2 * smoothing))
-    lists = sample.mapInArrow(_sparse_kernel(buckets), "toxic int, features array<int>").collect()
+    lists = sample.mapInArrow(tidy(_sparse_kernel(buckets)), "toxic int, features array<int>").collect()
     lists.sort(key=lambda r: (r["toxic"], r["features"]))  # sums do not depend on the order of arrival
     y = np.array([r["toxic"] for r in lists], float)
     row = np.repeat(np.arange(len(lists)), [len(r["features"]) for r in lists])
@@ -231,7 +233,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """(doc_id, score) of every row; score is the probability that the text is toxic."""
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(score_kernel(model), f"doc_id {kind}, score double")
+    return rows.mapInArrow(tidy(score_kernel(model)), f"doc_id {kind}, score double")
 
 
 def _clean_kernel(model: ToxicityModel, below: float):
@@ -247,4 +249,4 @@ def _clean_kernel(model: ToxicityModel, below: float):
 
 def clean(docs: DataFrame, model: ToxicityModel, below: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below the limit."""
-    return docs.mapInArrow(_clean_kernel(model, below), docs.schema)
+    return docs.mapInArrow(tidy(_clean_kernel(model, below)), docs.schema)
