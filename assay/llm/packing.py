@@ -4,9 +4,8 @@ The global histogram of lengths goes to the driver, where dynamic programming pi
 boundaries that minimise padding. Inside a bucket texts are ranked in the order of a hash and cut
 into batches whose padded size stays within a token budget.
 
-Lengths above 1,024 are rounded up to ten significant bits in the histogram (by 0.2 % at most), at
-every input size alike; this bounds the histogram at 1,024 + 512 per further octave whatever the
-data, and boundaries are optimal over these values.
+The histogram has a row per length that occurs, so fewer than the square root of twice the tokens there
+are. Cuts move up with the length, so each is looked for only between those of its neighbours.
 
 Edge cases: a null or empty text has 0 tokens and sits in the first bucket; a text longer than the
 budget is a batch of its own, marked ``oversize``; fewer lengths than buckets give fewer buckets; an
@@ -21,17 +20,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import keep, slots
-from assay.llm.kernels import row_chunks, text_bytes
+from assay.llm.kernels import row_chunks, text_bytes, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-EXACT_BITS = 10
-
-
 def _length_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     blank = np.zeros(256, bool)
     blank[[32, *range(9, 14)]] = True
@@ -55,14 +51,7 @@ def word_lengths(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens): words between ASCII blanks in the whole text."""
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_length_kernel, f"doc_id {kind}, n_tokens long")
-
-
-def rounded_length(n: str) -> Column:
-    """``n`` rounded up to EXACT_BITS significant bits."""
-    shift = F.greatest(F.length(F.bin(n)) - EXACT_BITS, F.lit(0))
-    step = F.pow(F.lit(2.0), shift).cast("long")
-    return F.when(F.col(n) < (1 << EXACT_BITS), F.col(n)).otherwise(F.ceil(F.col(n) / step) * step).cast("long")
+    return rows.mapInArrow(tidy(_length_kernel), f"doc_id {kind}, n_tokens long")
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buckets: int) -> list[int]:
@@ -75,10 +64,19 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buck
     chosen = []
     for _ in range(1, min(buckets, n)):
         following, cut = best.copy(), np.zeros(n + 1, np.int64)
-        for i in range(1, n + 1):
-            cost = best[:i] + lengths[i - 1] * (c[i] - c[:i]) - (t[i] - t[:i])
-            cut[i] = np.argmin(cost)
-            following[i] = cost[cut[i]]
+        # (first, last, least cut, largest cut) of stretches whose middle is still to be settled
+        open_ = [(1, n, 0, n - 1)]
+        while open_:
+            first, last, low, high = open_.pop()
+            i = (first + last) // 2
+            j = slice(low, min(high, i - 1) + 1)
+            cost = best[j] + lengths[i - 1] * (c[i] - c[j]) - (t[i] - t[j])
+            cut[i] = low + np.argmin(cost)
+            following[i] = cost[cut[i] - low]
+            if first < i:
+                open_.append((first, i - 1, low, int(cut[i])))
+            if i < last:
+                open_.append((i + 1, last, int(cut[i]), high))
         best = following
         chosen.append(cut)
     ends, i = [], n
@@ -98,7 +96,7 @@ def pack(lengths: DataFrame, buckets: int = 8, token_budget: int = 32_768, doc_i
     """
     held = keep(lengths.select(doc_id, "n_tokens"), "lengths")
     histogram = (
-        held.groupBy(rounded_length("n_tokens").alias("length"))
+        held.groupBy(F.col("n_tokens").alias("length"))
         .agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens"))
         .orderBy("length")
         .collect()

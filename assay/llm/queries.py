@@ -85,11 +85,8 @@ def packing_sql(documents: str, buckets: int, budget: int) -> str:
     return f"""
 WITH lengths AS MATERIALIZED (
     SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+'))::BIGINT AS n_tokens FROM {documents}),
-rounded AS (
-    SELECT *, (1::BIGINT << greatest(length(bin(n_tokens)) - 10, 0)) AS step FROM lengths),
 hist AS (
-    SELECT ((n_tokens + step - 1) // step * step)::BIGINT AS length, count(*)::BIGINT AS n, sum(n_tokens)::BIGINT AS tokens
-    FROM rounded GROUP BY 1),
+    SELECT n_tokens AS length, count(*)::BIGINT AS n, sum(n_tokens)::BIGINT AS tokens FROM lengths GROUP BY 1),
 cum AS MATERIALIZED (
     SELECT length, row_number() OVER w AS i, (sum(n) OVER w)::BIGINT AS c, (sum(tokens) OVER w)::BIGINT AS t FROM hist WINDOW w AS (ORDER BY length)),
 ends0 AS MATERIALIZED (SELECT i, length, c, t FROM cum UNION ALL SELECT 0, -1, 0, 0),

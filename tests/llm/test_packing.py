@@ -44,11 +44,25 @@ def test_batches_stay_in_budget_and_are_full(docs_of):
             assert (len(slots) + 1) * max(length, 1) > 100
 
 
-def test_long_lengths_are_rounded_up_a_little(spark):
-    rows = spark.range(0, 200_000, 37).select(packing.rounded_length("id").alias("r"), "id").collect()
-    assert all(r.id <= r.r <= r.id * 1.002 + 0.001 for r in rows)
-    assert all(r.id == r.r for r in rows if r.id < 1024)
-    assert len({r.r for r in rows}) < 1024 + 512 * 9
+def test_boundaries_of_many_lengths_are_those_of_trying_every_cut():
+    source = np.random.default_rng(4)
+    lengths = np.unique(source.integers(0, 5_000, 700))
+    counts = source.integers(1, 50, len(lengths)) ** 3
+    totals = lengths * counts
+    c, t = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, totals))
+    best = np.concatenate([[0], lengths * c[1:] - t[1:]])
+    for _ in range(5):
+        best = np.array([0] + [min(best[j] + lengths[i - 1] * (c[i] - c[j]) - (t[i] - t[j]) for j in range(i)) for i in range(1, len(best))])
+    ends = packing.boundaries(lengths, counts, totals, 6)
+    assert padding(lengths, counts, totals, ends) == best[-1]
+
+
+def test_a_padded_length_is_the_longest_in_its_bucket(docs_of):
+    docs = docs_of([(i, "w " * n) for i, n in enumerate((3, 1_025, 1_027, 5_001, 5_003, 9_999))])
+    rows = packing.pack(packing.word_lengths(docs), buckets=3).collect()
+    for bucket in {r.bucket for r in rows}:
+        held = [r for r in rows if r.bucket == bucket]
+        assert {r.padded_length for r in held} == {max(r.n_tokens for r in held)}
 
 
 def test_odd_and_empty_input(odd_docs, odd_texts, no_docs):
