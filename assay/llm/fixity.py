@@ -9,8 +9,8 @@ same tree (a node starts where its elder sibling ends), so no task ever sums ove
 Only records that share an id meet before they are hashed, and those as sums of their digests (order
 does not matter), combined before the shuffle. Nothing but the key range reaches the driver.
 
-Edge cases: a null id is filed under -1, null parts of a record are empty; repeated rows belong to one
-leaf, which differs if their number does; a record in one replica only is ``missing`` or ``extra``; an
+Edge cases: records without an id are a leaf of their own outside the tree, before all others; null parts
+of a record are empty; repeated rows belong to one leaf, which differs if their number does; a record in one replica only is ``missing`` or ``extra``; an
 empty table on either side makes all records of the other missing or extra.
 """
 
@@ -31,7 +31,7 @@ def leaves(records: DataFrame, record_id: str, parts: list[str]) -> DataFrame:
     """(key, n, bytes, digest, hash): per id the number and size of its records and their hash."""
     body = F.concat_ws("\n", *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])
     rows = records.select(
-        F.coalesce(F.col(record_id), F.lit(-1)).cast("long").alias("key"), body.cast("binary").alias("body")
+        F.col(record_id).cast("long").alias("key"), body.cast("binary").alias("body")
     ).select("key", F.octet_length("body").cast("long").alias("bytes"), F.sha2("body", 256).alias("digest"))
     sums = [
         F.sum(F.conv(F.substring("digest", 1 + at, PIECE), 16, 10).cast("decimal(20,0)")).alias(f"s{at}")
@@ -96,7 +96,8 @@ def with_offsets(levels: list[DataFrame]) -> DataFrame:
     before = Window.partitionBy("_parent").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     above = None
     for nodes in reversed(levels):
-        own = nodes.withColumn("_parent", parent()).withColumn("offset", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+        # the top has a node for ids below zero and one for others at most
+        own = nodes.withColumn("_parent", F.lit(0) if above is None else parent()).withColumn("offset", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
         if above is not None:
             starts = above.select(F.col("key").alias("_parent"), F.col("offset").alias("_start"))
             own = own.join(starts, "_parent").withColumn("offset", F.col("offset") + F.col("_start")).drop("_start")
@@ -109,7 +110,10 @@ def audit(archive: DataFrame, replica: DataFrame, record_id: str, parts: list[st
 
     status is ok, corrupt, missing (from the replica) or extra (only there, without an offset).
     """
-    a, b = (keep(leaves(r, record_id, parts), "fixity-leaves") for r in (archive, replica))
+    held = [keep(leaves(r, record_id, parts), "fixity-leaves") for r in (archive, replica)]
+    a, b = (h.filter("key IS NOT NULL") for h in held)
+    unnamed = [h.filter("key IS NULL") for h in held]  # one row at most
+    shift = unnamed[0].agg(F.coalesce(F.sum("bytes"), F.lit(0)).cast("long")).first()[0]
     levels = depth(a, b)
     ours, theirs = tree(a, levels), tree(b, levels)
     broken = differing(ours, theirs)[-1]
@@ -122,7 +126,20 @@ def audit(archive: DataFrame, replica: DataFrame, record_id: str, parts: list[st
     known = with_offsets(ours).join(marks, "key", "left").select("key", "offset", "n", "bytes", "digest", status.alias("status"))
     extra = broken.filter("hash IS NULL").select("key").join(theirs[0], "key")
     extra = extra.select("key", F.lit(None).cast("long").alias("offset"), "n", "bytes", "digest", F.lit("extra").alias("status"))
-    return known.unionByName(extra).select(
+    both = unnamed[0].select("key", F.lit(0).cast("long").alias("offset"), "n", "bytes", "digest", "hash").join(
+        unnamed[1].select(F.col("n").alias("_n"), F.col("bytes").alias("_bytes"), F.col("digest").alias("_digest"), F.col("hash").alias("_hash")),
+        F.lit(True),
+        "full",
+    )
+    verdict = F.when(F.col("hash").isNull(), "extra").when(F.col("_hash").isNull(), "missing").when(
+        F.col("hash") == F.col("_hash"), "ok"
+    ).otherwise("corrupt")
+    nameless = both.select(
+        "key", "offset", F.coalesce("n", "_n").alias("n"), F.coalesce("bytes", "_bytes").alias("bytes"),
+        F.coalesce("digest", "_digest").alias("digest"), verdict.alias("status"),
+    )
+    known = known.withColumn("offset", F.col("offset") + shift)
+    return known.unionByName(extra).unionByName(nameless).select(
         F.col("key").alias(record_id),
         F.col("offset").cast("long").alias("offset"),
         F.col("n").alias("n_records"),

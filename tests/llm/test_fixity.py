@@ -52,6 +52,21 @@ def test_repeats_nulls_negative_ids_and_empty_tables(spark, swap):
     assert {r.status for r in found(spark, ours, list(reversed(ours))).values()} == {"ok"}
     assert found(spark, ours, ours[1:])[5].status == "corrupt"
     got = found(spark, ours, [])
-    assert {r.status for r in got.values()} == {"missing"} and set(got) == {5, -1, -9, 1 << 40}
+    assert {r.status for r in got.values()} == {"missing"} and set(got) == {5, None, -9, 1 << 40}
     assert got[5].n_records == 2
     assert found(spark, [], []) == {}
+
+
+def test_records_without_an_id_are_a_leaf_of_their_own(spark):
+    ours = [(None, "a", "x", None, 0), (None, "b", None, None, 0), (-1, "c", "yy", None, 0), (4, "d", "", None, 0)]
+    for theirs, want in (
+        (ours, {None: "ok", -1: "ok", 4: "ok"}),
+        (ours[1:], {None: "corrupt", -1: "ok", 4: "ok"}),
+        (ours[2:], {None: "missing", -1: "ok", 4: "ok"}),
+        ([ours[0], ours[1], (-1, "c", "zz", None, 0), ours[3]], {None: "ok", -1: "corrupt", 4: "ok"}),
+    ):
+        got = found(spark, ours, theirs)
+        assert {k: r.status for k, r in got.items()} == want
+        assert {k: r.offset for k, r in got.items()} == {None: 0, -1: 5, 4: 9}
+    got = found(spark, ours[2:], ours)
+    assert got[None].status == "extra" and got[None].offset is None and got[-1].offset == 0
