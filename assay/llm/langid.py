@@ -1,12 +1,13 @@
 """Language identification by the nearest of several centroids per language.
 
 Texts become TF-IDF vectors of hashed byte n-grams. From a bounded sample of labelled texts every
-language gets a few centroids (spherical k-means); a text takes the language of the centroid with
-the largest cosine. A text farther from every centroid than the rejection distance of the nearest
+language gets a few centroids (spherical k-means, a task per language); a text takes the language of
+the centroid with the largest cosine. The driver gets document frequencies and centroids. A text farther from every centroid than the rejection distance of the nearest
 one (a low quantile of the cosines of that centroid's own texts) is marked ``rejected``.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; so is every text when
-nothing could be learned.
+nothing could be learned. Rows equal in id and text are learned from once; rows that share an id, or have
+none, are told apart by their text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import keep
-from assay.llm.kernels import row_chunks, text_bytes, words64
+from assay.llm.kernels import row_chunks, text_bytes, tidy, words64
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,8 +38,8 @@ FOLD = bytes(
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
 # Texts whose vectors are held at a time.
 ROWS = 256
-# Languages learned at most, the most frequent ones; bounds what is collected and broadcast.
-MOST_LANGUAGES = 1_000
+# Places of the hash that picks the sample.
+PLACES = 1 << 40
 
 
 @dataclass
@@ -96,48 +97,88 @@ def _count_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([batch.column("lang")[lo:hi], packed], ["lang", "counts"])
 
 
-def sample(docs: DataFrame, seen: Column, per_language: int) -> DataFrame:
-    """About ``per_language`` rows (lang, text) of each learned language, chosen by a hash of the id."""
+def sample(docs: DataFrame, seen: Column, per_language: int, fit_rows: int) -> DataFrame:
+    """About ``per_language`` rows (lang, text) of each language, chosen by a hash of id and text.
+
+    With many languages each gets fewer, so that all together are some ``fit_rows``; but each has a row as
+    long as there are no more languages than that.
+    """
     rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & seen)
-    shares = (
-        rows.groupBy("lang")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MOST_LANGUAGES)
-        .select("lang", (F.lit(float(per_language)) / F.col("n") * 2**20).alias("below"))
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(PLACES))
+    placed = rows.select("lang", "text", place.alias("place"))
+    counts = keep(placed.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")), "languages")
+    each = max(1, min(per_language, fit_rows // max(1, counts.count())))
+    share = F.lit(float(each) if each > 1 else 0.0) / F.col("n") * PLACES
+    upto = F.greatest(F.col("least").cast("double"), share)
+    shares = counts.orderBy(F.desc("n"), "lang").limit(fit_rows).select("lang", upto.alias("upto"))
+    taken = placed.join(F.broadcast(shares), "lang").filter(F.col("place") <= F.col("upto"))
+    return taken.dropDuplicates(["lang", "place"]).select("lang", "text")
+
+
+def _frequency_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of the task every n-gram occurs."""
+    n, found = 0, np.zeros(DIMENSIONS, np.int64)
+    for batch in batches:
+        for packed in batch.column("counts"):
+            found += np.frombuffer(packed.as_buffer(), np.int32) > 0
+        n += batch.num_rows
+    yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([found.tobytes()], pa.binary())], ["n", "found"])
+
+
+def _centroid_kernel(idf: np.ndarray, clusters: int, quantile: float):
+    def run(table: pa.Table) -> pa.Table:
+        """Centroids of the texts of one language, each with the cosine below which it rejects."""
+        held = sorted(table.column("counts").to_pylist())  # they do not depend on the order of arrival
+        counts = np.array([np.frombuffer(c, np.int32) for c in held], np.float32)
+        x = unit(np.log1p(counts) * idf)
+        centres, member = cluster(x, min(clusters, len(x)))
+        cosine = (x * centres[member]).sum(axis=1)
+        used = [c for c in range(len(centres)) if (member == c).any()]
+        return pa.table(
+            {
+                "lang": pa.array([table.column("lang")[0].as_py()] * len(used), pa.string()),
+                "number": pa.array(used, pa.int32()),
+                "centre": pa.array([centres[c].astype(np.float32).tobytes() for c in used], pa.binary()),
+                "floor": pa.array([float(np.quantile(cosine[member == c], quantile)) for c in used], pa.float64()),
+            }
+        )
+
+    return run
+
+
+def fit(
+    docs: DataFrame,
+    seen: Column,
+    per_language: int = 800,
+    clusters: int = 4,
+    quantile: float = 0.005,
+    fit_rows: int = 100_000,
+) -> LanguageModel:
+    """Learn from ``lang`` and ``text`` of the rows for which ``seen`` is true.
+
+    About ``per_language`` texts of each language and ``fit_rows`` of all are learned from; the driver gets
+    ``clusters`` centroids (8 KB each) of every language there is.
+    """
+    held = keep(sample(docs, seen, per_language, fit_rows), "language-sample")
+    counted = held.mapInArrow(tidy(_count_kernel), "lang string, counts binary")
+    none = F.lit(bytes(4 * DIMENSIONS))
+    counted = keep(counted.filter(F.col("counts") != none), "language-counts")
+    sums = counted.mapInArrow(_frequency_kernel, "n long, found binary").collect()
+    n = sum(r["n"] for r in sums)
+    found = sum((np.frombuffer(r["found"], np.int64) for r in sums), np.zeros(DIMENSIONS, np.int64))
+    idf = (np.log((1 + n) / (1 + found)) + 1).astype(np.float32)
+    grouped = counted.groupBy("lang").applyInArrow(
+        _centroid_kernel(idf, clusters, quantile), "lang string, number int, centre binary, floor double"
     )
-    place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(2**20))
-    return rows.join(F.broadcast(shares), "lang").filter(place < F.col("below")).select("lang", "text")
-
-
-def fit(docs: DataFrame, seen: Column, per_language: int = 800, clusters: int = 4, quantile: float = 0.005) -> LanguageModel:
-    """Learn from ``lang`` and ``text`` of the rows for which ``seen`` is true, about ``per_language`` each."""
-    held = keep(sample(docs, seen, per_language), "language-sample")
-    rows = held.mapInArrow(_count_kernel, "lang string, counts binary").collect()
-    rows.sort(key=lambda r: (r["lang"], r["counts"]))  # the centroids do not depend on the order of arrival
-    counts = np.array([np.frombuffer(r["counts"], np.int32) for r in rows], np.float32).reshape(-1, DIMENSIONS)
-    rows = [r["lang"] for r, c in zip(rows, counts, strict=True) if c.any()]
-    counts = counts[counts.any(axis=1)]
-    languages = sorted(set(rows))
-    number = np.array([languages.index(lang) for lang in rows], np.int64)
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    x = unit(np.log1p(counts) * idf)
-    centroids, owner, floor = [], [], []
-    for k in range(len(languages)):
-        own = x[number == k]
-        found, member = cluster(own, min(clusters, len(own)))
-        cosine = (own * found[member]).sum(axis=1)
-        for c in range(len(found)):
-            if (member == c).any():
-                centroids.append(found[c])
-                owner.append(k)
-                floor.append(float(np.quantile(cosine[member == c], quantile)))
+    rows = sorted(grouped.collect(), key=lambda r: (r["lang"], r["number"]))
+    languages = sorted({r["lang"] for r in rows})
+    number = {lang: k for k, lang in enumerate(languages)}
     return LanguageModel(
         languages,
-        np.array(centroids, np.float32).reshape(-1, DIMENSIONS),
-        np.array(owner, np.int64),
+        np.array([np.frombuffer(r["centre"], np.float32) for r in rows], np.float32).reshape(-1, DIMENSIONS),
+        np.array([number[r["lang"]] for r in rows], np.int64),
         idf,
-        np.array(floor, np.float32),
+        np.array([r["floor"] for r in rows], np.float32),
     )
 
 
@@ -183,4 +224,4 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) of every row; score is the cosine to the nearest centroid."""
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_predict_kernel(model), f"doc_id {kind}, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(tidy(_predict_kernel(model)), f"doc_id {kind}, lang_pred string, score double, rejected boolean")

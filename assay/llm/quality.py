@@ -6,7 +6,8 @@ all rows of a batch through a tree at once. One pass over whole texts, without a
 
 Edge cases: a null or blank text has no words and fails the base rules; without labels of both
 kinds the trees are empty and every text that passes the base rules is kept; a document labelled
-twice counts as good only if both labels say so; null labels are ignored.
+twice counts as good only if both labels say so; null labels are ignored; of rows that share a labelled
+id the text with the smallest hash is learned from.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.kernels import WordHashes, row_chunks, shingle_hashes, text_bytes
+from assay.llm.kernels import WordHashes, row_chunks, shingle_hashes, text_bytes, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -229,17 +230,19 @@ def _feature_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def fit(docs: DataFrame, labels: DataFrame, seen: Column | None = None, fit_rows: int = 20_000, **options) -> Trees:
-    """Grow trees on at most ``fit_rows`` labelled documents, those with the smallest hash of the id."""
+    """Grow trees on at most ``fit_rows`` labelled documents, those with the smallest hash of the id, one text each."""
     rows = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna().filter("quality IN (0, 1)")
     if seen is not None:
         rows = rows.filter(seen)
     rows = rows.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = F.broadcast(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
+    texts = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "quality")
     held = (
-        docs.select("doc_id", "text").join(sample, "doc_id").select("text", "quality")
-        .mapInArrow(_feature_kernel, "quality int, x array<double>")
+        texts.agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+        .select("first.text", "quality")
+        .mapInArrow(tidy(_feature_kernel), "quality int, x array<double>")
         .collect()
-    )
+    )
     held.sort()  # the trees do not depend on the order of arrival
     y = np.array([r["quality"] for r in held], float)
     if not len(y) or y.min() == y.max():
@@ -271,6 +274,6 @@ def judge(docs: DataFrame, trees: Trees, threshold: float = 0.5) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{name} long" for name in BASE)
     return rows.mapInArrow(
-        _verdict_kernel(trees, threshold),
+        tidy(_verdict_kernel(trees, threshold)),
         f"doc_id {kind}, {counts}, base_failed boolean, kept boolean, quality_score double",
     )

@@ -7,7 +7,8 @@ and its intercept is moved to the share of label 1 among all labelled rows. Scor
 whole texts without a shuffle.
 
 Edge cases: a null or empty text, or one without any known n-gram, gets the score of the intercept;
-labels that are null are ignored; a document labelled twice counts as toxic if either label says so.
+labels that are null are ignored; a document labelled twice counts as toxic if either label says so;
+of rows that share a labelled id the text with the smallest hash is learned from.
 Without a labelled row of each kind every score is the share of label 1 (0 without labels).
 """
 
@@ -30,7 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes per n-gram, with an odd multiplier each that spreads them over the buckets.
 GRAMS = {4: 0x9E3779B97F4A7C15, 5: 0xC2B2AE3D27D4EB4F, 6: 0xD6E8FEB86659FD93}
-BUCKET_BITS = 20
+BUCKET_BITS = 22
 # Letters are lower-cased; ASCII characters that are no letters count as blanks.
 FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -131,8 +132,8 @@ def fit(
 ) -> ToxicityModel:
     """Train on at most ``fit_rows`` labelled documents, half of each label where there are enough.
 
-    ``fit_rows`` bounds what is broadcast (ids and labels) and what reaches the driver (feature
-    numbers of these documents); ``features`` bounds the model. The sample is the rows with the
+    ``fit_rows`` bounds what is broadcast (ids and labels), the texts learned from (one per id) and what
+    reaches the driver (their feature numbers); ``features`` bounds the model. The sample is the rows with the
     smallest hash of the id, so it does not depend on how the tables are laid out.
     """
     rows = labelled_rows(labels, seen)
@@ -146,7 +147,11 @@ def fit(
         for label in (0, 1)
     ]
     sample = keep(
-        docs.select("doc_id", "text").join(F.broadcast(half[0].unionAll(half[1])), "doc_id").select("text", "toxic"),
+        docs.select("doc_id", "text")
+        .join(F.broadcast(half[0].unionAll(half[1])), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+        .select("first.text", "toxic"),
         "toxicity-sample",
     )
     taken = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}

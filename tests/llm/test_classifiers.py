@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -107,3 +108,90 @@ def test_rejection_of_a_language_never_seen(spark, tables):
     model = langid.fit(tables[0], crc_remainder("doc_id", 3) != 1, per_language=200)
     strange = spark.createDataFrame([(1, "это совсем другой язык " * 30)], "doc_id long, text string")
     assert langid.identify(strange, model).first().rejected
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    return docs, labels, {r.doc_id: r.text for r in docs.collect()}
+
+
+def folded(text, fold):
+    return (text or "").encode().translate(fold)
+
+
+def grams(data, multipliers, bits):
+    """Bucket of the n-gram at every place, in Python integers."""
+    for n, multiplier in multipliers.items():
+        for i in range(len(data) - n + 1):
+            yield (int.from_bytes(data[i : i + n], "little") * multiplier & (1 << 64) - 1) >> 64 - bits
+
+
+def test_toxicity_scores_against_plain_python(spark, small):
+    docs, labels, texts = small
+    model = toxicity.fit(docs, labels)
+    value = {int(b): r * w for b, r, w in zip(model.buckets, model.ratios, model.weights, strict=True)}
+    for r in toxicity.score(docs, model).collect():
+        found = set(grams(folded(texts[r.doc_id], toxicity.FOLD), toxicity.GRAMS, toxicity.BUCKET_BITS))
+        z = model.intercept + sum(value[b] for b in found if b in value)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-max(-35, min(35, z)))), abs=1e-9)
+
+
+def test_language_against_plain_python(spark, small):
+    docs, _, texts = small
+    model = langid.fit(docs, crc_remainder("doc_id", 3) != 1)
+    for r in langid.identify(docs, model).collect():
+        text = texts[r.doc_id]
+        if not any(c.isalpha() for c in text or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        x = np.zeros(langid.DIMENSIONS)
+        for b in grams(folded(text, langid.FOLD), langid.GRAMS, langid.DIMENSIONS.bit_length() - 1):
+            x[b] += 1
+        x = np.log1p(x) * model.idf
+        cosines = model.centroids.astype(float) @ (x / max(1e-12, math.sqrt((x * x).sum())))
+        assert r.score == pytest.approx(min(1.0, max(0.0, cosines.max())), abs=1e-4)
+        near = {model.languages[model.owner[c]] for c in np.nonzero(cosines >= cosines.max() - 1e-4)[0]}
+        assert r.lang_pred in near
+
+
+def test_quality_scores_against_walking_the_nodes(spark, small):
+    docs, labels, texts = small
+    trees = quality.fit(docs, labels)
+    assert trees.roots
+    names = list(texts)
+    data = "".join(texts[i] or "" for i in names).encode()
+    offsets = np.cumsum([0] + [len((texts[i] or "").encode()) for i in names])
+    x = quality.features(quality.statistics(np.frombuffer(data, np.uint8), offsets, quality.WordHashes()))
+    scores = {r.doc_id: r for r in quality.judge(docs, trees).collect()}
+    for i, row in zip(names, x.tolist(), strict=True):
+        margin = trees.start
+        for at in trees.roots:
+            while trees.left[at] != at:
+                at = trees.left[at] if row[trees.feature[at]] <= trees.threshold[at] else trees.right[at]
+            margin += trees.value[at]
+        assert scores[i].quality_score == pytest.approx(1 / (1 + math.exp(-max(-35, min(35, margin)))), abs=1e-9)
+        assert scores[i].kept == (not scores[i].base_failed and margin >= 0)
+
+
+def test_every_language_is_learned_however_many(spark):
+    rows = [(k * 2 + j, f"{chr(0x4E00 + k)}{chr(0x4E00 + k)} x" * 5, f"l{k:04d}") for k in range(1_300) for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, crc_remainder("doc_id", 3) != 7)
+    assert len(model.languages) == 1_300
+    few = langid.sample(docs, crc_remainder("doc_id", 3) != 7, 800, 400)
+    assert few.count() == 400
+
+
+def test_samples_are_bounded_where_rows_share_or_lack_ids(spark):
+    rows = [(1, f"bad text {i}", "a") for i in range(300)] + [(2, "good", "a")] * 300 + [(None, f"none {i}", "b") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    toxicity.fit(docs, labels, fit_rows=2)
+    quality.fit(docs, labels, fit_rows=2)
+    held = langid.sample(docs, crc_remainder("doc_id", 3) != 9, 50, 10_000).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in held}.keys() == {"a", "b"}
+    assert all(20 <= r["count"] <= 90 for r in held)
