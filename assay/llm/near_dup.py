@@ -4,11 +4,12 @@ Every text gives the set of its hashed word shingles. Texts with equal sets beco
 class has a MinHash signature cut into several orders (trees) of ``DEPTH`` values. Classes that share
 a prefix of an order are a region of that tree. Candidates come in two steps:
 
-1. Linear: in every region of ``LEAST_DEPTH`` values all members are compared with its first one. A
-   region of more than ``CROWD`` members is split by one more value, and again down to ``DEPTH``, and
-   members are also compared with the first one of the region where that ends: the depth adapts to
-   how crowded a region is, and neighbours share the longest prefix there is room for. This joins up
-   whole groups of copies without comparing their members with each other.
+1. Linear: the members of a region of ``LEAST_DEPTH`` values are sorted by their values in the order, and
+   each is compared with the one before it, with which it shares the longest common prefix. A region of more
+   than ``CROWD`` members is not sorted as it is but split by one more value, and again down to ``DEPTH``:
+   the depth adapts to how crowded a region is. There, members are also compared with the region's first.
+   The orders are taken a few at a time (``ROUNDS``); what one round has put into the same component, or
+   compared, is not compared again, so a group of copies costs about its size, not its size per tree.
 2. Complete: a region may still hold several components. Up to ``OUTLIERS`` members outside its largest
    one are compared with every member of another component. The members of regions with more go
    through an exact join instead: their shingles are ordered from rare to frequent, two sets that
@@ -51,6 +52,8 @@ TREES = 20
 DEPTH = 8
 LEAST_DEPTH = 3
 CROWD = 64
+# Orders taken together, from and up to.
+ROUNDS = ((0, 1), (1, 5), (5, TREES))
 OUTLIERS = 4
 CHUNK = 100
 # Shingles permuted at a time: bounds the memory for very long texts.
@@ -171,21 +174,30 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 85) -> DataFrame:
     grouped = nodes.groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.max("signature").alias("signature"))
     grouped = grouped.select(F.xxhash64("digest").alias("id"), "digest", "rep", "signature")
     classes = scratch.keep(grouped, "classes")
-    members = shared_regions(classes.select("id", "signature"), scratch)
-    pairs = scratch.keep(members.filter("id <> head").select("head", F.col("id").alias("node")).distinct(), "pairs")
-    ids = pairs.select(F.col("head").alias("id")).unionByName(pairs.select(F.col("node").alias("id"))).distinct()
+    members = scratch.keep(shared_regions(classes.select("id", "signature"), LEAST_DEPTH, scratch), "regions")
+    found = scratch.keep(forest_neighbours(classes.select("id", "signature"), members, scratch), "neighbours")
+    ids = found.select(F.col("head").alias("id")).unionByName(found.select(F.col("node").alias("id"))).distinct()
     ids = scratch.keep(classes.join(ids, "id").select("id", "rep.doc_id", "rep.th"), "ids")
     texts = class_texts(docs, signed, ids, scratch)
-    edges = scratch.keep(confirm(texts, pairs, percent, scratch), "edges")
-    labels = scratch.keep(connected_components(edges, "a", "b"), "labels")
-
-    rest = scratch.keep(across(members.filter(F.col("depth") == LEAST_DEPTH), labels, texts, percent, scratch), "across")
-    done = pairs.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
-    further = scratch.keep(rest.join(done, ["head", "node"], "left_anti"), "further")
+    labels, done = None, []
+    for low, high in ROUNDS:
+        pairs = found.filter((F.col("tree") >= low) & (F.col("tree") < high)).select("head", "node").distinct()
+        if labels is not None:
+            pairs = apart(pairs, labels).join(union_all(done), ["head", "node"], "left_anti")
+        done.append(scratch.keep(pairs, "pairs"))
+        if labels is not None and done[-1].isEmpty():
+            continue
+        edges = scratch.keep(confirm(texts, done[-1], percent, scratch), "edges")
+        if labels is None:
+            labels = scratch.keep(connected_components(edges, "a", "b"), "labels")
+        elif not edges.isEmpty():
+            labels = scratch.keep(connected_components(edges.unionByName(stars(labels)), "a", "b"), "labels")
+
+    rest = scratch.keep(across(members, labels, texts, percent, scratch), "across")
+    further = scratch.keep(rest.join(union_all(done), ["head", "node"], "left_anti"), "further")
     if not further.isEmpty():
         more = scratch.keep(confirm(texts, further, percent, scratch), "more-edges")
-        stars = labels.select(F.col("component").alias("a"), F.col("id").alias("b")).filter("a <> b")
-        labels = scratch.keep(connected_components(more.unionByName(stars), "a", "b"), "labels")
+        labels = scratch.keep(connected_components(more.unionByName(stars(labels)), "a", "b"), "labels")
     labelled = scratch.keep(classes.select("id", "digest", "rep").join(labels, "id", "left"), "labelled-classes")
     least = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
     named = labelled.join(least, "component", "left").select("digest", F.coalesce("least", "rep").alias("least"))
@@ -216,25 +228,58 @@ def class_texts(docs: DataFrame, signed: DataFrame, ids: DataFrame, scratch: Scr
     return scratch.keep(texts.join(repeated, "id", "left_anti").unionByName(once), "texts")
 
 
-def shared_regions(signed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(region, depth, tree, id, head): members of regions of several classes, crowded ones deeper too."""
+def stars(labels: DataFrame) -> DataFrame:
+    """Components (id, component) as edges from every node to the smallest of its component."""
+    return labels.select(F.col("component").alias("a"), F.col("id").alias("b")).filter("a <> b")
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (head, node) that are not in one component."""
+    placed = pairs
+    for end in ("head", "node"):
+        own = labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in"))
+        placed = placed.join(own, end, "left").withColumn(f"{end}_in", F.coalesce(f"{end}_in", end))
+    return placed.filter("head_in <> node_in").select("head", "node")
+
+
+def shared_regions(signed: DataFrame, depth: int, scratch: Scratch) -> DataFrame:
+    """(region, tree, id, rest, head, n): members of regions of several classes, with the first one and their number.
+
+    rest are the values of the order behind those that name the region.
+    """
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    rows = signed.select("id", trees, "signature")
+    flat = signed.select("id", trees if "tree" not in signed.columns else "tree", "signature")
+    rest = F.substring("signature", F.col("tree") * (4 * DEPTH) + (1 + 4 * depth), F.lit(4 * (DEPTH - depth)))
+    flat = flat.select(region(depth).alias("region"), "tree", "id", rest.alias("rest"))
+    sizes = flat.groupBy("region").agg(F.min("id").alias("head"), F.max("id").alias("last"), F.count("*").alias("n"))
+    shared = scratch.keep(sizes.filter("head <> last").drop("last"), "shared")
+    return flat.join(small_side(shared), "region").select("region", "tree", "id", "rest", "head", "n")
+
+
+def forest_neighbours(signed: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(tree, head, node): in every order each member with its neighbour of the longest common prefix.
+
+    ``members`` are those of the regions of ``LEAST_DEPTH`` values. Only regions of at most ``CROWD`` members are
+    put together, to be sorted in a task; of a crowded one the members also meet its first.
+    """
     found = []
     for depth in range(LEAST_DEPTH, DEPTH + 1):
-        flat = rows.select(region(depth).alias("region"), "tree", "id")
-        sizes = flat.groupBy("region").agg(F.min("id").alias("head"), F.max("id").alias("last"), F.count("*").alias("n"))
-        shared = scratch.keep(sizes.filter("head <> last").drop("last"), "regions")
-        held = scratch.keep(flat.join(small_side(shared), "region").withColumn("depth", F.lit(depth)), "members")
-        crowd = held.filter(F.col("n") > CROWD).select("tree", "id")
-        if depth == LEAST_DEPTH:
-            found.append(held)
-        else:
-            found.append(held if depth == DEPTH else held.filter(F.col("n") <= CROWD))
+        few = members.filter(F.col("n") <= CROWD)
+        ordered = few.groupBy("tree", "region").agg(F.array_sort(F.collect_list(F.struct("rest", "id"))).alias("m"))
+        beside = F.zip_with(
+            F.slice("m", F.lit(1), F.size("m") - 1),
+            F.slice("m", F.lit(2), F.size("m") - 1),
+            lambda x, y: F.struct(F.least(x["id"], y["id"]).alias("head"), F.greatest(x["id"], y["id"]).alias("node")),
+        )
+        found.append(ordered.select("tree", F.inline(beside)))
+        crowd = members.filter(F.col("n") > CROWD)
+        if depth in (LEAST_DEPTH, DEPTH):
+            found.append(crowd.filter("id <> head").select("tree", "head", F.col("id").alias("node")))
         if depth == DEPTH or crowd.isEmpty():
             break
-        rows = scratch.keep(crowd.join(signed, "id"), "crowd")
-    return union_all(found).drop("n")
+        rows = scratch.keep(crowd.select("tree", "id").join(signed, "id"), "crowd")
+        members = scratch.keep(shared_regions(rows, depth + 1, scratch), "regions")
+    return union_all(found)
 
 
 def across(members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
