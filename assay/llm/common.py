@@ -13,6 +13,17 @@ from assay.session import new_shared_path
 SPLIT_DIGITS = 3
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as it takes to be none of ``columns``, in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -45,7 +45,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import Scratch, keep, text_key, union_all
+from assay.llm.common import Scratch, keep, text_key, union_all, unused
 from assay.llm.kernels import mixed, row_chunks, text_bytes, tidy, words64
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -500,61 +500,66 @@ def _report_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _cut_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their spans; a character that is only partly inside a span stays, a row of
-    which only blanks are left goes."""
-    for batch in batches:
-        texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
-        left = np.ones(batch.num_rows, bool)
-        for k, held in enumerate(spans):
-            if held:
-                raw = texts[k].encode()
-                inside = np.zeros(len(raw) + 1, bool)
-                for lo, hi in merged_spans([(s["lo"], s["hi"]) for s in held]):
-                    while lo < hi and raw[lo] & 0xC0 == 0x80:
-                        lo += 1
-                    while hi > lo and hi < len(raw) and raw[hi] & 0xC0 == 0x80:
-                        hi -= 1
-                    inside[lo:hi] = True
-                texts[k] = np.frombuffer(raw, np.uint8)[~inside[:-1]].tobytes().decode()
-                left[k] = bool(texts[k].strip())
-        at = batch.schema.get_field_index("text")
-        columns = list(batch.columns)
-        columns[at] = pa.array(texts, batch.schema.field("text").type)
-        kept = [c for c, name in zip(columns, batch.schema.names, strict=True) if name != "spans"]
-        names = [name for name in batch.schema.names if name != "spans"]
-        yield pa.RecordBatch.from_arrays(kept, names).filter(pa.array(left))
+def _cut_kernel(span_column: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts without their spans; a character that is only partly inside a span stays, a row of
+        which only blanks are left goes."""
+        for batch in batches:
+            texts, spans = batch.column("text").to_pylist(), batch.column(span_column).to_pylist()
+            left = np.ones(batch.num_rows, bool)
+            for k, held in enumerate(spans):
+                if held:
+                    raw = texts[k].encode()
+                    inside = np.zeros(len(raw) + 1, bool)
+                    for lo, hi in merged_spans([(s["lo"], s["hi"]) for s in held]):
+                        while lo < hi and raw[lo] & 0xC0 == 0x80:
+                            lo += 1
+                        while hi > lo and hi < len(raw) and raw[hi] & 0xC0 == 0x80:
+                            hi -= 1
+                        inside[lo:hi] = True
+                    texts[k] = np.frombuffer(raw, np.uint8)[~inside[:-1]].tobytes().decode()
+                    left[k] = bool(texts[k].strip())
+            at = batch.schema.get_field_index("text")
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, batch.schema.field("text").type)
+            kept = [c for c, name in zip(columns, batch.schema.names, strict=True) if name != span_column]
+            names = [name for name in batch.schema.names if name != span_column]
+            yield pa.RecordBatch.from_arrays(kept, names).filter(pa.array(left))
+
+    return run
 
 
 def with_spans(
     docs: DataFrame, length: int = LENGTH, fan: int = FAN, batches: int = BATCHES, first_stays: bool = False, group: int = GROUP
 ) -> DataFrame:
-    """``docs`` with ``spans``, the byte ranges in repeated passages (null for none).
+    """``docs`` with one more column, the last one: the byte ranges in repeated passages (null for none).
 
-    With ``first_stays`` a passage stays in the document with the smallest id that holds it, of rows that
-    share this id in the one with the smallest hash of the text.
+    It is called spans, or a name like it that no column of ``docs`` has. With ``first_stays`` a passage stays in
+    the document with the smallest id that holds it, of rows that share this id in the one with the
+    smallest hash of the text.
     """
-    own = [c for c in docs.columns if c not in ("_id", "_th", "spans")]
+    i, t, s = unused(docs.columns, "_id", "_th", "spans")
     unnamed = F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63)))
-    keyed = docs.select(*own, F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("_id"), text_key().alias("_th"))
-    plain = keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), "text")
+    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), unnamed).alias(i), text_key().alias(t))
+    plain = keyed.select(F.col(i).alias("id"), F.col(t).alias("th"), "text")
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     spans = repeated_spans(plain, length, fan, batches, first_stays, group, scratch)
-    spans = spans.distinct().groupBy(F.col("id").alias("_id"), F.col("th").alias("_th"))
-    spans = keep(spans.agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
+    spans = spans.distinct().groupBy(F.col("id").alias(i), F.col("th").alias(t))
+    spans = keep(spans.agg(F.collect_list(F.struct("lo", "hi")).alias(s)), "suffix-spans")
     scratch.clear()
-    return keyed.join(spans, ["_id", "_th"], "left").select(*own, "spans")
+    return keyed.join(spans, [i, t], "left").select(*docs.columns, s)
 
 
 def report(marked: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of documents with spans."""
-    rows = marked.select("doc_id", "text", "spans")
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of documents with spans in their last column."""
+    rows = marked.select("doc_id", "text", F.col(marked.columns[-1]).alias("spans"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        _report_kernel, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        tidy(_report_kernel), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
 
 def cut(marked: DataFrame) -> DataFrame:
-    """The documents, their other columns as they are, without what the spans cover."""
-    return marked.mapInArrow(_cut_kernel, marked.drop("spans").schema)
+    """The documents, their other columns as they are, without what the spans in the last column cover."""
+    last = marked.columns[-1]
+    return marked.mapInArrow(tidy(_cut_kernel(last)), marked.drop(last).schema)

@@ -3,7 +3,11 @@ import random
 import pytest
 
 # Names the operators use inside, as further columns of their input.
-CLASHES = "score text_ id th spans words bucket slot shard digest node head size n label toxic pos hashes".split()
+CLASHES = (
+    "score text_ id th spans words bucket slot shard digest node head size n label toxic pos hashes "
+    "_id _th _TH_ spans_ _digest _part _rank _start _first _fits h first rest tree region rep least "
+    "kept component units stood seen runs collapsed conversation piece position record"
+).split()
 
 
 @pytest.fixture(scope="session")
