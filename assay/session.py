@@ -52,8 +52,26 @@ def use_local_folder(spark: SparkSession) -> None:
         context.setCheckpointDir(LOCAL_FOLDER)
 
 
+# Paths given out in this process, for release().
+_GIVEN: list[str] = []
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _GIVEN.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _GIVEN[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all tables this process has cut or kept in the shared folder; returns how many paths there were.
+
+    Call it when the results are written: a DataFrame that still reads one of them fails afterwards.
+    """
+    for path in _GIVEN:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    paths = len(_GIVEN)
+    _GIVEN.clear()
+    return paths
 
 
 def cut(df: DataFrame) -> DataFrame:
