@@ -16,7 +16,7 @@ from assay.sources.bucketed import BucketedTable
 from assay.sources.files import list_files, read_batch
 from assay.specs import CostSpec, RuleSpec, SourceSpec, load_cost
 from assay.streaming import ingest
-from workloads.registry import AS_OF, AS_OF_DAY, query, r, table
+from workloads.registry import AS_OF, AS_OF_DAY, query, r, table, write_landing
 
 SINCE = date(2024, 1, 1)
 
@@ -508,23 +508,10 @@ _PARTS_SQL = """SELECT p_partkey::VARCHAR AS part_id, p_name AS part_name, p_bra
     round(p_retailprice, 6) AS price, p_size::VARCHAR AS extra FROM part"""
 
 
-def _write_landing(df: DataFrame, kind: str, path: str) -> None:
-    """Landing files of a format; JSON as files of one array of some 500 records each."""
-    if kind == "csv":
-        df.write.option("header", "true").csv(path)
-    elif kind == "parquet":
-        df.write.parquet(path)
-    else:
-        arrays = df.groupBy(F.expr("p_partkey div 500").alias("chunk")).agg(
-            F.array_join(F.collect_list(F.to_json(F.struct("*"))), ",").alias("records")
-        )
-        arrays.select("chunk", F.concat(F.lit("["), "records", F.lit("]")).alias("value")).write.partitionBy("chunk").text(path)
-
-
 def _landed_parts(spark, sf_dir, kind: str) -> tuple[SourceSpec, str]:
     path = new_shared_path(spark, f"parts-{kind}")
     part = table(spark, sf_dir, "part").select("p_size", "p_retailprice", "p_brand", "p_name", "p_type", "p_partkey")
-    _write_landing(part, kind, path)
+    write_landing(part, kind, path)
     return SourceSpec("parts", kind, "part", path, 1, 24.0, _PARTS_SOURCE), path
 
 
@@ -574,7 +561,7 @@ def _evolved(spark, sf_dir, kind: str) -> DataFrame:
     part = table(spark, sf_dir, "part").withColumn("p_size", F.col("p_size").cast("long"))
     for i, columns in enumerate(_DROPS):
         drop = part.filter(F.col("p_partkey") % 3 == i).selectExpr(*columns)
-        _write_landing(drop, kind, f"{root}/landing/drop{i}")
+        write_landing(drop, kind, f"{root}/landing/drop{i}")
         ingest.land_evolving(
             spark, source, f"{root}/landing", f"{root}/raw", f"{root}/checkpoint", as_of=AS_OF,
             pattern="part-*", infer=True,

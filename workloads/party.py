@@ -23,9 +23,10 @@ from assay.operators.standardize import (
 )
 from assay.plans import reports
 from assay.plans.mastering import Mastered, master
-from assay.session import cut
+from assay.session import cut, new_shared_path
 from assay.specs import load_entity
-from workloads.registry import AS_OF, components_sql, query, r, table
+from assay.streaming import ingest
+from workloads.registry import AS_OF, components_sql, query, r, table, write_landing
 
 ENTITY = load_entity("customer")
 MIN = ENTITY.min_score
@@ -317,6 +318,26 @@ def canonical_union(spark, sf_dir):
     return std.withColumnsRenamed({"_source_system": "source_system", "_source_priority": "source_priority"})
 
 
+# A CSV file has no empty texts: what is empty there is null.
+_FILED = "CASE WHEN _source_system <> 'flatfile' OR email <> '' THEN {0} END AS {0}"
+
+
+@query(
+    "entity_ingest",
+    f"WITH {_standard_sql()} SELECT customer_id, full_name, {_FILED.format('email')}, tax_id, address_line1, country_code, postal_code, "
+    f"updated_at, {_FILED.format('email_domain')}, _source_system AS source_system, _source_priority AS source_priority FROM std",
+)
+def entity_ingest(spark, sf_dir):
+    """All sources of an entity landed as files of their formats, ingested as streams, then standardised as one."""
+    root = new_shared_path(spark, "entity")
+    for source in ENTITY.sources:
+        write_landing(raw(spark, sf_dir, source.name), source.format, f"{root}/{source.landing_path}")
+    tables = ingest.ingest_entity(spark, ENTITY, f"{root}/raw", AS_OF, root)
+    ingest.refresh_standardized(spark, ENTITY, tables, f"{root}/standard", f"{root}/standard-checkpoint")
+    std = spark.read.parquet(f"{root}/standard").drop("_ingested_at", "_source_file")
+    return std.withColumnsRenamed({"_source_system": "source_system", "_source_priority": "source_priority"})
+
+
 @query(
     "dq_score",
     f"WITH {_SCORED_SQL} SELECT _source_system AS source_system, customer_id, updated_at, "

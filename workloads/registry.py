@@ -29,6 +29,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_landing(df: DataFrame, kind: str, path: str) -> None:
+    """Landing files of a format; JSON as files of one array of at most 500 records each."""
+    if kind == "csv":
+        df.write.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    elif kind == "parquet":
+        df.write.parquet(path)
+    else:
+        chunk = F.expr("monotonically_increasing_id() div 500").alias("chunk")
+        arrays = df.select(chunk, F.to_json(F.struct("*")).alias("record")).groupBy("chunk").agg(
+            F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value")
+        )
+        arrays.write.partitionBy("chunk").text(path)
+
+
 def r(column: str | Column, digits: int = 6) -> Column:
     """Rounded for comparison, under the same name when given one."""
     rounded = F.round(column, digits)
