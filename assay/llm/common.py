@@ -13,6 +13,17 @@ from assay.session import new_shared_path
 SPLIT_DIGITS = 3
 
 
+# Bytes of a batch sent to Python: a task holds a few times as many. Spark's own limit is 64 MB.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's limit of bytes per batch, unless it is below Spark's own default already."""
+    if int(spark.conf.get(_BATCH).rstrip("b")) >= 64 << 20:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def unused(columns: list[str], *names: str) -> list[str]:
     """``names``, each with as many underscores behind it as it takes to be none of ``columns``, in any case."""
     taken, out = {c.lower() for c in columns}, []

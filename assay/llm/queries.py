@@ -23,7 +23,7 @@ from assay.llm import (
     suffix_dedup,
     toxicity,
 )
-from assay.llm.common import Scratch, crc_remainder, table
+from assay.llm.common import Scratch, bound_batches, crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,7 +31,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bound_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

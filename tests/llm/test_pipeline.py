@@ -117,3 +117,13 @@ def test_a_passage_stays_once_among_rows_without_or_with_one_id(spark, group):
         assert len(held) == 3 and sum(passage in t for _, t in held) == 1
         assert sum(len(t) for _, t in held) < sum(len(t) for _, t in rows) - 2 * len(passage) + 10
         assert {i for i, t in held if passage in t} == {ids[0]}
+
+
+def test_stages_take_columns_of_any_name(spark, folder, odd_docs):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd_docs, folder)
+        rows = out.collect()
+        assert rows
+        if name != "packing":
+            assert out.columns == odd_docs.columns
+            assert all(r["_id"] == r["spans"] == r["_th"] == 1 for r in rows)
