@@ -89,7 +89,7 @@ def _quartiles(df: DataFrame, group: list[str], numeric: list[str], names: list[
     return counted.groupBy(*key).agg(*[a.alias(n) for a, n in zip(at, names)])
 
 
-# Entries of a quantile sketch; its rank error is some 1.5 / KLL_ENTRIES of the rows, at any number of merges.
+# Entries of a quantile sketch; its rank error is some half a percent of the rows, at any number of merges.
 KLL_ENTRIES = 1_000
 # Base-2 logarithm of the counters of a distinct-value sketch; its relative error is some 1 / 2 ** (HLL_BITS / 2).
 HLL_BITS = 14
