@@ -53,7 +53,7 @@ DEPTH = 8
 LEAST_DEPTH = 3
 CROWD = 64
 # Orders taken together, from and up to.
-ROUNDS = ((0, 1), (1, 5), (5, TREES))
+ROUNDS = ((0, 2), (2, TREES))
 OUTLIERS = 4
 CHUNK = 100
 # Shingles permuted at a time: bounds the memory for very long texts.

@@ -36,7 +36,7 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -308,17 +308,17 @@ def settle(group: list[tuple], length: int, fan: int, first_stays: bool) -> Iter
 def settle_nodes(
     group: list[tuple], wanted: set[int], nodes: set[int], length: int, fan: int, first_stays: bool
 ) -> Iterator[tuple[int, int, int]]:
-    """The same for the contexts ``wanted``, down the offset tree from its top ``nodes``."""
-    open_nodes = {(k, node) for k in range(len(group)) for node in nodes}
-    for level in range(1, LEVELS + 1):
+    """The same for the contexts ``wanted``, down the offset tree from its top ``nodes``, one branch at a time."""
+
+    def walk(members: Iterable[int], node: int, level: int) -> Iterator[tuple[int, int, int]]:
         by_core = defaultdict(list)
-        for k, node in sorted(open_nodes):
+        for k in members:
             data, before, after, _, _ = group[k]
             held = node_hashes(data, before, after, level, node, length, fan)
             if held:
-                by_core[node, held[2]].append((k, held))
-        open_nodes = set()
-        for (node, _), sharing in by_core.items():
+                by_core[held[2]].append((k, held))
+        unsettled: list[int] = []
+        for sharing in by_core.values():
             if len(sharing) < 2 or not any(k in wanted for k, _ in sharing):
                 continue
             wholes = {held[3] for _, held in sharing}
@@ -328,7 +328,15 @@ def settle_nodes(
                     if k in wanted and (not first_stays or group[k][4] > least):
                         yield k, first, end
             else:
-                open_nodes.update((k, node * fan + child) for k, _ in sharing for child in range(fan))
+                unsettled += [k for k, _ in sharing]
+        del by_core
+        if level < LEVELS and unsettled:
+            unsettled.sort()
+            for child in range(fan):
+                yield from walk(unsettled, node * fan + child, level + 1)
+
+    for node in sorted(nodes):
+        yield from walk(range(len(group)), node, 1)
 
 
 def _settle_kernel(length: int, fan: int, first_stays: bool):
