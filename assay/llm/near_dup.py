@@ -8,12 +8,13 @@ a prefix of an order are a region of that tree. Candidates come in two steps:
    each is compared with the one before it, with which it shares the longest common prefix. A region of more
    than ``CROWD`` members is not sorted as it is but split by one more value, and again down to ``DEPTH``:
    the depth adapts to how crowded a region is. There, members are also compared with the region's first.
-   The orders are taken a few at a time (``ROUNDS``); what one round has put into the same component, or
-   compared, is not compared again, so a group of copies costs about its size, not its size per tree.
-2. Complete: a region may still hold several components. Up to ``OUTLIERS`` members outside its largest
-   one are compared with every member of another component. The members of regions with more go
-   through an exact join instead: their shingles are ordered from rare to frequent, two sets that
-   are similar enough must share one of the first (100 - percent) % of either, and where they first
+   The orders are taken a few at a time (``ROUNDS``). Each round looks only at regions that hold several
+   of the components found so far and makes only neighbours that are in different ones, so a group of
+   copies costs about its size, not its size per tree.
+2. Complete: a region may still hold several components. In one of up to ``CROWD`` members, up to
+   ``OUTLIERS`` outside its largest component are compared with every member of another. The members of
+   all others go through an exact join instead: their shingles are ordered from rare to frequent, two sets
+   that are similar enough must share one of the first (100 - percent) % of either, and where they first
    meet bounds how much they can share. Nothing is capped or left out.
 
 Each candidate is confirmed on whole texts: rows of one first member are cut into chunks of about
@@ -174,30 +175,28 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 85) -> DataFrame:
     grouped = nodes.groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.max("signature").alias("signature"))
     grouped = grouped.select(F.xxhash64("digest").alias("id"), "digest", "rep", "signature")
     classes = scratch.keep(grouped, "classes")
-    members = scratch.keep(shared_regions(classes.select("id", "signature"), LEAST_DEPTH, scratch), "regions")
-    found = scratch.keep(forest_neighbours(classes.select("id", "signature"), members, scratch), "neighbours")
-    ids = found.select(F.col("head").alias("id")).unionByName(found.select(F.col("node").alias("id"))).distinct()
-    ids = scratch.keep(classes.join(ids, "id").select("id", "rep.doc_id", "rep.th"), "ids")
-    texts = class_texts(docs, signed, ids, scratch)
-    labels, done = None, []
+    copies = nodes.groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "th")
+    copies = scratch.keep(copies, "copies")
+    labels, done, members, ids, texts = None, [], [], [], []
     for low, high in ROUNDS:
-        pairs = found.filter((F.col("tree") >= low) & (F.col("tree") < high)).select("head", "node").distinct()
-        if labels is not None:
-            pairs = apart(pairs, labels).join(union_all(done), ["head", "node"], "left_anti")
-        done.append(scratch.keep(pairs, "pairs"))
+        own = mixed_regions(prefixes(placed(classes, labels, scratch), low, high), scratch)
+        members.append(own.select("region", "id"))
+        here = own.select("id").distinct()
+        ids.append(scratch.keep(here.join(union_all(ids), "id", "left_anti") if ids else here, "ids"))
+        texts.append(class_texts(docs, copies, classes.join(small_side(ids[-1]), "id"), scratch))
+        pairs = forest_neighbours(own, scratch).distinct()
+        done.append(scratch.keep(uncompared(pairs, done), "pairs"))
         if labels is not None and done[-1].isEmpty():
             continue
-        edges = scratch.keep(confirm(texts, done[-1], percent, scratch), "edges")
-        if labels is None:
-            labels = scratch.keep(connected_components(edges, "a", "b"), "labels")
-        elif not edges.isEmpty():
-            labels = scratch.keep(connected_components(edges.unionByName(stars(labels)), "a", "b"), "labels")
-
-    rest = scratch.keep(across(members, labels, texts, percent, scratch), "across")
-    further = scratch.keep(rest.join(union_all(done), ["head", "node"], "left_anti"), "further")
+        edges = scratch.keep(confirm(union_all(texts), done[-1], percent, scratch), "edges")
+        labels = scratch.keep(merged(edges, labels), "labels")
+
+    every = union_all(texts)
+    rest = scratch.keep(across(union_all(members), labels, every, percent, scratch), "across")
+    further = scratch.keep(uncompared(rest, done), "further")
     if not further.isEmpty():
-        more = scratch.keep(confirm(texts, further, percent, scratch), "more-edges")
-        labels = scratch.keep(connected_components(more.unionByName(stars(labels)), "a", "b"), "labels")
+        more = scratch.keep(confirm(every, further, percent, scratch), "more-edges")
+        labels = scratch.keep(merged(more, labels), "labels")
     labelled = scratch.keep(classes.select("id", "digest", "rep").join(labels, "id", "left"), "labelled-classes")
     least = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
     named = labelled.join(least, "component", "left").select("digest", F.coalesce("least", "rep").alias("least"))
@@ -216,11 +215,11 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 85) -> DataFrame:
     return found
 
 
-def class_texts(docs: DataFrame, signed: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, text), one row for each class of ``ids`` (id, doc_id, th), however often its row is repeated."""
+def class_texts(docs: DataFrame, copies: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, text), one row for each of ``classes`` (id, rep); ``copies`` (doc_id, th) are rows given several times."""
+    ids = scratch.keep(classes.select("id", "rep.doc_id", "rep.th"), "chosen")
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     texts = scratch.keep(rows.join(small_side(ids), ["doc_id", "th"]).select("id", "text"), "texts")
-    copies = signed.filter("doc_id IS NOT NULL").groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = scratch.keep(ids.join(copies, ["doc_id", "th"]).select("id"), "repeated")
     if repeated.isEmpty():
         return texts
@@ -228,57 +227,90 @@ def class_texts(docs: DataFrame, signed: DataFrame, ids: DataFrame, scratch: Scr
     return scratch.keep(texts.join(repeated, "id", "left_anti").unionByName(once), "texts")
 
 
-def stars(labels: DataFrame) -> DataFrame:
-    """Components (id, component) as edges from every node to the smallest of its component."""
-    return labels.select(F.col("component").alias("a"), F.col("id").alias("b")).filter("a <> b")
+def merged(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(id, component) by ``edges`` (a, b) and earlier ``labels``, whose components are stars of edges."""
+    if labels is None:
+        return connected_components(edges, "a", "b")
+    stars = labels.select(F.col("component").alias("a"), F.col("id").alias("b")).filter("a <> b")
+    return labels if edges.isEmpty() else connected_components(edges.unionByName(stars), "a", "b")
+
 
+def uncompared(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
+    """``pairs`` (head, node) that were not compared before, either way round."""
+    if not done:
+        return pairs
+    ends = [F.least("head", "node").alias("low"), F.greatest("head", "node").alias("high")]
+    before = union_all(done).select(*ends)
+    return pairs.select("head", "node", *ends).join(before, ["low", "high"], "left_anti").select("head", "node")
 
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (head, node) that are not in one component."""
-    placed = pairs
-    for end in ("head", "node"):
-        own = labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in"))
-        placed = placed.join(own, end, "left").withColumn(f"{end}_in", F.coalesce(f"{end}_in", end))
-    return placed.filter("head_in <> node_in").select("head", "node")
 
+def placed(classes: DataFrame, labels: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """(id, component, signature) of every class; one that is linked with nothing is a component of its own."""
+    own = classes.select("id", "signature")
+    if labels is None:
+        return own.withColumn("component", F.col("id"))
+    return scratch.keep(own.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
 
-def shared_regions(signed: DataFrame, depth: int, scratch: Scratch) -> DataFrame:
-    """(region, tree, id, rest, head, n): members of regions of several classes, with the first one and their number.
 
-    rest are the values of the order behind those that name the region.
+def prefixes(signed: DataFrame, low: int, high: int) -> DataFrame:
+    """(region, tree, id, component, rest): every class in the orders ``low`` up to ``high``.
+
+    region names its first ``LEAST_DEPTH`` values there, rest are the others.
     """
-    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    flat = signed.select("id", trees if "tree" not in signed.columns else "tree", "signature")
-    rest = F.substring("signature", F.col("tree") * (4 * DEPTH) + (1 + 4 * depth), F.lit(4 * (DEPTH - depth)))
-    flat = flat.select(region(depth).alias("region"), "tree", "id", rest.alias("rest"))
-    sizes = flat.groupBy("region").agg(F.min("id").alias("head"), F.max("id").alias("last"), F.count("*").alias("n"))
-    shared = scratch.keep(sizes.filter("head <> last").drop("last"), "shared")
-    return flat.join(small_side(shared), "region").select("region", "tree", "id", "rest", "head", "n")
+    flat = signed.select("id", "component", F.explode(F.sequence(F.lit(low), F.lit(high - 1))).alias("tree"), "signature")
+    start = F.col("tree") * (4 * DEPTH) + (1 + 4 * LEAST_DEPTH)
+    rest = F.substring("signature", start, F.lit(4 * (DEPTH - LEAST_DEPTH)))
+    return flat.select(region(LEAST_DEPTH).alias("region"), "tree", "id", "component", rest.alias("rest"))
+
+
+def deeper(members: DataFrame) -> DataFrame:
+    """Members of regions in the regions of one more value."""
+    return members.select(
+        F.xxhash64("region", F.substring("rest", 1, 4)).alias("region"), "tree", "id", "component",
+        F.expr("substring(rest, 5)").alias("rest"),
+    )
+
 
+def mixed_regions(flat: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``flat`` whose region holds several components, with n, the number of its members."""
+    ends = [F.min("component").alias("least"), F.max("component").alias("last"), F.count("*").alias("n")]
+    shared = scratch.keep(flat.groupBy("region").agg(*ends).filter("least <> last").select("region", "n"), "shared")
+    return scratch.keep(flat.join(small_side(shared), "region"), "regions")
 
-def forest_neighbours(signed: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
-    """(tree, head, node): in every order each member with its neighbour of the longest common prefix.
 
-    ``members`` are those of the regions of ``LEAST_DEPTH`` values. Only regions of at most ``CROWD`` members are
-    put together, to be sorted in a task; of a crowded one the members also meet its first.
+def forest_neighbours(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(head, node): in every order, members of different components that share the longest common prefix.
+
+    ``members`` are those of mixed regions of ``LEAST_DEPTH`` values. Only regions of at most ``CROWD`` members are
+    put together, to be sorted in a task; in a crowded one, members also meet the first of its largest component.
     """
     found = []
     for depth in range(LEAST_DEPTH, DEPTH + 1):
         few = members.filter(F.col("n") <= CROWD)
-        ordered = few.groupBy("tree", "region").agg(F.array_sort(F.collect_list(F.struct("rest", "id"))).alias("m"))
+        ordered = few.groupBy("tree", "region").agg(
+            F.array_sort(F.collect_list(F.struct("rest", "id", "component"))).alias("m")
+        )
         beside = F.zip_with(
             F.slice("m", F.lit(1), F.size("m") - 1),
             F.slice("m", F.lit(2), F.size("m") - 1),
-            lambda x, y: F.struct(F.least(x["id"], y["id"]).alias("head"), F.greatest(x["id"], y["id"]).alias("node")),
+            lambda x, y: F.struct(
+                F.least(x["id"], y["id"]).alias("head"),
+                F.greatest(x["id"], y["id"]).alias("node"),
+                (x["component"] != y["component"]).alias("apart"),
+            ),
         )
-        found.append(ordered.select("tree", F.inline(beside)))
+        found.append(ordered.select(F.inline(F.filter(beside, lambda pair: pair["apart"]))).select("head", "node"))
         crowd = members.filter(F.col("n") > CROWD)
-        if depth in (LEAST_DEPTH, DEPTH):
-            found.append(crowd.filter("id <> head").select("tree", "head", F.col("id").alias("node")))
-        if depth == DEPTH or crowd.isEmpty():
+        if crowd.isEmpty():
             break
-        rows = scratch.keep(crowd.select("tree", "id").join(signed, "id"), "crowd")
-        members = scratch.keep(shared_regions(rows, depth + 1, scratch), "regions")
+        if depth in (LEAST_DEPTH, DEPTH):
+            heads = scratch.keep(mixed_groups(crowd, "region").select("region", "main", "head"), "heads")
+            met = crowd.withColumnRenamed("region", "at").join(
+                small_side(heads), F.expr("at = region AND component <> main")
+            )
+            found.append(met.select("head", F.col("id").alias("node")))
+        if depth < DEPTH:
+            members = mixed_regions(deeper(crowd), scratch)
     return union_all(found)
 
 
@@ -288,21 +320,20 @@ def across(members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int
     labelled = scratch.keep(labelled.select("region", "id", "component").distinct(), "labelled")
     mixed = scratch.keep(mixed_groups(labelled, "region"), "mixed")
     held = scratch.keep(labelled.join(mixed, "region"), "held")
-    few = outlier_pairs(held.filter(F.col("outliers") <= OUTLIERS), "region")
-    crowd = scratch.keep(held.filter(F.col("outliers") > OUTLIERS).select("id", "component").distinct(), "crowd")
+    small = (F.col("outliers") <= OUTLIERS) & (F.col("all") <= CROWD)
+    few = outlier_pairs(held.filter(small), "region")
+    crowd = scratch.keep(held.filter(~small).select("id", "component").distinct(), "crowd")
     found = [few] if crowd.isEmpty() else [few, rare_pairs(crowd, texts, percent, scratch)]
     return union_all(found).distinct()
 
 
 def mixed_groups(rows: DataFrame, key: str) -> DataFrame:
-    """Groups of (key, id, component) with several components: the largest one and how many are outside."""
-    counts = rows.groupBy(key, "component").agg(F.count("*").alias("n"))
-    return (
-        counts.groupBy(key)
-        .agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-        .filter("parts > 1")
-        .select(key, F.col("top.component").alias("main"), (F.col("all") - F.col("top.n")).alias("outliers"))
-    )
+    """Groups of (key, id, component) with several components: their size, the largest one, its first, how many are outside."""
+    counts = rows.groupBy(key, "component").agg(F.count("*").alias("n"), F.min("id").alias("head"))
+    top = F.max(F.struct("n", "component", "head")).alias("top")
+    groups = counts.groupBy(key).agg(F.count("*").alias("parts"), F.sum("n").alias("all"), top).filter("parts > 1")
+    outside = (F.col("all") - F.col("top.n")).alias("outliers")
+    return groups.select(key, "all", F.col("top.component").alias("main"), F.col("top.head").alias("head"), outside)
 
 
 def outlier_pairs(held: DataFrame, key: str, extra: tuple[str, ...] = (), condition: str = "true") -> DataFrame:
