@@ -9,19 +9,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
+from assay.functions.chunks import by_chunks, ranked
+
 # The function travels to the executors whole, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Edges a task holds at a time; this bounds its memory whatever the partition size.
-HELD_ROWS = 500_000
+# Edges a task holds at a time.
+HELD_ROWS = 200_000
 
 
-def _stars(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+def _stars(edges: pa.Table) -> pa.RecordBatch:
     """Edges (hi, lo) replaced by one edge from every node to the smallest node it is linked to."""
-    edges = pa.Table.from_batches(batches)
-    hi, lo = (edges.column(c).to_numpy() for c in ("hi", "lo"))
-    ids, codes = np.unique(np.concatenate([hi, lo]), return_inverse=True)
-    a, b = codes[: len(hi)], codes[len(hi) :]
+    ids, (a, b) = ranked(edges.column("hi"), edges.column("lo"))
     label = np.arange(len(ids))
     while True:
         before = label.copy()
@@ -33,19 +32,9 @@ def _stars(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
         if np.array_equal(before, label):
             break
     leaf = np.nonzero(label < np.arange(len(ids)))[0]
-    kind = edges.schema.field("hi").type
-    return pa.RecordBatch.from_arrays([pa.array(ids[leaf], kind), pa.array(ids[label[leaf]], kind)], ["hi", "lo"])
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(leaf)), ids.take(pa.array(label[leaf]))], ["hi", "lo"])
 
 
 def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Same components with at most one edge per node and chunk, so a combiner for components."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= HELD_ROWS:
-            yield _stars(held)
-            held, rows = [], 0
-    if rows:
-        yield _stars(held)
+    return by_chunks(batches, _stars, HELD_ROWS)

@@ -9,11 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
+from assay.functions.chunks import by_chunks, ranked
+
 # The function travels to the executors whole, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Edges a task holds at a time; this bounds its memory whatever the partition size.
-HELD_ROWS = 500_000
+# Edges a task holds at a time.
+HELD_ROWS = 200_000
 
 
 def heaviest(u: np.ndarray, v: np.ndarray, place: np.ndarray, nodes: int) -> np.ndarray:
@@ -42,29 +44,17 @@ def heaviest(u: np.ndarray, v: np.ndarray, place: np.ndarray, nodes: int) -> np.
         label = parent[label]
 
 
-def _reduced(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    edges = pa.Table.from_batches(batches).combine_chunks()
-    columns = {c: edges.column(c).to_numpy() for c in ("u", "v", "a", "b", "weight")}
-    ids, codes = np.unique(np.concatenate([columns["u"], columns["v"]]), return_inverse=True)
-    n = len(columns["u"])
-    by = np.lexsort((columns["b"], columns["a"], -columns["weight"]))
+def _reduced(edges: pa.Table) -> pa.RecordBatch:
+    ids, (u, v) = ranked(edges.column("u"), edges.column("v"))
+    _, (a, b) = ranked(edges.column("a"), edges.column("b"))
+    n = len(u)
+    by = np.lexsort((b, a, -edges.column("weight").to_numpy()))
     place = np.empty(n, np.int64)
     place[by] = np.arange(n)
-    taken = heaviest(codes[:n], codes[n:], place, len(ids))
+    taken = heaviest(u, v, place, len(ids))
     return edges.take(pa.array(np.nonzero(taken)[0])).combine_chunks().to_batches()[0]
 
 
 def forest_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges (u, v, a, b, weight), fewer than nodes per chunk; what goes is the lightest edge of some cycle."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= HELD_ROWS:
-            yield _reduced(held)
-            held, rows = [], 0
-    if rows:
-        yield _reduced(held)
+    return by_chunks(batches, _reduced, HELD_ROWS)

@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+
+from assay.functions import contraction, forest
 from assay.operators import components, skew
 from assay.operators.components import connected_components, label_nodes
 
@@ -83,3 +86,27 @@ def test_join_unique_gives_the_same_rows_with_and_without_hot_keys(spark):
         plain = sorted(map(str, skew.join_unique(left, right, "k", None, how).collect()))
         split = sorted(map(str, skew.join_unique(left, right, "k", hot, how).collect()))
         assert plain == split
+
+
+def test_a_task_keeps_edges_as_numbers(monkeypatch):
+    """Texts of edges never become objects of Python, which took several times their bytes."""
+    made = []
+    unique = contraction.np.unique
+    monkeypatch.setattr(contraction.np, "unique", lambda x, **options: made.append(x.dtype) or unique(x, **options))
+    rng = random.Random(7)
+    edges = [(n(rng.randrange(300)), n(rng.randrange(300, 400))) for _ in range(250)]
+    batch = pa.RecordBatch.from_pydict({"hi": [b for _, b in edges], "lo": [a for a, _ in edges]})
+    for rows in (7, 10_000):
+        monkeypatch.setattr(contraction, "HELD_ROWS", rows)
+        parts = [batch.slice(i, 5) for i in range(0, 250, 5)]
+        out = [(r["hi"], r["lo"]) for part in contraction.contract(iter(parts)) for r in part.to_pylist()]
+        assert brute(out) == brute(edges)
+    assert not any(kind == object for kind in made)
+
+
+def test_forest_reads_equal_texts_of_many_chunks(monkeypatch):
+    monkeypatch.setattr(forest, "HELD_ROWS", 10)
+    rows = {"u": list("abcab"), "v": list("bcdca"), "a": list("abcab"), "b": list("bcdcc"), "weight": [0.9, 0.8, 0.7, 0.6, 0.5]}
+    batch = pa.RecordBatch.from_pydict(rows)
+    taken = [r["weight"] for part in forest.forest_of(iter([batch.slice(0, 2), batch.slice(2, 3)])) for r in part.to_pylist()]
+    assert taken == [0.9, 0.8, 0.7]
