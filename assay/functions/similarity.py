@@ -111,11 +111,15 @@ def jaro_winkler_batch(left: list[str], right: list[str]) -> np.ndarray:
 def _similarity(a: pa.Array, b: pa.Array) -> pa.Array:
     """Each distinct pair of a batch is scored once; long texts are scored apart from short ones."""
     x, y = a.fill_null("").dictionary_encode(), b.fill_null("").dictionary_encode()
-    left, right = (d.to_numpy(zero_copy_only=False) for d in (x.dictionary, y.dictionary))
-    li, ri = x.indices.to_numpy(), y.indices.to_numpy()
+    return pa.array(similar_pairs(x.dictionary, y.dictionary, x.indices.to_numpy(), y.indices.to_numpy()))
+
+
+def similar_pairs(xs: pa.Array, ys: pa.Array, li: np.ndarray, ri: np.ndarray) -> np.ndarray:
+    """Similarity of ``xs[li[k]]`` and ``ys[ri[k]]`` for all k, see ``_similarity``."""
+    left, right = (d.to_numpy(zero_copy_only=False) for d in (xs, ys))
     pair, back = np.unique(li.astype(np.int64) * max(len(right), 1) + ri, return_inverse=True)
     li, ri = pair // max(len(right), 1), pair % max(len(right), 1)
-    left_len, right_len = (pc.utf8_length(d).to_numpy() for d in (x.dictionary, y.dictionary))
+    left_len, right_len = (pc.utf8_length(d).to_numpy() for d in (xs, ys))
     longest = np.maximum(left_len[li], right_len[ri])
     out = np.zeros(len(pair))
     kinds = len(set().union(*left, *right)) or 1
@@ -129,7 +133,7 @@ def _similarity(a: pa.Array, b: pa.Array) -> pa.Array:
             lu, lx = np.unique(li[some], return_inverse=True)
             ru, rx = np.unique(ri[some], return_inverse=True)
             out[some] = jaro_winkler_pairs(left[lu].tolist(), right[ru].tolist(), lx, rx)
-    return pa.array(out[back])
+    return out[back]
 
 
 def jaro_winkler(a, b) -> Column:

@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.functions import similarity, text
+from assay.functions import similarity, text, tiles
 from assay.session import cut
 from assay.specs import MatchSpec
 
@@ -253,12 +253,17 @@ def _routes(spec: MatchSpec) -> list[tuple[str, int, Route]]:
     return [(f"_block{i}", n, e) for i in range(len(spec.blocking)) for n, e in enumerate(evidence(spec))]
 
 
-def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+def _tiled(
+    tokens: DataFrame, tile_rows: int, apart: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Left and right side of the pair join, with hot keys spread over tiles.
 
     A key with k chunks makes a triangle of k*(k+1)/2 tiles; chunk i meets chunk j in tile (i, j)
     only, so each pair of profiles meets exactly once and no tile exceeds about two chunks.
     Every row of a hot key is copied about k times, hence larger tiles for the hottest keys.
+
+    With ``apart`` the tiles of hot keys without a signature are no part of the two sides but come third: the
+    rows of both sides (``side`` 0 and 1; a tile (i, i) has one), tile by tile.
     """
     sizes = tokens.groupBy("key").agg(F.count("*").alias("size"))
     n = F.col("size").cast("double")
@@ -276,7 +281,7 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
 
     if not load["hot"]:
         plain = tokens.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))
-        return spread(plain), plain
+        return spread(plain), plain, None
     rows = F.least(F.greatest(F.lit(tile_rows), F.col("size") / F.lit(TILE_CHUNKS)), F.lit(max(tile_rows, TILE_ROWS_MAX)))
     hot = sizes.filter(F.col("size") > tile_rows).select("key", F.ceil(F.col("size") / rows).cast("int").alias("chunks"))
     marked = tokens.join(F.broadcast(hot) if load["hot"] <= BROADCAST_KEYS else hot, on="key", how="left")
@@ -285,9 +290,23 @@ def _tiled(tokens: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
         "chunk", F.pmod(F.xxhash64("id", F.lit("tile")), chunks).cast("int")
     )
     last = F.col("chunks") - 1
+    crowded = None
+    if apart:
+        hot_key = F.col("chunks") > 1
+        hot_key = hot_key & F.col("token").isNull() if "token" in marked.columns else hot_key
+        at = F.col("chunk")
+        firsts = F.transform(
+            F.sequence(at, last), lambda j: F.struct(at.alias("i"), j.alias("j"), F.lit(0).alias("side"))
+        )
+        seconds = F.transform(
+            F.sequence(F.lit(0), at), lambda i: F.struct(i.alias("i"), at.alias("j"), F.lit(1).alias("side"))
+        )
+        both = F.concat(firsts, F.filter(seconds, lambda t: t["i"] < t["j"]))
+        crowded = spread(marked.filter(hot_key).filter("id IS NOT NULL").select("*", F.inline(both)).drop("chunks", "chunk"))
+        marked = marked.filter(~hot_key)
     left = marked.withColumn("i", F.col("chunk")).withColumn("j", F.explode(F.sequence(F.col("chunk"), last)))
     right = marked.withColumn("j", F.col("chunk")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("chunk"))))
-    return spread(left.drop("chunks", "chunk")), right.drop("chunks", "chunk")
+    return spread(left.drop("chunks", "chunk")), right.drop("chunks", "chunk"), crowded
 
 
 def candidate_pairs(
@@ -300,8 +319,31 @@ def candidate_pairs(
 
     A superset of the matches: nothing that could qualify is left out, whatever the block size.
     """
-    left, right = _tiled(_tokens(prof, spec, sign_above), tile_rows)
+    left, right, _ = _tiled(_tokens(prof, spec, sign_above), tile_rows)
+    return _joined(left, right, spec)
+
 
+def pairs_and_sums(
+    prof: DataFrame, spec: MatchSpec, tile_rows: int = TILE_ROWS, sign_above: int = SIGN_ABOVE
+) -> tuple[DataFrame, DataFrame | None]:
+    """``candidate_pairs`` without the crowded keys, and those as sums of their matches, if there are any.
+
+    All pairs of a crowded key are many times its profiles. A tile of them is scored in one place, by the very
+    same rule, and leaves one row per profile: (id, others, mass, lo), see ``tiles.tile_sums``.
+    """
+    left, right, crowded = _tiled(_tokens(prof, spec, sign_above), tile_rows, apart=True)
+    pairs = _joined(left, right, spec)
+    if crowded is None:
+        return pairs, None
+    routes = [(block, *e.columns) for block, _, e in _routes(spec)]
+    attributes = [(a.column, a.method == "exact", float(a.weight)) for a in spec.attributes]
+    sums = tiles.tile_sums(attributes, routes, float(spec.threshold), float(spec.total_weight), SLACK)
+    needed = dict.fromkeys([c for r in routes for c in r] + [a.column for a in spec.attributes])
+    rows = crowded.select("key", "route", "i", "j", "side", "id", "n", *needed)
+    return pairs, rows.groupBy("key", "route", "i", "j").applyInArrow(sums, tiles.SUMS)
+
+
+def _joined(left: DataFrame, right: DataFrame, spec: MatchSpec) -> DataFrame:
     # the first route on which the pair truly agrees owns it: no second copy, no hash collision
     routes = _routes(spec)
     owner = " ".join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -56,12 +57,34 @@ def score_pairs(candidates: DataFrame, spec: MatchSpec) -> DataFrame:
 
 @dataclass
 class Matched:
-    """Records reduced to profiles, and the profile pairs that match."""
+    """Records reduced to profiles, and the profile pairs that match.
+
+    ``edges`` lists the pairs when first asked for. ``groups`` needs sums of them only, and where a key is crowded
+    it takes these without a list; see ``blocking.pairs_and_sums``.
+    """
 
     keyed: DataFrame
     profiles: DataFrame
-    edges: DataFrame
     spec: MatchSpec
+    tile_rows: int = blocking.TILE_ROWS
+    sign_above: int = blocking.SIGN_ABOVE
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        candidates = blocking.candidate_pairs(self.profiles, self.spec, self.tile_rows, self.sign_above)
+        return cut(score_pairs(candidates, self.spec))
+
+    @cached_property
+    def _summed(self) -> tuple[DataFrame, DataFrame | None]:
+        """Edges, and sums of all others: every matching pair is in one of both."""
+        if "edges" in self.__dict__:
+            return self.edges, None
+        pairs, sums = blocking.pairs_and_sums(self.profiles, self.spec, self.tile_rows, self.sign_above)
+        listed = cut(score_pairs(pairs, self.spec))
+        if sums is None:
+            self.__dict__["edges"] = listed
+            return listed, None
+        return listed, cut(sums)
 
     def pairs(self) -> DataFrame:
         """Matching profile pairs with how many record pairs each stands for.
@@ -83,12 +106,11 @@ class Matched:
         """The same pairs at a higher threshold, without scoring again."""
         if threshold < self.spec.threshold:
             raise ValueError("pairs below the scored threshold were not kept")
-        return Matched(
-            self.keyed,
-            self.profiles,
-            self.edges.filter(F.col("match_confidence") >= F.lit(threshold)),
-            self.spec.with_options(threshold=threshold),
+        higher = Matched(
+            self.keyed, self.profiles, self.spec.with_options(threshold=threshold), self.tile_rows, self.sign_above
         )
+        higher.__dict__["edges"] = self.edges.filter(F.col("match_confidence") >= F.lit(threshold))
+        return higher
 
     def groups(self) -> DataFrame:
         """(golden_id, member, match_confidence) for every record.
@@ -96,8 +118,14 @@ class Matched:
         golden_id is the smallest record key of the component; the confidence of a member is the
         mean over its matching pairs, 1.0 without any.
         """
-        labelled = label_nodes(self.profiles, connected_components(self.edges, "id_a", "id_b"))
-        return self._groups(labelled, self._incident(), []).drop("_level")
+        edges, sums = self._summed
+        links, incident = edges.select("id_a", "id_b"), self._incident(edges)
+        if sums is not None:
+            links = links.unionAll(sums.select("id", "lo"))
+            partly = incident.unionByName(sums.select(F.lit(0).alias("_level"), "id", "others", "mass"))
+            incident = partly.groupBy("_level", "id").agg(F.sum("others").alias("others"), F.sum("mass").alias("mass"))
+        labelled = label_nodes(self.profiles, connected_components(links, "id_a", "id_b"))
+        return self._groups(labelled, incident, []).drop("_level")
 
     def groups_at(self, thresholds: list[float]) -> DataFrame:
         """``groups`` at several thresholds, with a column ``threshold``, from one component search.
@@ -124,11 +152,11 @@ class Matched:
         labels = found.select(F.substring_index("id", "|", 1).cast("int").alias("_level"), *parts)
         nodes = self.profiles.select("*", F.inline(levels))
         labelled = nodes.join(labels, on=["_level", "id"], how="left").withColumn("component", F.coalesce("component", "id"))
-        return self._groups(labelled, self._incident(met("match_confidence")), ["threshold"]).drop("_level")
+        return self._groups(labelled, self._incident(self.edges, met("match_confidence")), ["threshold"]).drop("_level")
 
-    def _incident(self, levels=None) -> DataFrame:
+    def _incident(self, edges: DataFrame, levels=None) -> DataFrame:
         """How many records each profile matches, and the sum of the confidences; per level, if given."""
-        rows = self.edges.select("*", F.inline(levels)) if levels is not None else self.edges.withColumn("_level", F.lit(0))
+        rows = edges.select("*", F.inline(levels)) if levels is not None else edges.withColumn("_level", F.lit(0))
         ends = rows.select("_level", F.col("id_a").alias("id"), F.col("n_b").alias("others"), "match_confidence").unionAll(
             rows.select("_level", F.col("id_b").alias("id"), F.col("n_a").alias("others"), "match_confidence")
         )
@@ -171,8 +199,8 @@ def match_records(
 ) -> Matched:
     """Score everything in ``df`` (one row per ``record_key``) that can match.
 
-    Profile keys, profiles and matching pairs are each materialised once, because several later steps
-    read them.
+    Profile keys and profiles are each materialised once, because several later steps read them; so are
+    matching pairs, when they are asked for.
     """
     keyed = cut(
         blocking.with_profile_key(df, spec).select(
@@ -183,8 +211,7 @@ def match_records(
         )
     )
     prof = cut(blocking.profiles(keyed, spec))
-    edges = cut(score_pairs(blocking.candidate_pairs(prof, spec, tile_rows, sign_above), spec))
-    return Matched(keyed, prof, edges, spec)
+    return Matched(keyed, prof, spec, tile_rows, sign_above)
 
 
 def match_groups(df: DataFrame, spec: MatchSpec) -> DataFrame:

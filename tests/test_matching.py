@@ -299,3 +299,13 @@ def test_contract(spark):
 
 def test_no_records(spark):
     assert groups_of(spark, []) == {}
+
+
+def test_crowded_keys_list_no_pairs(spark):
+    """All 4,950 pairs of one key match; groups sum them in their tiles and never list them."""
+    rows = [(f"s:{i:03d}", f"Customer {i:03d}", "???", "US", "10099") for i in range(100)]
+    held = match_records(spark.createDataFrame(rows, SCHEMA), SPEC, tile_rows=8)
+    got = {r[MEMBER]: (r.golden_id, r.match_confidence) for r in held.groups().collect()}
+    same(got, brute_groups(rows, SPEC))
+    assert "edges" not in vars(held) and held._summed[0].count() == 0
+    assert held.edges.count() == 4950
