@@ -13,6 +13,8 @@ ORACLE: dict[str, str] = {}
 
 AS_OF = datetime(2024, 1, 31)
 AS_OF_DAY = date(2024, 1, 31)
+# Records of one JSON array: some megabytes, so that files grow with the input no faster than its bytes need.
+ARRAY_RECORDS = 20_000
 
 
 def query(name: str, sql: str | None = None):
@@ -30,13 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def write_landing(df: DataFrame, kind: str, path: str) -> None:
-    """Landing files of a format; JSON as files of one array of at most 500 records each."""
+    """Landing files of a format; JSON as files of one array of at most ARRAY_RECORDS records each."""
     if kind == "csv":
         df.write.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
     elif kind == "parquet":
         df.write.parquet(path)
     else:
-        chunk = F.expr("monotonically_increasing_id() div 500").alias("chunk")
+        chunk = F.expr(f"monotonically_increasing_id() div {ARRAY_RECORDS}").alias("chunk")
         arrays = df.select(chunk, F.to_json(F.struct("*")).alias("record")).groupBy("chunk").agg(
             F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value")
         )
