@@ -94,6 +94,24 @@ def test_levels_are_the_digits_of_a_counter(spark, docs_of):
     assert [rank for rank, _ in family.levels] == [2, 1]
 
 
+@pytest.mark.parametrize("first_stays", [False, True])
+def test_no_table_is_broadcast(docs_of, monkeypatch, first_stays):
+    """The crowded path too, where the open nodes of a few contexts are a small file and very many rows."""
+    plans, keep = {}, Scratch.keep
+
+    def note(df, label):
+        plans[label] = plans.get(label, "") + df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, label: (note(df, label), keep(self, df, label))[1])
+    kept = suffix_dedup.keep
+    monkeypatch.setattr(suffix_dedup, "keep", lambda df, label: (note(df, label), kept(df, label))[1])
+    marked = suffix_dedup.with_spans(docs_of(corpus(3)), 40, 3, 3, first_stays, 1)
+    note(marked, "result")
+    assert {"suffix-seeds", "suffix-seeded", "suffix-contexts", "suffix-open", "suffix-nodes", "suffix-spans"} <= plans.keys()
+    assert [label for label, plan in plans.items() if "Broadcast" in plan] == []
+    assert "SortMergeJoin" in plans["suffix-nodes"]
+
+
 def test_odd_and_empty_input(odd_docs, odd_texts, no_docs):
     marked = suffix_dedup.with_spans(odd_docs, 40, 3)
     rows = suffix_dedup.report(marked).collect()
