@@ -136,6 +136,134 @@ def similar_pairs(xs: pa.Array, ys: pa.Array, li: np.ndarray, ri: np.ndarray) ->
     return out[back]
 
 
+# Pairs of a grid looked at together: their work arrays stay in a core's cache.
+GRID_PAIRS = 1 << 15
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of leading characters that all rows of both matrices have in common."""
+    n = min(a.shape[1], b.shape[1])
+    same = ((a[:, :n] == a[0, :n]).all(axis=0)) & ((b[:, :n] == a[0, :n]).all(axis=0)) & (a[0, :n] != 0)
+    return int(np.cumprod(same).sum())
+
+
+def similarity_grid(left: list[str], right: list[str]) -> np.ndarray:
+    """Similarity of every text of ``left`` (rows) with every text of ``right`` (columns), as ``jaro_winkler_pairs`` has it.
+
+    What is looked up once per pair there is looked up once per row here. Leading characters that all texts have
+    in common match each other, so only what follows them is compared, in words of as few bits as that needs.
+    """
+    out = np.zeros((len(left), len(right)))
+    if not out.size:
+        return out
+    a, la = _matrix(left)
+    b, lb = _matrix(right)
+    skip = _alike(a, b)
+    long = np.nonzero(lb - skip > 64)[0]
+    if len(long):
+        short = np.nonzero(lb - skip <= 64)[0]
+        out[:, short] = similarity_grid(left, [right[k] for k in short])
+        some, step = [right[k] for k in long], max(1, (1 << 17) // len(long))
+        for lo in range(0, len(left), step):
+            part = left[lo : lo + step]
+            li, ri = (x.ravel() for x in np.indices((len(part), len(some))))
+            found = similar_pairs(pa.array(part, pa.string()), pa.array(some, pa.string()), li, ri)
+            out[lo : lo + step, long] = found.reshape(len(part), len(some))
+        return out
+    rest = b[:, skip:]
+    alphabet, codes = np.unique(rest, return_inverse=True)
+    if (len(alphabet) + 1) * len(right) > POSITION_WORDS and len(right) > 1:
+        half = len(right) // 2
+        return np.hstack([similarity_grid(left, right[:half]), similarity_grid(left, right[half:])])
+    codes = codes.reshape(rest.shape)
+    width = int(lb.max()) - skip
+    word = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if width <= bits)
+    where = np.zeros((len(alphabet) + 1, len(right)), word)
+    for j in range(width):
+        cols = np.nonzero(skip + j < lb)[0]
+        where[codes[cols, j], cols] |= word(1 << j)
+    below = np.array([(1 << j) - 1 for j in range(width + 1)], np.uint64).astype(word)
+    sizes, size_of = np.unique(lb, return_inverse=True)
+    heads = min(PREFIX_MAX, a.shape[1], b.shape[1])
+    for n in np.unique(la[la > 0]).tolist():
+        rows = np.nonzero(la == n)[0]
+        mine = a[rows, skip:n]
+        found = np.minimum(np.searchsorted(alphabet, mine), len(alphabet) - 1)
+        mine_codes = np.where(alphabet[found] == mine, found, len(alphabet))
+        reach = np.maximum(np.maximum(n, lb) // 2 - 1, 0)
+        spans = []
+        for i in range(skip, n):
+            upto = below[np.clip(np.minimum(i + reach + 1, lb) - skip, 0, width)]
+            spans.append(upto & ~below[np.clip(i - reach - skip, 0, width)])
+        scores = _scores(n, sizes)
+        most_swaps, kinds = scores.shape[2], scores.shape[3]
+        offset = size_of * (scores.shape[1] * most_swaps * kinds)
+        scores = scores.ravel()
+        step = max(1, GRID_PAIRS // len(right))
+        for lo in range(0, len(rows), step):
+            own, at = mine_codes[lo : lo + step], rows[lo : lo + step]
+            matched, swaps = _matched(own, where, spans, below[np.clip(lb - skip, 0, width)], skip)
+            prefix = min(skip, PREFIX_MAX)
+            if skip < heads:
+                same = np.ones(matched.shape, bool)
+                prefix = np.zeros(matched.shape, np.int64)
+                for k in range(heads):
+                    same &= (a[at, k][:, None] == b[None, :, k]) & (a[at, k] != 0)[:, None]
+                    prefix += same
+            place = matched.astype(np.int64)
+            place *= most_swaps
+            place += swaps >> 1
+            place *= kinds
+            place += prefix
+            place += offset
+            out[at] = scores.take(place)
+    return out
+
+
+def _scores(n: int, sizes: np.ndarray) -> np.ndarray:
+    """Similarity of a text of ``n`` characters and one of each of ``sizes``, by matches, swaps and common prefix."""
+    m = np.arange(n + 1)[:, None, None]
+    swaps = np.arange(n // 2 + 1)[:, None]
+    prefix = np.arange(PREFIX_MAX + 1)
+    out = []
+    for size in sizes.tolist():
+        with np.errstate(divide="ignore", invalid="ignore"):
+            jaro = np.where(m > 0, (m / n + m / size + (m - swaps) / m) / 3.0, 0.0)
+            out.append(np.where(jaro > BOOST_ABOVE, jaro + PREFIX_SCALE * prefix * (1.0 - jaro), jaro))
+    return np.array(out)
+
+
+def _matched(
+    own: np.ndarray, where: np.ndarray, spans: list[np.ndarray], whole: np.ndarray, skip: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Matched characters, and how many of them differ in order, of texts ``own`` (codes) with all columns of ``where``."""
+    shape = (len(own), where.shape[1])
+    free = np.empty(shape, where.dtype)
+    free[:] = whole
+    matched = np.full(shape, skip, np.uint16)
+    hits = []
+    for code, span in zip(own.T, spans):
+        spots = where.take(code, axis=0)
+        spots &= free
+        spots &= span
+        spots &= -spots
+        free ^= spots
+        hits.append(spots != 0)
+        matched += hits[-1]
+    # matched characters of both sides in order: equal counts, so they line up
+    used = ~free
+    used &= whole
+    swaps = np.zeros(shape, np.uint16)
+    for code, hit in zip(own.T, hits):
+        first = used & -used
+        other = where.take(code, axis=0)
+        other &= first
+        swaps += hit & (other == 0)
+        first *= hit
+        used ^= first
+    return matched, swaps
+
+
 def jaro_winkler(a, b) -> Column:
     """Exact similarity column; null counts as empty.
 

@@ -30,6 +30,10 @@ SLACK = 1e-9
 TILE_ROWS = 1024
 TILE_CHUNKS = 256
 TILE_ROWS_MAX = 65536
+# Profiles of a key without a signature from which its pairs are summed in place, and how many times TILE_ROWS a
+# tile of them has: comparing costs little there, and every row is copied once per chunk of its key.
+SUM_ABOVE = 128
+SUM_TIMES = 8
 # Pairs one task should compare. Comparing costs far more than the bytes suggest, so the number of
 # tasks follows the pairs to compare and not the size of the data.
 PAIRS_PER_TASK = 20_000_000
@@ -262,28 +266,32 @@ def _tiled(
     only, so each pair of profiles meets exactly once and no tile exceeds about two chunks.
     Every row of a hot key is copied about k times, hence larger tiles for the hottest keys.
 
-    With ``apart`` the tiles of hot keys without a signature are no part of the two sides but come third: the
+    With ``apart`` the tiles of crowded keys without a signature are no part of the two sides but come third: the
     rows of both sides (``side`` 0 and 1; a tile (i, i) has one), tile by tile.
     """
-    sizes = tokens.groupBy("key").agg(F.count("*").alias("size"))
     n = F.col("size").cast("double")
+    signed = F.count("token") if "token" in tokens.columns else F.lit(0)
+    sizes = tokens.groupBy("key").agg(F.count("*").alias("size"), signed.alias("signed")).withColumn("pairs", n * (n - 1) / 2)
+    sizes = sizes.withColumn("summed", F.lit(apart) & (F.col("signed") == 0) & (F.col("size") > min(tile_rows, SUM_ABOVE)))
+    sizes = sizes.withColumn("hot", F.col("summed") | (F.col("size") > tile_rows))
     load = sizes.agg(
-        F.sum(n * (n - 1) / 2).alias("pairs"), F.count(F.when(F.col("size") > tile_rows, 1)).alias("hot")
+        F.sum(F.when(~F.col("summed"), F.col("pairs"))).alias("listed"),
+        F.sum(F.when(F.col("summed"), F.col("pairs"))).alias("summed"),
+        F.count(F.when(F.col("hot"), 1)).alias("hot"),
     ).first()
-    tasks = int((load["pairs"] or 0) // PAIRS_PER_TASK)
+    # fewer than the session's own number would only be shuffled once more
+    usual = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def spread(side: DataFrame) -> DataFrame:
-        if tasks < 2:
-            return side
-        # fewer than the session's own number would only be shuffled once more
-        usual = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return side.repartition(max(tasks, usual), "key", "route", "i", "j")
+    def spread(side: DataFrame, pairs: float | None, least: int) -> DataFrame:
+        tasks = int((pairs or 0) // PAIRS_PER_TASK)
+        return side if tasks < least else side.repartition(max(tasks, usual), "key", "route", "i", "j")
 
     if not load["hot"]:
         plain = tokens.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))
-        return spread(plain), plain, None
-    rows = F.least(F.greatest(F.lit(tile_rows), F.col("size") / F.lit(TILE_CHUNKS)), F.lit(max(tile_rows, TILE_ROWS_MAX)))
-    hot = sizes.filter(F.col("size") > tile_rows).select("key", F.ceil(F.col("size") / rows).cast("int").alias("chunks"))
+        return spread(plain, load["listed"], 2), plain, None
+    most = F.when(F.col("summed"), tile_rows * SUM_TIMES).otherwise(tile_rows)
+    rows = F.least(F.greatest(most, F.col("size") / F.lit(TILE_CHUNKS)), F.lit(max(tile_rows * SUM_TIMES, TILE_ROWS_MAX)))
+    hot = sizes.filter("hot").select("key", "summed", F.ceil(F.col("size") / rows).cast("int").alias("chunks"))
     marked = tokens.join(F.broadcast(hot) if load["hot"] <= BROADCAST_KEYS else hot, on="key", how="left")
     chunks = F.coalesce("chunks", F.lit(1))
     marked = marked.withColumn("chunks", chunks).withColumn(
@@ -292,21 +300,24 @@ def _tiled(
     last = F.col("chunks") - 1
     crowded = None
     if apart:
-        hot_key = F.col("chunks") > 1
-        hot_key = hot_key & F.col("token").isNull() if "token" in marked.columns else hot_key
-        at = F.col("chunk")
-        firsts = F.transform(
-            F.sequence(at, last), lambda j: F.struct(at.alias("i"), j.alias("j"), F.lit(0).alias("side"))
-        )
-        seconds = F.transform(
-            F.sequence(F.lit(0), at), lambda i: F.struct(i.alias("i"), at.alias("j"), F.lit(1).alias("side"))
-        )
-        both = F.concat(firsts, F.filter(seconds, lambda t: t["i"] < t["j"]))
-        crowded = spread(marked.filter(hot_key).filter("id IS NOT NULL").select("*", F.inline(both)).drop("chunks", "chunk"))
-        marked = marked.filter(~hot_key)
+        crowd = F.coalesce("summed", F.lit(False))
+        if load["summed"]:
+            at = F.col("chunk")
+            firsts = F.transform(
+                F.sequence(at, last), lambda j: F.struct(at.alias("i"), j.alias("j"), F.lit(0).alias("side"))
+            )
+            seconds = F.transform(
+                F.sequence(F.lit(0), at), lambda i: F.struct(i.alias("i"), at.alias("j"), F.lit(1).alias("side"))
+            )
+            both = F.concat(firsts, F.filter(seconds, lambda t: t["i"] < t["j"]))
+            tiles_of = marked.filter(crowd).filter("id IS NOT NULL").select("*", F.inline(both))
+            # a few rows are much work, so their bytes do not tell how many tasks they need
+            crowded = spread(tiles_of.drop("chunks", "chunk", "summed"), load["summed"], 0)
+        marked = marked.filter(~crowd)
+    marked = marked.drop("summed")
     left = marked.withColumn("i", F.col("chunk")).withColumn("j", F.explode(F.sequence(F.col("chunk"), last)))
     right = marked.withColumn("j", F.col("chunk")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("chunk"))))
-    return spread(left.drop("chunks", "chunk")), right.drop("chunks", "chunk"), crowded
+    return spread(left.drop("chunks", "chunk"), load["listed"], 2), right.drop("chunks", "chunk"), crowded
 
 
 def candidate_pairs(
@@ -337,7 +348,7 @@ def pairs_and_sums(
         return pairs, None
     routes = [(block, *e.columns) for block, _, e in _routes(spec)]
     attributes = [(a.column, a.method == "exact", float(a.weight)) for a in spec.attributes]
-    sums = tiles.tile_sums(attributes, routes, float(spec.threshold), float(spec.total_weight), SLACK)
+    sums = tiles.tile_sums(attributes, routes, float(spec.threshold), float(spec.total_weight))
     needed = dict.fromkeys([c for r in routes for c in r] + [a.column for a in spec.attributes])
     rows = crowded.select("key", "route", "i", "j", "side", "id", "n", *needed)
     return pairs, rows.groupBy("key", "route", "i", "j").applyInArrow(sums, tiles.SUMS)

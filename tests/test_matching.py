@@ -2,10 +2,12 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tests_shared import components_of
 
-from assay.functions import similarity
+from assay.functions import similarity, tiles
 from assay.operators import blocking, matching
 from assay.operators.matching import MEMBER, match_records
 from assay.specs import MatchAttribute, MatchSpec, load_entity
@@ -121,6 +123,26 @@ def test_bound_is_never_below_the_similarity(spark):
     assert all(r.most >= r.s - 1e-12 for r in got.collect())
 
 
+@pytest.mark.parametrize("kinds", ["ab", "abcdefgh", "abcé😀漢\0"])
+@pytest.mark.parametrize("lengths", [(0, 4), (0, 12), (5, 40), (30, 70), (60, 150)])
+@pytest.mark.parametrize("head", ["", "ab", "Customer#00"])
+def test_grid_has_the_similarity_of_every_pair(monkeypatch, kinds, lengths, head):
+    rng = random.Random(len(kinds) + lengths[1])
+    left, right = ([head + "".join(rng.choice(kinds) for _ in range(rng.randrange(*lengths))) for _ in range(n)] for n in (40, 50))
+    li, ri = (x.ravel() for x in np.indices((40, 50)))
+    want = similarity.jaro_winkler_pairs(left, right, li, ri).reshape(40, 50)
+    assert np.array_equal(similarity.similarity_grid(left, right), want)
+    monkeypatch.setattr(similarity, "POSITION_WORDS", 64)  # columns in parts
+    monkeypatch.setattr(similarity, "GRID_PAIRS", 100)
+    assert np.array_equal(similarity.similarity_grid(left, right), want)
+
+
+@pytest.mark.parametrize("left, right", [([], ["a"]), ([""], ["", "a"]), (["a", ""], [""]), (["\0"], ["\0", "\0a"]), (["ab"], ["ab"])])
+def test_grid_of_few_and_empty_texts(left, right):
+    want = np.array([[sim(a, b) for b in right] for a in left]).reshape(len(left), len(right))
+    assert np.array_equal(similarity.similarity_grid(left, right), want)
+
+
 def test_null_counts_as_empty(spark):
     df = spark.createDataFrame([(None, "a"), ("a", "a")], "l string, r string")
     assert [r[0] for r in df.select(similarity.jaro_winkler("l", "r")).collect()] == [0.0, 1.0]
@@ -309,3 +331,43 @@ def test_crowded_keys_list_no_pairs(spark):
     same(got, brute_groups(rows, SPEC))
     assert "edges" not in vars(held) and held._summed[0].count() == 0
     assert held.edges.count() == 4950
+
+
+def test_keys_of_a_few_hundred_profiles_list_no_pairs(spark):
+    """Default tiles: 17,955 pairs of one key are summed in place; a key of 20 is still listed."""
+    rows = [(f"s:{i:03d}", f"Customer {i:03d}", "???", "US", "10099") for i in range(190)]
+    rows += [(f"t:{i:03d}", f"Customer {i:03d}", "???", "US", "20099") for i in range(20)]
+    held = match_records(spark.createDataFrame(rows, SCHEMA), SPEC)
+    got = {r[MEMBER]: (r.golden_id, r.match_confidence) for r in held.groups().collect()}
+    same(got, brute_groups(rows, SPEC))
+    assert held._summed[0].count() == 190 and held._summed[1].count() == 190
+
+
+@pytest.mark.parametrize("panel, stripe, held", [(3, 2, 0), (5, 64, 0), (7, 3, 1 << 22), (1024, 64, 1 << 22)])
+@pytest.mark.parametrize("i, j", [(0, 0), (0, 1)])
+def test_tile_against_its_pairs(monkeypatch, panel, stripe, held, i, j):
+    for name, value in (("PANEL", panel), ("STRIPE", stripe), ("HELD", held)):
+        monkeypatch.setattr(tiles, name, value)
+    rng = random.Random(panel + i + j)
+    rows = [
+        {
+            "id": f"r{k:02d}", "n": rng.randrange(1, 4), "side": rng.randrange(2) if i < j else 0, "tax": "t", "block": "b",
+            "other": rng.choice(["x", "y", None]), "name": rng.choice(["", None, "Jane Doe", "Jane Do", "Jon Doe", "Mary", "Marry"]),
+        }
+        for k in rng.sample(range(40), 40)
+    ]
+    run = tiles.tile_sums([("name", False, 0.6), ("tax", True, 0.3), ("other", True, 0.1)], [("block", "other"), ("block", "tax")], 0.75, 1.0)
+    got = run(tuple(map(pa.scalar, (9, 1, i, j))), pa.Table.from_pylist(rows)).to_pylist()
+    others, mass, links = dict.fromkeys([r["id"] for r in rows], 0), dict.fromkeys([r["id"] for r in rows], 0.0), []
+    for x, y in combinations(rows, 2):
+        if (i < j and x["side"] == y["side"]) or (x["other"] and x["other"] == y["other"]):
+            continue
+        sure = 0.6 * sim(x["name"] or "", y["name"] or "") + 0.3
+        if sure >= 0.75:
+            links.append((x["id"], y["id"]))
+            for one, other in ((x, y), (y, x)):
+                others[one["id"]] += other["n"]
+                mass[one["id"]] += other["n"] * sure
+    lowest = components_of(links)
+    assert links and {r["id"]: (r["others"], r["lo"]) for r in got} == {k: (others[k], lowest[k]) for k in lowest}
+    assert all(r["mass"] == pytest.approx(mass[r["id"]]) for r in got)
